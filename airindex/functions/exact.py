@@ -48,3 +48,8 @@ def exact_window_mean(x: Column | str, window, scale: int = SCALE) -> Column:
     n = F.count(x).over(window)
     total = F.sum(units(x, scale)).over(window)
     return F.when(n > F.lit(0), total / (n * F.lit(float(10 ** scale))))
+
+
+def sum_exact(x: Column | str, scale: int = SCALE) -> Column:
+    """Aggregate: exact sum of values with at most ``scale`` decimals, as a double."""
+    return F.sum(units(x, scale)) / F.lit(float(10 ** scale))
