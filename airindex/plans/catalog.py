@@ -32,7 +32,7 @@ def register(name: str, sql: str | None = None):
 
 def _load_all() -> None:
     # Importing the modules registers their queries.
-    from airindex.plans import queries_core, queries_index  # noqa: F401
+    from airindex.plans import queries_core, queries_index, queries_io  # noqa: F401
 
 
 _load_all()

@@ -42,6 +42,19 @@ def day_range_buffer(readings: DataFrame, start=None, end=None, lead_days: int =
     return out
 
 
+def two_day_buffer(readings: DataFrame, day=None) -> DataFrame:
+    """Readings of ``day`` and the day before (default: the latest day present).
+
+    With a literal day the filter prunes date partitions at planning time; the
+    default takes the latest day from a scalar subquery.
+    """
+    if day is not None:
+        return day_range_buffer(readings, day, day)
+    last = readings.select(F.max("measure_date")).scalar()
+    return readings.filter((F.col("measure_date") >= F.date_sub(last, 1))
+                           & (F.col("measure_date") <= last))
+
+
 def with_sub_indexes(daily: DataFrame, off_scale: str = "zero") -> DataFrame:
     return daily.withColumns({name: piecewise_index(src, segs, off_scale=off_scale)
                               for name, (src, segs) in SUB_INDEXES.items()})
