@@ -5,8 +5,8 @@ mean residual per weekday, and a band from residual quantiles. All of it is
 window aggregates over one shuffle by ``series_id``, so it scales with the number
 of series and is checked against an SQL twin.
 
-``forecast_fourier`` fits trend + weekly/yearly Fourier terms (+ optional holiday
-dummies) per series with numpy least squares inside ``applyInPandas``: each
+``forecast_fourier`` fits trend + weekly/yearly Fourier terms (+ an optional holiday
+dummy) per series with numpy ridge least squares inside ``applyInPandas``: each
 group is one daily series (bounded by its number of days).
 """
 
@@ -39,7 +39,8 @@ def forecast_linear(series: DataFrame, horizon: int = 30, band=(0.1, 0.9)) -> Da
     params = fit.groupBy("series_id").agg(F.first("a").alias("a"), F.first("b").alias("b"),
                                          F.first("lo").alias("lo"), F.first("hi").alias("hi"))
     effects = fit.groupBy("series_id", "wd").agg(F.first("e").alias("e"))
-    future = future_frame(series.filter(F.col("y").isNotNull()), horizon)
+    # The horizon starts after the last day of the series, masked (NULL) days included.
+    future = future_frame(series, horizon)
     out = (future.withColumn("wd", F.weekday("ds"))
            .join(params, "series_id", "inner")
            .join(effects, ["series_id", "wd"], "left"))
@@ -55,51 +56,67 @@ FOURIER_SCHEMA = ("series_id string, ds date, step int, yhat double, yhat_lower
                   "yhat_upper double")
 
 
-def _design(t: np.ndarray, weekly: int, yearly: int, changepoints: np.ndarray) -> np.ndarray:
+def _design(t: np.ndarray, weekly: int, yearly: int, changepoints: np.ndarray,
+            holiday: np.ndarray | None = None) -> np.ndarray:
     cols = [np.ones_like(t), t]
     cols += [np.maximum(t - c, 0.0) for c in changepoints]
     for period, order in ((7.0, weekly), (365.25, yearly)):
         for k in range(1, order + 1):
             cols += [np.sin(2 * np.pi * k * t / period), np.cos(2 * np.pi * k * t / period)]
+    if holiday is not None:
+        cols.append(holiday)
     return np.column_stack(cols)
 
 
 def _fit_predict(horizon: int, weekly: int, yearly: int, n_changepoints: int, ridge: float,
-                 band: tuple[float, float]):
+                 band: tuple[float, float], holidays: frozenset | None):
+    def flags(days: pd.Series) -> np.ndarray | None:
+        if not holidays:
+            return None
+        return days.dt.date.isin(holidays).to_numpy(dtype=float)
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.dropna(subset=["y"]).sort_values("ds")
+        all_days = pd.to_datetime(pdf["ds"])
+        last_day = all_days.max()
+        pdf = pdf.assign(ds=all_days).dropna(subset=["y"]).sort_values("ds")
         if pdf.empty:
             return pd.DataFrame(columns=["series_id", "ds", "step", "yhat", "yhat_lower",
                                          "yhat_upper"])
-        ds = pd.to_datetime(pdf["ds"])
-        t0 = ds.iloc[0]
-        t = ((ds - t0).dt.days).to_numpy(dtype=float)
+        t0 = pdf["ds"].iloc[0]
+        t = (pdf["ds"] - t0).dt.days.to_numpy(dtype=float)
         y = pdf["y"].to_numpy(dtype=float)
-        # Trend changepoints over the first 80 % of the history.
+        # Trend changepoints spread over the first 80 % of the history.
         span = t[-1] if len(t) > 1 else 1.0
-        cps = np.linspace(0, 0.8 * span, n_changepoints + 2)[1:-1] if len(t) > 10 else np.array([])
-        x = _design(t, weekly, yearly, cps)
-        scale = np.std(y) or 1.0
+        cps = (np.linspace(0, 0.8 * span, n_changepoints + 2)[1:-1] if len(t) > 10
+               else np.array([]))
+        x = _design(t, weekly, yearly, cps, flags(pdf["ds"]))
+        scale = float(np.std(y)) or 1.0
         penalty = ridge * np.eye(x.shape[1])
         penalty[0, 0] = penalty[1, 1] = 0.0
         coef = np.linalg.solve(x.T @ x + penalty, x.T @ (y / scale))
         resid = y / scale - x @ coef
         lo, hi = np.quantile(resid, band[0]), np.quantile(resid, band[1])
-        fut_t = t[-1] + np.arange(1, horizon + 1, dtype=float)
-        pred = _design(fut_t, weekly, yearly, cps) @ coef
-        fut_ds = ds.iloc[-1] + pd.to_timedelta(np.arange(1, horizon + 1), unit="D")
+        steps = np.arange(1, horizon + 1)
+        fut_days = pd.Series(last_day + pd.to_timedelta(steps, unit="D"))
+        fut_t = (fut_days - t0).dt.days.to_numpy(dtype=float)
+        pred = _design(fut_t, weekly, yearly, cps, flags(fut_days)) @ coef
         return pd.DataFrame({
-            "series_id": pdf["series_id"].iloc[0], "ds": fut_ds.dt.date,
-            "step": np.arange(1, horizon + 1, dtype=np.int32),
+            "series_id": pdf["series_id"].iloc[0], "ds": fut_days.dt.date,
+            "step": steps.astype(np.int32),
             "yhat": pred * scale, "yhat_lower": (pred + lo) * scale,
             "yhat_upper": (pred + hi) * scale})
     return run
 
 
 def forecast_fourier(series: DataFrame, horizon: int = 30, weekly: int = 3, yearly: int = 10,
-                     n_changepoints: int = 25, ridge: float = 1.0,
-                     band=(0.1, 0.9)) -> DataFrame:
-    """Trend with changepoints + weekly/yearly seasonality, fitted per series."""
-    fn = _fit_predict(horizon, weekly, yearly, n_changepoints, ridge, band)
+                     n_changepoints: int = 25, ridge: float = 1.0, band=(0.1, 0.9),
+                     holidays=None) -> DataFrame:
+    """Trend with changepoints + weekly/yearly seasonality (+ holiday dummy), per series.
+
+    ``holidays`` is a small collection of dates (a calendar, not data); it travels
+    with the function. Each group is one daily series.
+    """
+    fn = _fit_predict(horizon, weekly, yearly, n_changepoints, ridge, band,
+                      frozenset(holidays) if holidays else None)
     return (series.select("series_id", "ds", "y")
             .groupBy("series_id").applyInPandas(fn, FOURIER_SCHEMA))
