@@ -42,10 +42,15 @@ def mean_half_up(x: Column | str, digits: int = 2, scale: int = SCALE) -> Column
     return F.when(n > F.lit(0), k / F.lit(float(10 ** digits)))
 
 
-def exact_window_mean(x: Column | str, window, scale: int = SCALE) -> Column:
-    """Mean over a window frame from an exact integer sum (NULL when no values)."""
+def exact_window_mean(x: Column | str, window, scale: int = SCALE,
+                      count: Column | None = None) -> Column:
+    """Mean over a window frame from an exact integer sum (NULL when no values).
+
+    Pass ``count`` (an already computed ``count(x)`` over the same frame) to
+    avoid evaluating it twice.
+    """
     x = _col(x)
-    n = F.count(x).over(window)
+    n = count if count is not None else F.count(x).over(window)
     total = F.sum(units(x, scale)).over(window)
     return F.when(n > F.lit(0), total / (n * F.lit(float(10 ** scale))))
 

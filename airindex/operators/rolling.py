@@ -55,7 +55,8 @@ def rolling_rows(df: DataFrame, value: str, rows: int = 8, order: str = "measure
     w = (Window.partitionBy(*partition, BUCKET).orderBy(order)
          .rowsBetween(-(rows - 1), Window.currentRow))
     out = (with_day_halo(df, day, halo_days)
-           .withColumns({mean_col: exact_window_mean(value, w), count_col: F.count(value).over(w)})
+           .withColumn(count_col, F.count(value).over(w))
+           .withColumn(mean_col, exact_window_mean(value, w, count=F.col(count_col)))
            .filter(F.col(day) == F.col(BUCKET)))
     return out if keep_bucket else out.drop(BUCKET)
 
@@ -80,6 +81,7 @@ def rolling_seconds(df: DataFrame, value: str, seconds: int = 8 * 3600,
     w = (Window.partitionBy(*partition, BUCKET).orderBy(F.col("_epoch"))
          .rangeBetween(-lookback, Window.currentRow))
     return (with_day_halo(df.withColumn("_epoch", epoch), day, 1, halo_filter=near_midnight)
-            .withColumns({mean_col: exact_window_mean(value, w), count_col: F.count(value).over(w)})
+            .withColumn(count_col, F.count(value).over(w))
+            .withColumn(mean_col, exact_window_mean(value, w, count=F.col(count_col)))
             .filter(F.col(day) == F.col(BUCKET))
             .drop(BUCKET, "_epoch"))

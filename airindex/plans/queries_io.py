@@ -207,8 +207,10 @@ JOIN dim_location l ON f.location_id = l.location_id""")
 
 
 def report(spark, sf_dir, fact=None):
-    fact = fact if fact is not None else daily_air_index(readings(spark, sf_dir))
-    return star_report(fact, dim_date_spanning(fact), dim_location(spark, sf_dir))
+    """Star report; the calendar spans the source readings (a ``ts``-only scan)."""
+    r = readings(spark, sf_dir)
+    fact = fact if fact is not None else daily_air_index(r)
+    return star_report(fact, dim_date_spanning(r), dim_location(spark, sf_dir))
 
 
 @register("star_report", STAR_SQL)
@@ -250,6 +252,6 @@ def q_adhoc_sql_report(spark, sf_dir):
     """Plain SQL over temp views of the fact and both dimensions."""
     fact = daily_air_index(readings(spark, sf_dir))
     fact.createOrReplaceTempView("fact_air_quality")
-    dim_date_spanning(fact).createOrReplaceTempView("dim_date")
+    dim_date_spanning(readings(spark, sf_dir)).createOrReplaceTempView("dim_date")
     dim_location(spark, sf_dir).createOrReplaceTempView("dim_location")
     return spark.sql(ADHOC_SQL)
