@@ -94,16 +94,20 @@ def upsert_partitioned(spark: SparkSession, path: str, updates: DataFrame, keys:
                        order_by: str | None = None, schema=None) -> DataFrame:
     """Merge ``updates`` into the parquet table at ``path``, rewriting touched partitions only.
 
-    The touched partition values (days) are few and are listed on the driver to
-    prune the target read statically. The merged partitions are checkpointed to
-    the shared checkpoint folder before the overwrite, so the write never reads
-    the files it replaces. ``order_by`` (if any) is a column of the table. Returns
+    The deduplicated updates are checkpointed once. The touched partition values
+    (days: bounded by the calendar, not by data volume) are listed on the driver
+    to prune the target read statically. The merged partitions are checkpointed
+    to the shared checkpoint folder before the overwrite, so the write never
+    reads the files it replaces. ``order_by`` (if any) is a column of the table. Returns
     the NULL-key rejects.
     """
     keys = list(keys)
     if partition_col not in keys:
         keys = keys + [partition_col]
-    good = latest_per_key(updates.filter(~_any_null(keys)), keys, order_by)
+    checkpoint_dir(spark)
+    # Materialize the deduplicated updates once: both the list of touched days and
+    # the merge read them, and the upstream plan may be expensive.
+    good = latest_per_key(updates.filter(~_any_null(keys)), keys, order_by).checkpoint(eager=True)
     touched = [r[0] for r in good.select(partition_col).distinct().collect()]
     if not touched:
         return null_key_rows(updates, keys)
@@ -121,7 +125,6 @@ def upsert_partitioned(spark: SparkSession, path: str, updates: DataFrame, keys:
                               dedupe=False)
     else:
         merged = good
-    checkpoint_dir(spark)
     merged = merged.checkpoint(eager=True)
     (merged.repartition(partition_col).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")

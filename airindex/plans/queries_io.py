@@ -255,3 +255,17 @@ def q_adhoc_sql_report(spark, sf_dir):
     dim_date_spanning(readings(spark, sf_dir)).createOrReplaceTempView("dim_date")
     dim_location(spark, sf_dir).createOrReplaceTempView("dim_location")
     return spark.sql(ADHOC_SQL)
+
+
+@register("persist_daily_fact", O.with_fact("SELECT * FROM fact"))
+def q_persist_daily_fact(spark, sf_dir):
+    """The fact as a table partitioned by day: a first load of days 1-20, then an upsert of
+    days 18 and later (recomputed), rewriting only the touched day partitions."""
+    from airindex.operators.upsert import upsert_partitioned
+    fact = daily_air_index(readings(spark, sf_dir))
+    path = scratch_path(spark, "fact")
+    upsert_partitioned(spark, path, fact.filter(_day() <= SPLIT_LAST_TARGET_DAY), FACT_KEYS,
+                       "measure_date")
+    upsert_partitioned(spark, path, fact.filter(_day() >= SPLIT_FIRST_UPDATE_DAY), FACT_KEYS,
+                       "measure_date", FACT_UPDATE_COLS)
+    return spark.read.parquet(path).select(*FACT_COLUMNS)

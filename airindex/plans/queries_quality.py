@@ -137,3 +137,12 @@ def q_health_share(spark, sf_dir):
 @register("dominant_share", _share_sql("dominant_pollutant"))
 def q_dominant_share(spark, sf_dir):
     return share_by(fact(spark, sf_dir), "dominant_pollutant")
+
+
+@register("pattern_month", O.with_fact(
+    f"SELECT location_id, cast(month(measure_date) AS int) AS month, "
+    f"{O.mean_sql('avg_pm2_5')} AS avg_avg_pm2_5, max(avg_pm2_5) AS max_avg_pm2_5, "
+    "count(avg_pm2_5) AS n FROM fact GROUP BY 1, 2"))
+def q_pattern_month(spark, sf_dir):
+    return pattern_by(fact(spark, sf_dir), "month", "avg_pm2_5", ts="measure_date",
+                      by=("location_id",))
