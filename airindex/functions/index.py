@@ -52,7 +52,7 @@ def _col(c: Column | str) -> Column:
 
 def segment_value(x: Column, lo: float, hi: float, i_lo: float, i_hi: float) -> Column:
     """Linear interpolation inside one segment: slope * (x - lo) + i_lo."""
-    return F.lit((i_hi - i_lo) / (hi - lo)) * (x - F.lit(lo)) + F.lit(i_lo)
+    return (x - lo) * ((i_hi - i_lo) / (hi - lo)) + i_lo
 
 
 def piecewise_index(x: Column | str, segments: Sequence[tuple], off_scale: str = "zero",
@@ -69,7 +69,7 @@ def piecewise_index(x: Column | str, segments: Sequence[tuple], off_scale: str =
     x = _col(x)
     chain = None
     for lo, hi, i_lo, i_hi in segments:
-        cond = (x >= F.lit(lo)) & (x <= F.lit(hi))
+        cond = (x >= lo) & (x <= hi)
         value = segment_value(x, lo, hi, i_lo, i_hi)
         chain = F.when(cond, value) if chain is None else chain.when(cond, value)
     if off_scale == "clamp":
@@ -101,7 +101,7 @@ def dominant_pollutant(index: Column | str, raw_index: Column | str,
     index, raw_index = _col(index), _col(raw_index)
     chain = F.when(index.isNull(), F.lit(None).cast("string"))
     for column, name in pairs[:-1]:
-        chain = chain.when(raw_index == F.col(column), F.lit(name))
+        chain = chain.when(raw_index == _col(column), F.lit(name))
     return chain.otherwise(F.lit(pairs[-1][1]))
 
 

@@ -61,23 +61,30 @@ def with_sub_indexes(daily: DataFrame, off_scale: str = "zero") -> DataFrame:
 
 
 def with_air_index(daily: DataFrame, off_scale: str = "zero") -> DataFrame:
-    """Daily rollup -> sub-indexes, overall index, quality gate, labels, date_id."""
+    """Daily rollup -> sub-indexes, overall index, quality gate, labels, date_id.
+
+    Two projections: the sub-indexes, then everything derived from them.
+    """
     out = with_sub_indexes(daily, off_scale)
-    out = out.withColumn("aqi_o3", ozone_index("aqi_o3_1h", "aqi_o3_8h", "max_8h_o3"))
-    out = out.withColumn("vn_aqi_raw", overall_index("aqi_pm25", "aqi_pm10", "aqi_co",
-                                                     "aqi_no2", "aqi_so2", "aqi_o3"))
+    aqi_o3 = ozone_index("aqi_o3_1h", "aqi_o3_8h", "max_8h_o3")
+    raw = overall_index("aqi_pm25", "aqi_pm10", "aqi_co", "aqi_no2", "aqi_so2", aqi_o3)
     valid = is_valid_day("record_count", *PM_MEANS)
-    out = out.withColumns({
+    index = F.when(valid, raw).otherwise(F.lit(None).cast("int"))
+    return out.withColumns({
+        "aqi_o3": aqi_o3,
+        "vn_aqi_raw": raw,
         "data_quality_status": quality_status("record_count", *PM_MEANS),
-        "vn_aqi": F.when(valid, F.col("vn_aqi_raw")).otherwise(F.lit(None).cast("int")),
-    })
-    out = out.withColumns({
-        "health_implication": health_label("vn_aqi"),
-        "is_hazardous": is_hazardous("vn_aqi"),
-        "dominant_pollutant": dominant_pollutant("vn_aqi", "vn_aqi_raw"),
+        "vn_aqi": index,
+        "health_implication": health_label(index),
+        "is_hazardous": is_hazardous(index),
+        "dominant_pollutant": dominant_pollutant(index, raw, _dominant_pairs(aqi_o3)),
         "date_id": date_id("measure_date"),
     })
-    return out
+
+
+def _dominant_pairs(aqi_o3):
+    from airindex.functions.index import DOMINANT_ORDER
+    return [(F.col(c) if c != "aqi_o3" else aqi_o3, n) for c, n in DOMINANT_ORDER]
 
 
 def daily_air_index(readings: DataFrame, start=None, end=None, off_scale: str = "zero",

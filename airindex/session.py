@@ -21,6 +21,10 @@ SESSION_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # PySpark 4 records the Python call site of every Column operation for error
+    # messages; that costs about ten driver round trips per operation when plans
+    # are built. Batch jobs keep Spark's own error context without it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -61,14 +61,14 @@ def hourly_channels(events: DataFrame, n_locations: int = N_LOCATIONS) -> DataFr
 def conform(hourly: DataFrame) -> DataFrame:
     """Add coordinates, level, label and date parts: the conformed reading schema."""
     loc = F.col("location_id")
-    level = F.least(F.lit(5), F.lit(1) + F.floor(F.col("_mean") / F.lit(LEVEL_STEP))).cast("int")
-    out = hourly.withColumns({**location_coords(loc), "aqi_level": level})
-    out = out.withColumns({"aqi_label": level_label("aqi_level"),
-                           "measure_date": F.to_date("measured_at")})
-    out = out.withColumns(date_parts("measure_date"))
-    return out.select("location_id", "lon", "lat", "measured_at", "aqi_level", "co", "no", "no2",
-                      "o3", "so2", "pm2_5", "pm10", "nh3", "aqi_label", "measure_date",
-                      "measure_year", "measure_month", "measure_day")
+    level = F.least(F.lit(5), F.floor(F.col("_mean") / LEVEL_STEP) + 1).cast("int")
+    day = F.to_date("measured_at")
+    coords = location_coords(loc)
+    return hourly.select(
+        "location_id", coords["lon"].alias("lon"), coords["lat"].alias("lat"), "measured_at",
+        level.alias("aqi_level"), "co", "no", "no2", "o3", "so2", "pm2_5", "pm10", "nh3",
+        level_label(level).alias("aqi_label"), day.alias("measure_date"),
+        *[c.alias(n) for n, c in date_parts(day).items()])
 
 
 def readings_from_events(events: DataFrame, n_locations: int = N_LOCATIONS) -> DataFrame:
