@@ -126,7 +126,7 @@ def upsert_partitioned(spark: SparkSession, path: str, updates: DataFrame, keys:
     else:
         merged = good
     merged = merged.checkpoint(eager=True)
-    (merged.repartition(partition_col).write.mode("overwrite")
+    (merged.hint("rebalance", partition_col).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
     return null_key_rows(updates, keys)

@@ -10,9 +10,13 @@ from airindex.schemas import REPORT
 
 def write_partitioned(df: DataFrame, path: str, partition_col: str = "measure_date",
                       mode: str = "overwrite") -> None:
-    """Parquet partitioned by day; rows are clustered by day first so each task writes
-    few files. Overwrite replaces only the partitions present (dynamic mode)."""
-    (df.repartition(partition_col).write.mode(mode)
+    """Parquet partitioned by day; overwrite replaces only the partitions present.
+
+    ``rebalance`` clusters rows by day so each task writes few files, and lets
+    adaptive execution split a day that holds a large share of the rows over
+    several tasks (a plain ``repartition(day)`` would put it in one task).
+    """
+    (df.hint("rebalance", partition_col).write.mode(mode)
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
 

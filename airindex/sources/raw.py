@@ -39,7 +39,7 @@ def read_raw(spark: SparkSession, paths: str | Sequence[str], multi_line: bool =
 
 def write_raw(payload: DataFrame, root: str) -> None:
     """Land payload rows as ``city_slug/yyyy/mm/dd`` directories, one object per file."""
-    (payload.repartition("city_slug", "yyyy", "mm", "dd")
+    (payload.hint("rebalance", "city_slug", "yyyy", "mm", "dd")
      .write.mode("overwrite").partitionBy("city_slug", "yyyy", "mm", "dd").json(root))
 
 
