@@ -238,7 +238,7 @@ def q_latest_file(spark, sf_dir):
 
 ADHOC_SQL = f"""
 SELECT l.city_name, d.year, d.month, count(*) AS days,
-       count_if(f.data_quality_status = '{STATUS_VALID}') AS valid_days,
+       cast(count_if(f.data_quality_status = '{STATUS_VALID}') AS bigint) AS valid_days,
        max(f.vn_aqi) AS max_vn_aqi, max(f.max_pm2_5) AS max_pm2_5
 FROM fact_air_quality f
 JOIN dim_date d ON f.date_id = d.date_id

@@ -21,7 +21,7 @@ def fact(spark, sf_dir):
     return daily_air_index(readings(spark, sf_dir))
 
 
-_VALID = f"count_if(data_quality_status = {O.q(STATUS_VALID)})"
+_VALID = f"cast(count_if(data_quality_status = {O.q(STATUS_VALID)}) AS bigint)"
 
 
 @register("kpi_summary", O.with_fact(f"""
@@ -92,7 +92,7 @@ def q_coverage_gaps(spark, sf_dir):
 @register("pollutant_correlation", O.with_readings("\n UNION ALL ".join(
     f"SELECT {O.q(a)} AS pollutant_a, {O.q(b)} AS pollutant_b, "
     f"{O.rnd(f'corr({a}, {b})', CORR_DIGITS)} AS corr, "
-    f"count_if({a} IS NOT NULL AND {b} IS NOT NULL) AS n FROM readings"
+    f"cast(count_if({a} IS NOT NULL AND {b} IS NOT NULL) AS bigint) AS n FROM readings"
     for a, b in combinations(POLLUTANTS, 2))))
 def q_pollutant_correlation(spark, sf_dir):
     return pollutant_correlation(readings(spark, sf_dir))
