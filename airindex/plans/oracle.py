@@ -133,11 +133,12 @@ readings AS (
 READING_COLS = ("location_id, lon, lat, measured_at, aqi_level, co, no, no2, o3, so2, pm2_5, "
                 "pm10, nh3, aqi_label, measure_date, measure_year, measure_month, measure_day")
 
-ROLLED = READINGS + f""",
-buckets AS (
-  SELECT *, measure_date AS bucket FROM readings
+def rolled_ctes(src: str = "readings") -> str:
+    """CTEs ``buckets`` and ``rolled`` (8-row ozone window per location-day with halo)."""
+    return f"""buckets AS (
+  SELECT *, measure_date AS bucket FROM {src}
   UNION ALL
-  SELECT *, measure_date + 1 AS bucket FROM readings),
+  SELECT *, measure_date + 1 AS bucket FROM {src}),
 rolled AS (
   SELECT * FROM (
     SELECT *, {window_mean_sql('o3')} AS rolling_o3, count(o3) OVER w AS count_o3
@@ -147,6 +148,9 @@ rolled AS (
   WHERE measure_date = bucket)"""
 
 
+ROLLED = READINGS + ",\n" + rolled_ctes()
+
+
 def rollup_sql(src: str, keys: str = "location_id, measure_date", with_8h: bool = True) -> str:
     cols = [f"{mean_sql('aqi_level')} AS avg_aqi", "max(aqi_level) AS max_aqi",
             "min(aqi_level) AS min_aqi", f"{mean_sql('pm2_5')} AS avg_pm2_5",
@@ -175,8 +179,9 @@ FACT_COLS = ("date_id, location_id, vn_aqi, dominant_pollutant, health_implicati
              "max_8h_o3, avg_co, avg_no2, avg_so2, avg_o3, avg_no, avg_nh3, record_count, "
              "measure_date")
 
-FACT = ROLLED + f""",
-daily AS ({rollup_sql('rolled')}),
+def fact_ctes() -> str:
+    """CTEs from ``rolled`` to ``fact`` (the daily index fact); ``fact_all`` keeps sub-indexes."""
+    return f"""daily AS ({rollup_sql('rolled')}),
 idx AS (SELECT *, {sub_index_cols()} FROM daily),
 ozone AS (SELECT *, CASE WHEN max_8h_o3 > {O3_8H_CEILING} THEN aqi_o3_1h
                          ELSE greatest(aqi_o3_1h, aqi_o3_8h) END AS aqi_o3 FROM idx),
@@ -191,6 +196,9 @@ fact_all AS (SELECT *, {health_label_sql('vn_aqi')} AS health_implication,
 fact AS (SELECT {FACT_COLS} FROM fact_all)"""
 
 
+FACT = ROLLED + ",\n" + fact_ctes()
+
+
 def with_fact(select: str) -> str:
     """A query over the ``fact`` CTE (and ``readings``)."""
     return f"WITH {FACT}\n{select}"
