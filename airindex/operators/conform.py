@@ -22,21 +22,26 @@ def with_date_parts(df: DataFrame, ts: str = "measured_at") -> DataFrame:
     return out.withColumns(date_parts("measure_date"))
 
 
-def flatten_measurements(raw: DataFrame, locations: DataFrame | None = None) -> DataFrame:
+def flatten_measurements(raw: DataFrame, locations: DataFrame | None = None,
+                         carry: tuple[str, ...] = ()) -> DataFrame:
     """Raw payload -> one row per measurement, in the conformed reading layout.
 
     Empty or NULL lists yield no rows. With ``locations`` (location_id, lon, lat)
-    the location id is resolved by an equi-join on the coordinates.
+    the location id is resolved by an equi-join on the coordinates. ``carry``
+    names raw columns (e.g. file metadata) to keep, after the reading columns.
     """
     flat = raw.select(F.col("coord.lon").cast("double").alias("lon"),
                       F.col("coord.lat").cast("double").alias("lat"),
-                      F.explode(F.col("list")).alias("m"))
+                      F.explode(F.col("list")).alias("m"), *carry)
     cols = [F.col("lon"), F.col("lat"),
             epoch_to_timestamp(F.col("m.dt")).alias("measured_at"),
             F.col("m.main.aqi").cast("int").alias("aqi_level")]
     cols += [F.col(f"m.components.{p}").cast("double").alias(p) for p in POLLUTANTS]
+    cols += [F.col(c) for c in carry]
     out = flat.select(*cols).withColumn("aqi_label", level_label("aqi_level"))
     out = with_date_parts(out)
+    if carry:
+        out = out.select(*[c for c in out.columns if c not in carry], *carry)
     if locations is not None:
         out = out.join(locations.select("location_id", "lon", "lat"), ["lon", "lat"], "inner")
         out = out.select("location_id", *[c for c in out.columns if c != "location_id"])

@@ -21,10 +21,11 @@ from pyspark.sql import functions as F
 
 from airindex.functions.exact import mean_half_up
 from airindex.operators.conform import flatten_measurements
-from airindex.operators.upsert import upsert_partitioned
+from airindex.operators.upsert import latest_per_key, upsert_partitioned
 from airindex.schemas import RAW, READING
 
 READING_KEYS = ("location_id", "measured_at")
+LANDED = "_landed"
 READING_UPDATE_COLS = ("aqi_level", "co", "no", "no2", "o3", "so2", "pm2_5", "pm10", "nh3",
                        "aqi_label")
 
@@ -43,8 +44,11 @@ def landing_stream(spark: SparkSession, root: str, locations: DataFrame,
               .option("recursiveFileLookup", True).option("pathGlobFilter", "*.json"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.json(root).select("coord", "list")
-    readings = flatten_measurements(raw, locations)
+    # Which file a reading came from: newer files win when a batch has two versions.
+    landed = F.struct(F.col("_metadata.file_modification_time").alias("mtime"),
+                      F.col("_metadata.file_path").alias("path"))
+    raw = reader.json(root).select("coord", "list", landed.alias(LANDED))
+    readings = flatten_measurements(raw, locations, carry=(LANDED,))
     if dedupe_watermark:
         readings = (readings.withWatermark("measured_at", dedupe_watermark)
                     .dropDuplicatesWithinWatermark(list(READING_KEYS)))
@@ -54,10 +58,16 @@ def landing_stream(spark: SparkSession, root: str, locations: DataFrame,
 def upsert_sink(table_path: str, keys: Sequence[str] = READING_KEYS,
                 update_cols: Sequence[str] = READING_UPDATE_COLS,
                 partition_col: str = "measure_date") -> Callable[[DataFrame, int], None]:
-    """foreachBatch function: merge each micro-batch into the table at ``table_path``."""
+    """foreachBatch function: merge each micro-batch into the table at ``table_path``.
+
+    Across micro-batches the later batch wins (batches follow file arrival).
+    """
     columns = [f.name for f in READING.fields]
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if LANDED in batch.columns:
+            # Latest landing file wins within the micro-batch (map-side reduced).
+            batch = latest_per_key(batch, list(keys), LANDED)
         upsert_partitioned(batch.sparkSession, table_path, batch.select(*columns), keys,
                            partition_col, update_cols, schema=READING)
     return write
