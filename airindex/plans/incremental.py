@@ -27,8 +27,9 @@ from airindex.schemas import FACT_COLUMNS, READING
 READING_KEYS = ("location_id", "measured_at")
 READING_UPDATE_COLS = ("aqi_level", "co", "no", "no2", "o3", "so2", "pm2_5", "pm10", "nh3",
                        "aqi_label")
-FACT_KEYS = ("date_id", "location_id")
-FACT_UPDATE_COLS = tuple(c for c in FACT_COLUMNS if c not in FACT_KEYS + ("measure_date",))
+# Natural key of the fact (same rows as (date_id, location_id)); matches its partitioning.
+FACT_KEYS = ("location_id", "measure_date")
+FACT_UPDATE_COLS = tuple(c for c in FACT_COLUMNS if c not in FACT_KEYS + ("date_id",))
 
 
 def refresh_daily_fact(spark: SparkSession, readings_path: str, fact_path: str,

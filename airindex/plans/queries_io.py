@@ -27,8 +27,11 @@ READING_COLUMNS = [f.name for f in READING.fields]
 READING_KEYS = ("location_id", "measured_at")
 READING_UPDATE_COLS = ("aqi_level", "co", "no", "no2", "o3", "so2", "pm2_5", "pm10", "nh3",
                        "aqi_label")
-FACT_KEYS = ("date_id", "location_id")
-FACT_UPDATE_COLS = tuple(c for c in FACT_COLUMNS if c not in FACT_KEYS + ("measure_date",))
+# The fact's natural key. It identifies the same rows as (date_id, location_id), since
+# date_id is yyyyMMdd of measure_date, and matches the fact's partitioning, so the
+# merge join needs no extra shuffle.
+FACT_KEYS = ("location_id", "measure_date")
+FACT_UPDATE_COLS = tuple(c for c in FACT_COLUMNS if c not in FACT_KEYS + ("date_id",))
 SPLIT_LAST_TARGET_DAY = 20
 SPLIT_FIRST_UPDATE_DAY = 18
 
