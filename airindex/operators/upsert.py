@@ -43,7 +43,12 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: str | None = No
     if not cols:
         return df.dropDuplicates(list(keys))
     row = F.struct(*[F.col(c) for c in cols])
-    pick = F.max_by(row, F.col(order_by)) if order_by else F.max(row)
+    if order_by:
+        # Rows with a NULL order value lose to any non-NULL one but are never dropped.
+        order = F.struct(F.col(order_by).isNotNull(), F.col(order_by))
+        pick = F.max_by(row, order)
+    else:
+        pick = F.max(row)
     return df.groupBy(*keys).agg(pick.alias("_row")).select(*keys, "_row.*")
 
 

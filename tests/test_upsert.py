@@ -42,6 +42,13 @@ def test_duplicates_latest_wins_and_null_keys(spark):
     assert null_key_rows(updates, ["k"]).count() == 1
 
 
+def test_latest_per_key_null_order(spark):
+    df = spark.createDataFrame([(1, D1, 5.0, "a", None), (1, D1, 7.0, "b", 3),
+                                (2, D1, 9.0, "c", None)], SCHEMA + ", seq int")
+    got = _set(latest_per_key(df, ["k"], "seq").select("k", "v"))
+    assert got == [(1, 7.0), (2, 9.0)]
+
+
 def test_latest_per_key_skewed_key(spark):
     # One key holds most rows: the grouped max_by reduces it map-side.
     rows = [(1, D1, float(i), "x", i) for i in range(1000)] + [(2, D1, 0.0, "y", 0)]
