@@ -85,3 +85,22 @@ def rolling_seconds(df: DataFrame, value: str, seconds: int = 8 * 3600,
             .withColumn(mean_col, exact_window_mean(value, w, count=F.col(count_col)))
             .filter(F.col(day) == F.col(BUCKET))
             .drop(BUCKET, "_epoch"))
+
+
+def rolling_mean(df: DataFrame, value: str, order: str = "measured_at",
+                 partition: Sequence[str] = ("location_id",), rows: int | None = 8,
+                 seconds: int | None = None, min_count: int | None = None,
+                 day: str = "measure_date") -> DataFrame:
+    """Trailing mean of ``value`` over ``rows`` rows or ``seconds`` of time.
+
+    Adds ``rolling_<value>`` and ``count_<value>``; with ``min_count`` the mean is
+    NULL where fewer non-NULL values were in the frame.
+    """
+    if seconds is not None:
+        out = rolling_seconds(df, value, seconds, order, partition, day)
+    else:
+        out = rolling_rows(df, value, rows or 8, order, partition, day)
+    if min_count is not None:
+        mean, count = f"rolling_{value}", f"count_{value}"
+        out = out.withColumn(mean, F.when(F.col(count) >= min_count, F.col(mean)))
+    return out

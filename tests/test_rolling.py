@@ -97,3 +97,16 @@ def test_hours_window_equals_full_history_window(spark):
     brute = r.withColumns({"rolling_o3": exact_window_mean("o3", w),
                            "count_o3": F.count("o3").over(w)})
     assert ours.exceptAll(brute.select(*ours.columns)).count() == 0
+
+
+def test_rolling_mean_min_count(spark):
+    from airindex.operators.rolling import rolling_mean
+    t0 = dt.datetime(2024, 1, 1, 0)
+    vals = [1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0]
+    df = spark.createDataFrame(_rows(1, t0, range(7), vals), SCHEMA)
+    got = _collect(rolling_mean(df, "o3", min_count=6))
+    assert got[(1, t0 + dt.timedelta(hours=4))] == (None, 5)
+    assert got[(1, t0 + dt.timedelta(hours=5))] == (3.5, 6)
+    by_time = _collect(rolling_mean(df, "o3", seconds=3 * 3600, min_count=2))
+    assert by_time[(1, t0)] == (None, 1)
+    assert by_time[(1, t0 + dt.timedelta(hours=6))] == (6.0, 3)
