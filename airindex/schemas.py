@@ -46,7 +46,8 @@ FACT_COLUMNS = (
     "avg_no", "avg_nh3", "record_count", "measure_date",
 )
 
-# Report extract, in column order.
+# Report extract, in column order. These column names (including
+# avg_aqi_owm, the source's own 1-5 level averaged) are the extract's published format.
 REPORT = T.StructType([
     T.StructField("measure_date", T.DateType()),
     T.StructField("year", T.IntegerType()),
