@@ -153,7 +153,7 @@ def q_bronze_json_roundtrip(spark, sf_dir):
     locs = dim_location(spark, sf_dir)
     root = scratch_path(spark, "landing")
     write_raw(raw_payload(readings(spark, sf_dir), locs), root)
-    raw = read_raw(spark, f"{root}/*/*/*/*/*.json")
+    raw = read_raw(spark, root, recursive=True)
     return flatten_measurements(raw, locs).select(*READING_COLUMNS)
 
 

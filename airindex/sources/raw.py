@@ -20,15 +20,20 @@ def day_glob(root: str, day: dt.date | str) -> str:
 
 
 def read_raw(spark: SparkSession, paths: str | Sequence[str], multi_line: bool = True,
-             schema=RAW) -> DataFrame:
+             schema=RAW, recursive: bool = False) -> DataFrame:
     """Raw payload with the explicit schema; a missing path yields an empty frame.
 
     Passing the schema skips inference, so an empty ``list`` or an integral value
     never changes column types. ``multi_line`` reads each file as one document.
+    ``recursive`` reads every ``*.json`` below the given folders (one listing pass,
+    much cheaper than expanding a multi-level glob).
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
+    reader = spark.read.schema(schema).option("multiLine", multi_line)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
     try:
-        df = spark.read.schema(schema).option("multiLine", multi_line).json(paths)
+        df = reader.json(paths)
     except AnalysisException as exc:
         if getattr(exc, "getCondition", lambda: None)() == "PATH_NOT_FOUND" or \
                 "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
