@@ -19,6 +19,31 @@ def day_glob(root: str, day: dt.date | str) -> str:
     return f"{root.rstrip('/')}/*/{day:%Y}/{day:%m}/{day:%d}*.json"
 
 
+def range_glob(root: str, start: dt.date | str, end: dt.date | str) -> str:
+    """One glob for the landing files of every location on ``[start, end]``.
+
+    Days are alternatives (``{yyyy/mm/dd,...}``; a fully covered month becomes
+    ``yyyy/mm/*``), so days without files are simply absent; only a range with no
+    file at all is a missing path.
+    """
+    start = dt.date.fromisoformat(start) if isinstance(start, str) else start
+    end = dt.date.fromisoformat(end) if isinstance(end, str) else end
+    if end < start:
+        raise ValueError(f"end {end} is before start {start}")
+    alts, day = [], start
+    while day <= end:
+        first = day.replace(day=1)
+        nxt = (first + dt.timedelta(days=32)).replace(day=1)
+        last = nxt - dt.timedelta(days=1)
+        if day == first and last <= end:
+            alts.append(f"{day:%Y}/{day:%m}/*")
+            day = nxt
+        else:
+            alts.append(f"{day:%Y}/{day:%m}/{day:%d}")
+            day += dt.timedelta(days=1)
+    return f"{root.rstrip('/')}/*/{{{','.join(alts)}}}*.json"
+
+
 def read_raw(spark: SparkSession, paths: str | Sequence[str], multi_line: bool = True,
              schema=RAW, recursive: bool = False) -> DataFrame:
     """Raw payload with the explicit schema; a missing path yields an empty frame.
