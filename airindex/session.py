@@ -71,3 +71,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder for written intermediates."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/airindex-scratch/{name}-{uuid.uuid4().hex}"
+
+
+def scale_conf(total_cores: int, input_bytes: int, shuffle_bytes: int | None = None,
+               partition_bytes: int = 256 << 20, max_partitions: int = 100_000) -> dict:
+    """Settings for a cluster run, sized from the core count and the data volume.
+
+    * scan splits of ``partition_bytes`` (``spark.sql.files.maxPartitionBytes``);
+    * the initial shuffle partition count follows the largest *shuffle* (default:
+      a tenth of the input, since every large shuffle here follows a map-side
+      partial aggregate), at least 3 waves of the cores and at most
+      ``max_partitions`` (map-output metadata grows with map tasks x partitions);
+    * adaptive execution coalesces partitions to ``partition_bytes`` and splits
+      skewed join and rebalance partitions.
+    """
+    shuffle_bytes = input_bytes // 10 if shuffle_bytes is None else shuffle_bytes
+    by_volume = -(-shuffle_bytes // partition_bytes)
+    initial = min(max(3 * total_cores, by_volume), max_partitions)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    }
