@@ -79,3 +79,12 @@ def test_entry_contract(spark):
     assert len(q) >= 60
     assert set(q) - set(o) == {"forecast_fourier"}
     assert F is not None
+
+
+def test_scale_conf_sizes_partitions():
+    from airindex.session import scale_conf
+    big = scale_conf(8000, 100 * 2 ** 40)
+    assert big["spark.sql.shuffle.partitions"] == "40960"
+    assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+    assert scale_conf(8, 10 ** 8)["spark.sql.shuffle.partitions"] == "24"
+    assert scale_conf(10, 10 ** 18)["spark.sql.shuffle.partitions"] == "100000"
