@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from airindex.operators.series import future_frame
+from airindex.schemas import FORECAST
 
 DIGITS = 2
 
@@ -52,10 +53,6 @@ def forecast_linear(series: DataFrame, horizon: int = 30, band=(0.1, 0.9)) -> Da
                       F.round(yhat + F.col("hi"), DIGITS).alias("yhat_upper"))
 
 
-FOURIER_SCHEMA = ("series_id string, ds date, step int, yhat double, yhat_lower double, "
-                  "yhat_upper double")
-
-
 def _design(t: np.ndarray, weekly: int, yearly: int, changepoints: np.ndarray,
             holiday: np.ndarray | None = None) -> np.ndarray:
     cols = [np.ones_like(t), t]
@@ -119,4 +116,4 @@ def forecast_fourier(series: DataFrame, horizon: int = 30, weekly: int = 3, year
     fn = _fit_predict(horizon, weekly, yearly, n_changepoints, ridge, band,
                       frozenset(holidays) if holidays else None)
     return (series.select("series_id", "ds", "y")
-            .groupBy("series_id").applyInPandas(fn, FOURIER_SCHEMA))
+            .groupBy("series_id").applyInPandas(fn, FORECAST))

@@ -74,5 +74,6 @@ REPORT = T.StructType([
     T.StructField("record_count", T.IntegerType()),
 ])
 
-SERIES = "series_id string, ds date, y double"
-FORECAST = "series_id string, ds date, yhat double, yhat_lower double, yhat_upper double"
+# Per-series forecast rows (step = days after the last observed day; 0 = anchor).
+FORECAST = ("series_id string, ds date, step int, yhat double, yhat_lower double, "
+            "yhat_upper double")

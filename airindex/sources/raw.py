@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airindex.functions.dates import slug
+from airindex.functions.dates import day_end_epoch, slug
 from airindex.schemas import RAW
 
 
@@ -98,7 +98,7 @@ def request_plan(locations: DataFrame, start: dt.date | str | None = None,
     return days.select(
         "location_id", "request_date", "lon", "lat",
         start_epoch.alias("start_epoch"),
-        (start_epoch + F.lit(86399)).alias("end_epoch"),
+        day_end_epoch(start_epoch).alias("end_epoch"),
         city.alias("city_slug"),
         F.format_string("%s/%s/%s/%s.json", city, F.date_format("request_date", "yyyy"),
                         F.date_format("request_date", "MM"),
