@@ -252,10 +252,8 @@ GROUP BY l.city_name, d.year, d.month"""
           + ",\nfact_air_quality AS (SELECT * FROM fact)" + ADHOC_SQL)
 def q_adhoc_sql_report(spark, sf_dir):
     """Plain SQL over temp views of the fact and both dimensions."""
-    fact = daily_air_index(readings(spark, sf_dir))
-    fact.createOrReplaceTempView("fact_air_quality")
-    dim_date_spanning(readings(spark, sf_dir)).createOrReplaceTempView("dim_date")
-    dim_location(spark, sf_dir).createOrReplaceTempView("dim_location")
+    from airindex.plans.views import register_views
+    register_views(spark, sf_dir)
     return spark.sql(ADHOC_SQL)
 
 

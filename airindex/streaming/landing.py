@@ -84,6 +84,21 @@ def run_available_now(stream: DataFrame, sink: Callable[[DataFrame, int], None],
     writer.start().awaitTermination()
 
 
+def start_continuous(stream: DataFrame, sink: Callable[[DataFrame, int], None],
+                     checkpoint_location: str, every: str = "5 minutes",
+                     name: str | None = None):
+    """Run the same pipeline as a live feed: a micro-batch every ``every``.
+
+    Returns the running ``StreamingQuery`` (stop it with ``.stop()``).
+    """
+    writer = (stream.writeStream.foreachBatch(sink)
+              .option("checkpointLocation", checkpoint_location)
+              .trigger(processingTime=every))
+    if name:
+        writer = writer.queryName(name)
+    return writer.start()
+
+
 def sliding_mean(readings: DataFrame, value: str = "o3", window: str = "8 hours",
                  slide: str = "1 hour", ts: str = "measured_at",
                  by: Sequence[str] = ("location_id",), watermark: str | None = None,

@@ -96,3 +96,14 @@ def test_latest_export(spark, tmp_dir):
     b.write.parquet(f"{root}/export=2")
     got = sorted(r.x for r in latest_export(spark.read.parquet(root)).collect())
     assert got == [2, 3]
+
+
+def test_coverage_gaps_missing_day_and_silent_location(spark):
+    from airindex.operators.quality import coverage_gaps
+    d = [dt.date(2024, 1, i) for i in (1, 2, 3)]
+    r = spark.createDataFrame([(0, d[0]), (0, d[2]), (1, d[0]), (1, d[1]), (1, d[2])],
+                              "location_id int, measure_date date")
+    locs = spark.createDataFrame([(0, "A"), (1, "B"), (2, "C")],
+                                 "location_id int, city_name string")
+    got = sorted((x.location_id, x.measure_date) for x in coverage_gaps(r, locs).collect())
+    assert got == [(0, d[1]), (2, d[0]), (2, d[1]), (2, d[2])]
