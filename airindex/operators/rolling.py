@@ -1,90 +1,114 @@
-"""Trailing rolling means with a minimum-count rule, partitioned by location-day.
-
-A window with only a location key would put one long series in one task; with
-no key at all (as a single-day job can get away with) everything lands in one
-task. Instead each reading is assigned to its own day and, as a halo, to the
-following day(s); the window then runs per ``(location, bucket day)`` and only
-rows whose own day equals the bucket are kept. Group size is bounded by one
-location-day plus its halo, whatever the history length.
-
-* ``rolling_rows`` (row frame): with ``halo_days=1`` this is exactly a job that
-  reads day D-1 and D and keeps D, run for every D at once.
-* ``rolling_seconds`` (range frame over epoch seconds): for a frame shorter
-  than a day the one-day halo makes it equal to a window over the full history.
+"""Trailing rolling means with a minimum-count rule, partitioned by location-month.
+
+A window with only a location key puts one long series in one task; with no key
+at all (as a single-day job can get away with) everything lands in one task.
+Here the window runs per ``(location, month bucket)``: each reading belongs to
+its own month's bucket, and readings near the end of a month are also copied
+into the next month's bucket as a halo. A bucket holds one location-month plus
+its halo (at most 744 + 24 hourly rows), whatever the history length, and only
+the halo rows (about 3 %) are shuffled twice.
+
+* ``rolling_rows`` (row frame) reproduces a job that reads day D-1 and D and
+  keeps D, for every D at once: the frame collects its (day, value) pairs and
+  keeps those from D-1 and D. Those are the newest rows of the frame, so what is
+  kept is exactly the last ``rows`` rows of the two-day buffer. The halo is the
+  last ``halo_days`` days of each month.
+* ``rolling_seconds`` (range frame over epoch seconds) equals a window over the
+  whole history; its halo is the last ``seconds`` of each month.
+
+The bucket column stays available (``keep_bucket``) so that a following
+aggregation on ``(location, bucket, day)`` reuses the window's partitioning.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from airindex.functions.exact import exact_window_mean
+from airindex.functions.exact import SCALE, units
 
-BUCKET = "_bucket_day"
+BUCKET = "_bucket_month"
 
 
-def with_day_halo(df: DataFrame, day: str = "measure_date", halo_days: int = 1,
-                  halo_filter=None) -> DataFrame:
-    """Duplicate each row into its own day's bucket and the next ``halo_days`` buckets.
+def _month(day: Column) -> Column:
+    return F.trunc(day, "month")
+
+
+def with_month_halo(df: DataFrame, day: str = "measure_date", halo=None) -> DataFrame:
+    """Assign each row to its month's bucket and, where ``halo`` holds, also to the next."""
+    own = _month(F.col(day))
+    nxt = F.add_months(own, 1)
+    buckets = F.array(own)
+    if halo is not None:
+        buckets = F.when(halo, F.array(own, nxt)).otherwise(F.array(own))
+    return df.withColumn(BUCKET, F.explode(buckets))
 
-    ``halo_filter`` (a Column) limits which rows are copied forward; rows failing it
-    only go to their own day.
-    """
-    d = F.col(day)
-    own = F.array(d)
-    forward = F.array(*[F.date_add(d, k) for k in range(1, halo_days + 1)])
-    if halo_filter is not None:
-        forward = F.when(halo_filter, forward).otherwise(F.array().cast("array<date>"))
-    return df.withColumn(BUCKET, F.explode(F.concat(own, forward)))
+
+def _own_bucket(day: str) -> Column:
+    return _month(F.col(day)) == F.col(BUCKET)
 
 
 def rolling_rows(df: DataFrame, value: str, rows: int = 8, order: str = "measured_at",
                  partition: Sequence[str] = ("location_id",), day: str = "measure_date",
                  halo_days: int = 1, mean_col: str | None = None,
                  count_col: str | None = None, keep_bucket: bool = False) -> DataFrame:
-    """Mean and non-NULL count of ``value`` over the current and ``rows - 1`` previous rows.
+    """Mean and non-NULL count of ``value`` over the current and ``rows - 1`` previous rows,
+    restricted to rows of the current day and the ``halo_days`` days before it.
 
     Returns ``df`` plus ``mean_col`` / ``count_col`` (default ``rolling_<value>``,
-    ``count_<value>``). With ``keep_bucket`` the bucket column stays, equal to ``day``,
-    so a following aggregation on ``(partition, bucket)`` reuses the window's shuffle.
+    ``count_<value>``). The mean is an exact integer-unit mean (see ``exact``).
     """
     mean_col = mean_col or f"rolling_{value}"
     count_col = count_col or f"count_{value}"
+    d = F.col(day)
+    last_of_month = F.date_sub(F.add_months(_month(d), 1), 1)
+    halo = d > F.date_sub(last_of_month, halo_days)
     w = (Window.partitionBy(*partition, BUCKET).orderBy(order)
          .rowsBetween(-(rows - 1), Window.currentRow))
-    out = (with_day_halo(df, day, halo_days)
-           .withColumn(count_col, F.count(value).over(w))
-           .withColumn(mean_col, exact_window_mean(value, w, count=F.col(count_col)))
-           .filter(F.col(day) == F.col(BUCKET)))
+    item = F.struct(F.unix_date(d).alias("d"), units(value).alias("u"))
+    first_day = F.unix_date(d) - halo_days
+    kept = F.filter(F.col("_frame"), lambda x: (x["d"] >= first_day) & x["u"].isNotNull())
+    total = F.aggregate(kept, F.lit(0).cast("long"), lambda acc, x: acc + x["u"])
+    out = (with_month_halo(df, day, halo)
+           .withColumn("_frame", F.collect_list(item).over(w))
+           .filter(_own_bucket(day))
+           .withColumn(count_col, F.size(kept).cast("long")))
+    out = out.withColumn(mean_col, F.when(F.col(count_col) > 0,
+                                          total / (F.col(count_col) * float(10 ** SCALE))))
+    out = out.drop("_frame")
     return out if keep_bucket else out.drop(BUCKET)
 
 
 def rolling_seconds(df: DataFrame, value: str, seconds: int = 8 * 3600,
                     order: str = "measured_at", partition: Sequence[str] = ("location_id",),
                     day: str = "measure_date", mean_col: str | None = None,
-                    count_col: str | None = None) -> DataFrame:
+                    count_col: str | None = None, keep_bucket: bool = False) -> DataFrame:
     """Mean and count over readings in ``(t - seconds + 1 h .. t]``: a true time window.
 
     The frame is ``rangeBetween(-(seconds - 3600), 0)`` on epoch seconds, so 8 hours
     of hourly readings means the current hour and the 7 before it.
     """
-    if seconds > 86400:
-        raise ValueError("rolling_seconds supports frames up to one day")
+    if seconds > 28 * 86400:
+        raise ValueError("rolling_seconds supports frames shorter than a month")
     mean_col = mean_col or f"rolling_{value}"
     count_col = count_col or f"count_{value}"
     lookback = seconds - 3600
     epoch = F.unix_timestamp(F.col(order))
-    next_day_start = F.unix_timestamp(F.date_add(F.col(day), 1).cast("timestamp"))
-    near_midnight = epoch > next_day_start - F.lit(lookback + 1)
+    next_month_start = F.unix_timestamp(F.add_months(_month(F.col(day)), 1).cast("timestamp"))
+    halo = epoch > next_month_start - F.lit(lookback + 1)
     w = (Window.partitionBy(*partition, BUCKET).orderBy(F.col("_epoch"))
          .rangeBetween(-lookback, Window.currentRow))
-    return (with_day_halo(df.withColumn("_epoch", epoch), day, 1, halo_filter=near_midnight)
-            .withColumn(count_col, F.count(value).over(w))
-            .withColumn(mean_col, exact_window_mean(value, w, count=F.col(count_col)))
-            .filter(F.col(day) == F.col(BUCKET))
-            .drop(BUCKET, "_epoch"))
+    n = F.count(value).over(w)
+    total = F.sum(units(value)).over(w)
+    out = (with_month_halo(df.withColumn("_epoch", epoch), day, halo)
+           .withColumns({count_col: n, "_total": total})
+           .filter(_own_bucket(day)))
+    out = out.withColumn(mean_col, F.when(F.col(count_col) > 0,
+                                          F.col("_total") / (F.col(count_col) * float(10 ** SCALE))))
+    out = out.drop("_epoch", "_total")
+    return out if keep_bucket else out.drop(BUCKET)
 
 
 def rolling_mean(df: DataFrame, value: str, order: str = "measured_at",

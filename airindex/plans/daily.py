@@ -1,9 +1,10 @@
 """The daily index fact: readings -> rolling ozone -> daily rollup -> index -> labels.
 
-One job covers any date range: the rolling window runs per location-day with a
-one-day halo, so the whole range equals day-by-day runs that read D-1 and D.
-Plan shape: one exchange for the window (location, day), none for the rollup,
-which groups on the same keys.
+One job covers any date range: the rolling window runs per location-month with
+the last day of the previous month as halo and keeps, for each row, the frame rows
+of its own day and the day before, so the whole range equals day-by-day runs that
+read D-1 and D. Plan shape: one exchange for the hourly readings, one for the
+window (location, month), none for the rollup, which groups on the window's keys.
 """
 
 from __future__ import annotations
@@ -94,9 +95,10 @@ def daily_air_index(readings: DataFrame, start=None, end=None, off_scale: str =
     buffer = day_range_buffer(readings, start, end)
     rolled = rolling_rows(buffer, "o3", rows=8, keep_bucket=True)
     if start is not None:
-        rolled = rolled.filter(F.col(BUCKET) >= F.lit(start))
-    daily = (daily_rollup(rolled.drop("measure_date"), keys=("location_id", BUCKET))
-             .withColumnRenamed(BUCKET, "measure_date"))
+        # Above the window: day start-1 was read only as the first day's halo.
+        rolled = rolled.filter(F.col("measure_date") >= F.lit(start))
+    # Grouping on the window's keys plus the day keeps the window's partitioning.
+    daily = daily_rollup(rolled, keys=("location_id", BUCKET, "measure_date")).drop(BUCKET)
     fact = with_air_index(daily, off_scale)
     if keep_sub_indexes:
         extra = [c for c in fact.columns if c.startswith("aqi_") or c == "vn_aqi_raw"]

@@ -73,8 +73,8 @@ def q_daily_max_rolling(spark, sf_dir):
     from airindex.operators.rollup import MIN_8H_VALUES
     from airindex.operators.rolling import BUCKET
     r = rolling_rows(readings(spark, sf_dir), "o3", rows=8, keep_bucket=True)
-    # Group on the window's own keys (bucket = own day here): no extra shuffle.
-    return r.groupBy("location_id", F.col(BUCKET).alias("measure_date")).agg(
+    # Group on the window's keys plus the day: no extra shuffle.
+    return r.groupBy("location_id", BUCKET, "measure_date").agg(
         F.round(F.max(F.when(F.col("count_o3") >= MIN_8H_VALUES, F.col("rolling_o3"))), 2)
         .alias("max_8h_o3"),
-        F.count(F.lit(1)).cast("int").alias("record_count"))
+        F.count(F.lit(1)).cast("int").alias("record_count")).drop(BUCKET)

@@ -110,3 +110,56 @@ def test_rolling_mean_min_count(spark):
     by_time = _collect(rolling_mean(df, "o3", seconds=3 * 3600, min_count=2))
     assert by_time[(1, t0)] == (None, 1)
     assert by_time[(1, t0 + dt.timedelta(hours=6))] == (6.0, 3)
+
+
+def test_month_buckets_match_brute_force(spark):
+    """Random hourly readings with gaps over several month ends, two locations:
+    the row window equals 'last 8 rows of day D-1 and D', the time window equals a
+    window over the whole history."""
+    import random
+    rng = random.Random(7)
+    rows = []
+    start = dt.datetime(2024, 1, 28)
+    for loc in (1, 2):
+        t = start
+        while t < dt.datetime(2024, 3, 3):
+            if rng.random() < 0.7:  # gaps: about 30 % of hours missing
+                v = None if rng.random() < 0.2 else round(rng.uniform(0, 300), 2)
+                rows.append((loc, t, t.date(), v))
+            t += dt.timedelta(hours=rng.choice([1, 1, 1, 2, 5]))
+    df = spark.createDataFrame(rows, SCHEMA)
+    got_rows = _collect(rolling_rows(df, "o3"))
+    got_time = _collect(rolling_seconds(df, "o3", 8 * 3600))
+    by_loc = {}
+    for r in rows:
+        by_loc.setdefault(r[0], []).append(r)
+    for loc, rs in by_loc.items():
+        rs.sort(key=lambda r: r[1])
+        for i, (_, ts, day, _) in enumerate(rs):
+            buf = [r for r in rs[:i + 1] if r[2] >= day - dt.timedelta(days=1)][-8:]
+            vals = [r[3] for r in buf if r[3] is not None]
+            mean, count = got_rows[(loc, ts)]
+            assert count == len(vals)
+            if vals:
+                assert abs(mean - sum(vals) / len(vals)) < 1e-9
+            else:
+                assert mean is None
+            win = [r[3] for r in rs[:i + 1] if r[1] > ts - dt.timedelta(hours=8)]
+            tv = [v for v in win if v is not None]
+            mean_t, count_t = got_time[(loc, ts)]
+            assert count_t == len(tv)
+            if tv:
+                assert abs(mean_t - sum(tv) / len(tv)) < 1e-9
+
+
+def test_range_starting_on_first_of_month(spark):
+    t0 = dt.datetime(2024, 1, 30, 0)
+    rows = [(1, t0 + dt.timedelta(hours=h), (t0 + dt.timedelta(hours=h)).date(),
+             float(h % 50), 10.0, 20.0) for h in range(0, 24 * 4)]
+    df = spark.createDataFrame(rows, SCHEMA + ", pm2_5 double, pm10 double")
+    full = df.withColumns({"aqi_level": F.lit(2), "co": F.lit(1.0), "no": F.lit(1.0),
+                           "no2": F.lit(1.0), "so2": F.lit(1.0), "nh3": F.lit(1.0)})
+    whole = daily_air_index(full).filter(F.col("measure_date") >= "2024-02-01")
+    ranged = daily_air_index(full, "2024-02-01", "2024-02-02")
+    assert ranged.count() == 2
+    assert whole.exceptAll(ranged).count() == 0 and ranged.exceptAll(whole).count() == 0
