@@ -53,21 +53,22 @@ def forecast_linear(series: DataFrame, horizon: int = 30, band=(0.1, 0.9)) -> Da
                       F.round(yhat + F.col("hi"), DIGITS).alias("yhat_upper"))
 
 
-def _design(t: np.ndarray, weekly: int, yearly: int, changepoints: np.ndarray,
-            holiday: np.ndarray | None = None) -> np.ndarray:
-    cols = [np.ones_like(t), t]
-    cols += [np.maximum(t - c, 0.0) for c in changepoints]
-    for period, order in ((7.0, weekly), (365.25, yearly)):
-        for k in range(1, order + 1):
-            cols += [np.sin(2 * np.pi * k * t / period), np.cos(2 * np.pi * k * t / period)]
-    if holiday is not None:
-        cols.append(holiday)
-    return np.column_stack(cols)
-
-
 def _fit_predict(horizon: int, weekly: int, yearly: int, n_changepoints: int, ridge: float,
                  band: tuple[float, float], holidays: frozenset | None):
-    def flags(days: pd.Series) -> np.ndarray | None:
+    """The per-series fit as one self-contained closure (numpy and pandas only), so
+    executors need nothing from this package to run it."""
+
+    def design(t, changepoints, holiday):
+        cols = [np.ones_like(t), t]
+        cols += [np.maximum(t - c, 0.0) for c in changepoints]
+        for period, order in ((7.0, weekly), (365.25, yearly)):
+            for k in range(1, order + 1):
+                cols += [np.sin(2 * np.pi * k * t / period), np.cos(2 * np.pi * k * t / period)]
+        if holiday is not None:
+            cols.append(holiday)
+        return np.column_stack(cols)
+
+    def flags(days: pd.Series):
         if not holidays:
             return None
         return days.dt.date.isin(holidays).to_numpy(dtype=float)
@@ -86,7 +87,7 @@ def _fit_predict(horizon: int, weekly: int, yearly: int, n_changepoints: int, ri
         span = t[-1] if len(t) > 1 else 1.0
         cps = (np.linspace(0, 0.8 * span, n_changepoints + 2)[1:-1] if len(t) > 10
                else np.array([]))
-        x = _design(t, weekly, yearly, cps, flags(pdf["ds"]))
+        x = design(t, cps, flags(pdf["ds"]))
         scale = float(np.std(y)) or 1.0
         penalty = ridge * np.eye(x.shape[1])
         penalty[0, 0] = penalty[1, 1] = 0.0
@@ -96,7 +97,7 @@ def _fit_predict(horizon: int, weekly: int, yearly: int, n_changepoints: int, ri
         steps = np.arange(1, horizon + 1)
         fut_days = pd.Series(last_day + pd.to_timedelta(steps, unit="D"))
         fut_t = (fut_days - t0).dt.days.to_numpy(dtype=float)
-        pred = _design(fut_t, weekly, yearly, cps, flags(fut_days)) @ coef
+        pred = design(fut_t, cps, flags(fut_days)) @ coef
         return pd.DataFrame({
             "series_id": pdf["series_id"].iloc[0], "ds": fut_days.dt.date,
             "step": steps.astype(np.int32),
