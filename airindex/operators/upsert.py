@@ -137,6 +137,35 @@ def upsert_partitioned(spark: SparkSession, path: str, updates: DataFrame, keys:
     return null_key_rows(updates, keys)
 
 
+def merge_into_table(updates: DataFrame, table: str, keys: Sequence[str],
+                     update_cols: Sequence[str] | None = None, order_by: str | None = None):
+    """Upsert into a catalog table that supports row-level operations (Iceberg, Delta).
+
+    Same semantics as ``merge_frames``: NULL-key updates are left out (returned),
+    duplicates are reduced to the latest row per key first (a MERGE with several
+    source rows for one target row is an error), matched rows take ``update_cols``
+    (default: all non-key columns), unmatched rows are inserted whole. Tables
+    without row-level support raise ``UNSUPPORTED_FEATURE``; use
+    ``upsert_partitioned`` for plain parquet folders.
+    """
+    keys = list(keys)
+    good = latest_per_key(updates.filter(~_any_null(keys)), keys, order_by)
+    if order_by and order_by not in updates.columns:
+        good = good.drop(order_by)
+    cols = [c for c in good.columns if c not in keys]
+    update_cols = list(update_cols) if update_cols is not None else cols
+    src = good.alias("s")
+    cond = None
+    for k in keys:
+        c = F.col(f"{table}.{k}") == F.col(f"s.{k}")
+        cond = c if cond is None else cond & c
+    (src.mergeInto(table, cond)
+     .whenMatched().update({c: F.col(f"s.{c}") for c in update_cols})
+     .whenNotMatched().insertAll()
+     .merge())
+    return null_key_rows(updates, keys)
+
+
 def as_of(log: DataFrame, keys: Sequence[str], version: int, version_col: str = "version",
           deleted_col: str | None = None) -> DataFrame:
     """State of an append-only change log as of ``version``: latest row per key."""

@@ -106,3 +106,18 @@ def test_late_reading_affects_two_days(spark):
     upd = spark.createDataFrame([(3, D2)], "location_id int, measure_date date")
     assert _set(affected_dates(upd)) == [(3, D2), (3, D3)]
     assert F is not None
+
+
+def test_merge_into_table_needs_row_level_support(spark, tmp_dir):
+    import pytest
+    from pyspark.errors import AnalysisException, UnsupportedOperationException
+    from airindex.operators.upsert import merge_into_table
+    name = "merge_target_" + os.path.basename(tmp_dir).replace("-", "_")
+    (spark.createDataFrame([(1, D1, 1.0, "t")], SCHEMA).write
+     .option("path", os.path.join(tmp_dir, "t")).saveAsTable(name))
+    updates = spark.createDataFrame([(1, D1, 5.0, "u")], SCHEMA)
+    # A plain parquet table has no row-level operations: the MERGE is refused as such.
+    with pytest.raises((AnalysisException, UnsupportedOperationException)) as err:
+        merge_into_table(updates, name, ["k"], ["v"])
+    assert "UNSUPPORTED_FEATURE" in str(err.value) and "MERGE INTO" in str(err.value)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
