@@ -48,12 +48,12 @@ def test_raw_edge_cases(spark, tmp_dir):
 
 
 def test_request_plan_window(spark):
-    locs = spark.createDataFrame([(0, "Ho Chi Minh City", 106.66, 10.76)],
+    locs = spark.createDataFrame([(0, "Alpha River City", 101.5, 11.5)],
                                  "location_id int, city_name string, lon double, lat double")
     rows = request_plan(locs, "2020-11-25", "2020-11-26").orderBy("request_date").collect()
     assert len(rows) == 2
     assert rows[0].start_epoch == 1606262400 and rows[0].end_epoch == 1606262400 + 86399
-    assert rows[0].object_key == "ho_chi_minh_city/2020/11/25.json"
+    assert rows[0].object_key == "alpha_river_city/2020/11/25.json"
 
 
 def _fact(spark, rows):
