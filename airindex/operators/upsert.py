@@ -150,8 +150,6 @@ def merge_into_table(updates: DataFrame, table: str, keys: Sequence[str],
     """
     keys = list(keys)
     good = latest_per_key(updates.filter(~_any_null(keys)), keys, order_by)
-    if order_by and order_by not in updates.columns:
-        good = good.drop(order_by)
     cols = [c for c in good.columns if c not in keys]
     update_cols = list(update_cols) if update_cols is not None else cols
     src = good.alias("s")

@@ -22,14 +22,8 @@ from pyspark.sql import functions as F
 
 from airindex.operators.upsert import affected_dates, upsert_partitioned
 from airindex.plans.daily import daily_air_index
-from airindex.schemas import FACT_COLUMNS, READING
-
-READING_KEYS = ("location_id", "measured_at")
-READING_UPDATE_COLS = ("aqi_level", "co", "no", "no2", "o3", "so2", "pm2_5", "pm10", "nh3",
-                       "aqi_label")
-# Natural key of the fact (same rows as (date_id, location_id)); matches its partitioning.
-FACT_KEYS = ("location_id", "measure_date")
-FACT_UPDATE_COLS = tuple(c for c in FACT_COLUMNS if c not in FACT_KEYS + ("date_id",))
+from airindex.schemas import (FACT_KEYS, FACT_UPDATE_COLS, READING, READING_KEYS,
+                              READING_UPDATE_COLS)
 
 
 def refresh_daily_fact(spark: SparkSession, readings_path: str, fact_path: str,

@@ -25,9 +25,8 @@ from airindex.operators.conform import flatten_measurements
 from airindex.operators.star import dim_date_spanning, star_report
 from airindex.operators.upsert import upsert_partitioned
 from airindex.plans.daily import daily_air_index, day_range_buffer
-from airindex.plans.incremental import (FACT_KEYS, FACT_UPDATE_COLS, READING_KEYS,
-                                        READING_UPDATE_COLS)
-from airindex.schemas import READING
+from airindex.schemas import (FACT_KEYS, FACT_UPDATE_COLS, READING, READING_KEYS,
+                              READING_UPDATE_COLS)
 from airindex.session import build_session
 from airindex.sinks.files import write_csv
 from airindex.sources.raw import range_glob, read_raw

@@ -17,24 +17,18 @@ from airindex.operators.upsert import (affected_dates, as_of, evolve_union, merg
 from airindex.plans import oracle as O
 from airindex.plans.catalog import register
 from airindex.plans.daily import daily_air_index, two_day_buffer
-from airindex.schemas import FACT_COLUMNS, READING
+from airindex.schemas import (FACT_COLUMNS, FACT_KEYS, FACT_UPDATE_COLS, READING,
+                              READING_KEYS, READING_UPDATE_COLS)
 from airindex.session import scratch_path
 from airindex.sinks.files import latest_export, read_report_csv, write_csv, write_partitioned
 from airindex.sources.raw import read_raw, request_plan, write_raw
 from airindex.sources.tables import dim_location, readings
 
 READING_COLUMNS = [f.name for f in READING.fields]
-READING_KEYS = ("location_id", "measured_at")
-READING_UPDATE_COLS = ("aqi_level", "co", "no", "no2", "o3", "so2", "pm2_5", "pm10", "nh3",
-                       "aqi_label")
-# The fact's natural key. It identifies the same rows as (date_id, location_id), since
-# date_id is yyyyMMdd of measure_date, and matches the fact's partitioning, so the
-# merge join needs no extra shuffle.
-FACT_KEYS = ("location_id", "measure_date")
-FACT_UPDATE_COLS = tuple(c for c in FACT_COLUMNS if c not in FACT_KEYS + ("date_id",))
 SPLIT_LAST_TARGET_DAY = 20
 SPLIT_FIRST_UPDATE_DAY = 18
 
+
 def _day():
     return F.dayofmonth("measure_date")
 

@@ -46,6 +46,15 @@ FACT_COLUMNS = (
     "avg_no", "avg_nh3", "record_count", "measure_date",
 )
 
+# Keys and the columns an upsert replaces on a match. The reading key is the location and
+# the hour; the fact's natural key is (location_id, measure_date), the same rows as
+# (date_id, location_id) since date_id is yyyyMMdd of measure_date.
+READING_KEYS = ("location_id", "measured_at")
+READING_UPDATE_COLS = ("aqi_level", "co", "no", "no2", "o3", "so2", "pm2_5", "pm10", "nh3",
+                       "aqi_label")
+FACT_KEYS = ("location_id", "measure_date")
+FACT_UPDATE_COLS = tuple(c for c in FACT_COLUMNS if c not in FACT_KEYS + ("date_id",))
+
 # Report extract, in column order. These column names (including
 # avg_aqi_owm, the source's own 1-5 level averaged) are the extract's published format.
 REPORT = T.StructType([

@@ -22,12 +22,9 @@ from pyspark.sql import functions as F
 from airindex.functions.exact import mean_half_up
 from airindex.operators.conform import flatten_measurements
 from airindex.operators.upsert import latest_per_key, upsert_partitioned
-from airindex.schemas import RAW, READING
+from airindex.schemas import RAW, READING, READING_KEYS, READING_UPDATE_COLS
 
-READING_KEYS = ("location_id", "measured_at")
 LANDED = "_landed"
-READING_UPDATE_COLS = ("aqi_level", "co", "no", "no2", "o3", "so2", "pm2_5", "pm10", "nh3",
-                       "aqi_label")
 
 
 def landing_stream(spark: SparkSession, root: str, locations: DataFrame,
