@@ -15,7 +15,7 @@ from airindex.functions.labels import (HAZARD_ABOVE, HEALTH_BANDS, HEALTH_NULL,
                                        LEVEL_LABELS, MIN_RECORDS, STATUS_INSUFFICIENT,
                                        STATUS_MISSING_PM, STATUS_VALID, UNKNOWN_LEVEL)
 from airindex.operators.rollup import MIN_8H_VALUES
-from airindex.sources.tables import DECIMALS, LEVEL_STEP, N_LOCATIONS
+from airindex.sources.tables import DECIMALS, LEVEL_STEP, N_LOCATIONS, VALUE_DECIMALS
 
 
 def rnd(x: str, d: int = 2) -> str:
@@ -97,22 +97,22 @@ def date_id_sql(d: str) -> str:
     return f"cast(year({d}) * 10000 + month({d}) * 100 + day({d}) as int)"
 
 
-def _chan(agg: str, kind: str) -> str:
-    return f"{agg}(value) FILTER (WHERE event_type = {q(kind)})"
+def _only(kind: str) -> str:
+    return f"CASE WHEN event_type = {q(kind)} THEN value END"
 
 
 HOURLY = f"""hourly AS (
   SELECT cast(user_id % {N_LOCATIONS} AS int) AS location_id,
          date_trunc('hour', ts) AS measured_at,
-         {rnd('avg(value)', DECIMALS)} AS _mean,
-         {rnd(_chan('avg', 'view'), DECIMALS)} AS pm2_5,
-         {rnd(_chan('avg', 'signup'), DECIMALS)} AS pm10,
-         {_chan('max', 'error')} AS o3,
-         {_chan('max', 'click')} * 5 AS no2,
-         {_chan('max', 'purchase')} * 3 AS so2,
-         {rnd('sum(value) * 100', DECIMALS)} AS co,
+         {mean_sql('value', DECIMALS, VALUE_DECIMALS)} AS _mean,
+         {mean_sql(_only('view'), DECIMALS, VALUE_DECIMALS)} AS pm2_5,
+         {mean_sql(_only('signup'), DECIMALS, VALUE_DECIMALS)} AS pm10,
+         max({_only('error')}) AS o3,
+         max({_only('click')}) * 5 AS no2,
+         max({_only('purchase')}) * 3 AS so2,
+         cast(sum({units_sql('value', VALUE_DECIMALS)}) AS double) AS co,
          min(value) AS no,
-         {_chan('min', 'purchase')} AS nh3
+         min({_only('purchase')}) AS nh3
   FROM events GROUP BY 1, 2)"""
 
 READINGS = HOURLY + f""",

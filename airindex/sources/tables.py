@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airindex.functions.dates import date_parts
+from airindex.functions.exact import mean_half_up, units
 from airindex.functions.labels import level_label
 from airindex.session import ensure_utc
 
@@ -23,6 +24,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 N_LOCATIONS = 8
 LEVEL_STEP = 25.0
 DECIMALS = 6
+VALUE_DECIMALS = 2
 
 
 # Schemas of the source tables the library reads. Passing them skips the footer-reading
@@ -53,8 +55,15 @@ def location_coords(location_id: Column) -> dict[str, Column]:
             "lat": (F.lit(10.0) + location_id).cast("double")}
 
 
-def _channel(agg, event_type: str) -> Column:
-    return agg(F.when(F.col("event_type") == F.lit(event_type), F.col("value")))
+def _only(event_type: str) -> Column:
+    """The event value where the event has the given type (else NULL)."""
+    return F.when(F.col("event_type") == F.lit(event_type), F.col("value"))
+
+
+def _mean(x: Column) -> Column:
+    # Event values carry 2 decimals: an exact mean, rounded HALF_UP to 6 places, is the
+    # same whatever the order in which partial aggregates meet.
+    return mean_half_up(x, DECIMALS, scale=VALUE_DECIMALS)
 
 
 def hourly_channels(events: DataFrame, n_locations: int = N_LOCATIONS) -> DataFrame:
@@ -62,15 +71,15 @@ def hourly_channels(events: DataFrame, n_locations: int = N_LOCATIONS) -> DataFr
     ev = events.select("user_id", "ts", "event_type", "value")
     return (ev.groupBy((F.col("user_id") % F.lit(n_locations)).cast("int").alias("location_id"),
                        F.date_trunc("hour", F.col("ts")).alias("measured_at"))
-            .agg(F.round(F.avg("value"), DECIMALS).alias("_mean"),
-                 F.round(_channel(F.avg, "view"), DECIMALS).alias("pm2_5"),
-                 F.round(_channel(F.avg, "signup"), DECIMALS).alias("pm10"),
-                 _channel(F.max, "error").alias("o3"),
-                 (_channel(F.max, "click") * F.lit(5)).alias("no2"),
-                 (_channel(F.max, "purchase") * F.lit(3)).alias("so2"),
-                 F.round(F.sum("value") * F.lit(100), DECIMALS).alias("co"),
+            .agg(_mean(F.col("value")).alias("_mean"),
+                 _mean(_only("view")).alias("pm2_5"),
+                 _mean(_only("signup")).alias("pm10"),
+                 F.max(_only("error")).alias("o3"),
+                 (F.max(_only("click")) * F.lit(5)).alias("no2"),
+                 (F.max(_only("purchase")) * F.lit(3)).alias("so2"),
+                 F.sum(units("value", VALUE_DECIMALS)).cast("double").alias("co"),
                  F.min("value").alias("no"),
-                 _channel(F.min, "purchase").alias("nh3")))
+                 F.min(_only("purchase")).alias("nh3")))
 
 
 def conform(hourly: DataFrame) -> DataFrame:
