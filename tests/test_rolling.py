@@ -163,3 +163,27 @@ def test_range_starting_on_first_of_month(spark):
     ranged = daily_air_index(full, "2024-02-01", "2024-02-02")
     assert ranged.count() == 2
     assert whole.exceptAll(ranged).count() == 0 and ranged.exceptAll(whole).count() == 0
+
+
+def test_max_8h_needs_six_values(spark):
+    from airindex.operators.rollup import daily_rollup
+    t0 = dt.datetime(2024, 1, 1, 0)
+    # hours 0..7 with o3 values; NULLs make the window counts 5, 6 and 8 at chosen hours
+    vals = [100.0, None, None, None, 10.0, 10.0, 10.0, 10.0, 10.0, 10.0]
+    rows = [(1, t0 + dt.timedelta(hours=h), t0.date(), v) for h, v in enumerate(vals)]
+    df = spark.createDataFrame(rows, SCHEMA).withColumns(
+        {c: F.lit(1.0) for c in ("pm2_5", "pm10", "co", "no2", "so2", "no", "nh3")}
+    ).withColumn("aqi_level", F.lit(2))
+    rolled = rolling_rows(df, "o3")
+    counts = {r.measured_at.hour: r.count_o3 for r in rolled.collect()}
+    assert counts[4] == 2 and counts[6] == 4 and counts[7] == 5 and counts[8] == 5
+    assert counts[9] == 6
+    day = daily_rollup(rolled).first()
+    # hours with >= 6 values: only hour 9 (window 2..9: six 10.0 values) -> 10.0; the
+    # 100.0 at hour 0 only reaches windows with fewer than 6 values
+    assert day.max_8h_o3 == 10.0
+    df8 = spark.createDataFrame([(1, t0 + dt.timedelta(hours=h), t0.date(), 100.0 + h)
+                                 for h in range(8)], SCHEMA)
+    last = {r.measured_at.hour: (r.rolling_o3, r.count_o3)
+            for r in rolling_rows(df8, "o3").collect()}[7]
+    assert last == (103.5, 8)
