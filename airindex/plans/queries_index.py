@@ -9,7 +9,9 @@ from airindex.functions.dates import (clip_at_zero, date_id, epoch_to_timestamp,
 from airindex.functions.index import SUB_INDEXES, breakpoint_table
 from airindex.plans import oracle as O
 from airindex.plans.catalog import register
-from airindex.plans.daily import daily_air_index
+from airindex.operators.rolling import BUCKET, rolling_rows
+from airindex.operators.rollup import daily_rollup
+from airindex.plans.daily import daily_air_index, with_sub_indexes
 from airindex.sources.tables import load, readings
 
 
@@ -117,3 +119,18 @@ def q_city_slug(spark, sf_dir):
 def q_clip_at_zero(spark, sf_dir):
     r = readings(spark, sf_dir).select("location_id", "measured_at", "o3")
     return r.withColumn("o3_excess", clip_at_zero(F.col("o3") - F.lit(100)))
+
+
+_CLAMP_COLS = ["location_id", "measure_date"] + [src for src, _ in SUB_INDEXES.values()]
+
+
+@register("index_clamped", O.with_fact(", clamped AS (SELECT " + ", ".join(
+    _CLAMP_COLS + [f"{O.piecewise_sql(src, segs, 'clamp')} AS {name}"
+                   for name, (src, segs) in SUB_INDEXES.items()]) + " FROM fact_all)\n"
+    "SELECT * FROM clamped"))
+def q_index_clamped(spark, sf_dir):
+    """Sub-indexes with off-scale concentrations clamped to the top index (not 0)."""
+    rolled = rolling_rows(readings(spark, sf_dir), "o3", keep_bucket=True)
+    daily = daily_rollup(rolled, keys=("location_id", BUCKET, "measure_date")).drop(BUCKET)
+    return with_sub_indexes(daily, off_scale="clamp").select(
+        *_CLAMP_COLS, *SUB_INDEXES.keys())
