@@ -61,7 +61,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Unit tests and local runs only: a cluster always names a shared folder.
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a shared folder (HDFS, object store) "
+                "that every executor can reach; checkpoints and scratch tables go there")
+        # Local runs and unit tests only: one machine, so a local folder is shared.
         configured = tempfile.mkdtemp(prefix="airindex-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
