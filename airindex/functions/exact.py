@@ -22,15 +22,15 @@ def _col(c):
 
 def units(x: Column | str, scale: int = SCALE) -> Column:
     """x as an exact count of 10**-scale units (long)."""
-    return F.round(_col(x) * F.lit(float(10 ** scale))).cast("long")
+    return F.round(_col(x) * float(10 ** scale)).cast("long")
 
 
 def half_up_div(num: Column, den: Column) -> Column:
     """round(num / den), half away from zero, for longs with den > 0 (exact)."""
-    a = F.abs(num) * F.lit(2) + den
-    b = den * F.lit(2)
+    a = F.abs(num) * 2 + den
+    b = den * 2
     q = ((a - a % b) / b).cast("long")
-    return F.when(num < F.lit(0), -q).otherwise(q)
+    return F.when(num < 0, -q).otherwise(q)
 
 
 def mean_half_up(x: Column | str, digits: int = 2, scale: int = SCALE) -> Column:
@@ -38,8 +38,8 @@ def mean_half_up(x: Column | str, digits: int = 2, scale: int = SCALE) -> Column
     x = _col(x)
     total = F.sum(units(x, scale))
     n = F.count(x)
-    k = half_up_div(total * F.lit(10 ** digits), n * F.lit(10 ** scale))
-    return F.when(n > F.lit(0), k / F.lit(float(10 ** digits)))
+    k = half_up_div(total * (10 ** digits), n * (10 ** scale))
+    return F.when(n > 0, k / float(10 ** digits))
 
 
 def exact_window_mean(x: Column | str, window, scale: int = SCALE,
