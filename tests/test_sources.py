@@ -86,6 +86,11 @@ def test_star_report_inner_and_csv_round_trip(spark, tmp_dir):
     assert back[0].vn_aqi is None and back[0].avg_pm2_5 is None
     assert back[1].is_hazardous is True and back[0].is_hazardous is False
     assert [tuple(r) for r in back] == [tuple(r) for r in rows]
+    # KPIs straight from the extract read back (the dashboard's path)
+    from airindex.operators.quality import kpi_summary
+    k = kpi_summary(read_report_csv(spark, path)).first()
+    assert (k.total_days, k.valid_days, k.issue_days, k.completeness_pct) == (2, 1, 1, 50.0)
+    assert k.avg_vn_aqi == 210.0 and k.max_pm2_5 == 2.0
 
 
 def test_latest_export(spark, tmp_dir):
