@@ -27,7 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from airindex.functions.exact import SCALE, units
+from airindex.functions.exact import SCALE, exact_window_mean, units
 
 BUCKET = "_bucket_month"
 
@@ -100,14 +100,11 @@ def rolling_seconds(df: DataFrame, value: str, seconds: int = 8 * 3600,
     halo = epoch > next_month_start - F.lit(lookback + 1)
     w = (Window.partitionBy(*partition, BUCKET).orderBy(F.col("_epoch"))
          .rangeBetween(-lookback, Window.currentRow))
-    n = F.count(value).over(w)
-    total = F.sum(units(value)).over(w)
     out = (with_month_halo(df.withColumn("_epoch", epoch), day, halo)
-           .withColumns({count_col: n, "_total": total})
-           .filter(_own_bucket(day)))
-    out = out.withColumn(mean_col, F.when(F.col(count_col) > 0,
-                                          F.col("_total") / (F.col(count_col) * float(10 ** SCALE))))
-    out = out.drop("_epoch", "_total")
+           .withColumn(count_col, F.count(value).over(w))
+           .withColumn(mean_col, exact_window_mean(value, w, count=F.col(count_col)))
+           .filter(_own_bucket(day))
+           .drop("_epoch"))
     return out if keep_bucket else out.drop(BUCKET)
 
 
