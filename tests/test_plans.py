@@ -27,7 +27,7 @@ def _final(df) -> dict:
 
 def test_flagship_plan_shape(spark):
     s = _final(daily_air_index(readings(spark, SF01)))
-    # one exchange for the hourly aggregate, one for the location-day window; the rollup
+    # one exchange for the hourly aggregate, one for the location-month window; the rollup
     # reuses the window's partitioning; never a single-partition exchange
     assert s["exchanges"] == 2 and not s["single"]
     assert s["kinds"] == "hashpartitioning"
