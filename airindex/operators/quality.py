@@ -9,14 +9,15 @@ from airindex.functions.exact import mean_half_up
 from airindex.functions.labels import HOURS_PER_DAY, STATUS_VALID
 
 
-def kpi_summary(fact: DataFrame) -> DataFrame:
-    """One row: mean index, max PM2.5, total / valid / issue days, completeness %.
+def kpi_summary(fact: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Mean index, max PM2.5, total / valid / issue days, completeness %: one row, or one
+    row per ``by`` group (e.g. per location).
 
     "Days" are fact rows (location-days). Completeness is 0 when there are none.
     """
     valid = F.count_if(F.col("data_quality_status") == F.lit(STATUS_VALID))
     total = F.count(F.lit(1))
-    return fact.agg(
+    return fact.groupBy(*by).agg(
         mean_half_up("vn_aqi", 2).alias("avg_vn_aqi"),
         F.max("max_pm2_5").alias("max_pm2_5"),
         total.alias("total_days"),

@@ -34,6 +34,16 @@ def q_kpi_summary(spark, sf_dir):
     return kpi_summary(fact(spark, sf_dir))
 
 
+@register("kpi_by_location", O.with_fact(f"""
+SELECT location_id, {O.mean_sql('vn_aqi')} AS avg_vn_aqi, max(max_pm2_5) AS max_pm2_5,
+       count(*) AS total_days, {_VALID} AS valid_days, count(*) - {_VALID} AS issue_days,
+       CASE WHEN count(*) > 0 THEN {O.rnd(f'{_VALID} * 100.0::double / count(*)', 2)}
+            ELSE 0.0 END AS completeness_pct
+FROM fact GROUP BY location_id"""))
+def q_kpi_by_location(spark, sf_dir):
+    return kpi_summary(fact(spark, sf_dir), by=("location_id",))
+
+
 @register("high_water_mark", O.with_fact("SELECT max(measure_date) AS synced_through FROM fact"))
 def q_high_water_mark(spark, sf_dir):
     return high_water_mark(fact(spark, sf_dir))
