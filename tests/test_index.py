@@ -128,17 +128,21 @@ def test_sub_index_inputs_are_fact_columns():
         "max_8h_o3"}
 
 
-def test_monotone_on_scale(spark):
+@pytest.mark.parametrize("name", sorted(TABLES))
+def test_monotone_on_scale(spark, name):
     from hypothesis import given, settings, strategies as st
+    segs = TABLES[name]
+    top = float(segs[-1][1])
 
-    @settings(max_examples=30, deadline=None)
-    @given(st.lists(st.floats(min_value=0, max_value=500, allow_nan=False), min_size=2,
+    @settings(max_examples=15, deadline=None)
+    @given(st.lists(st.floats(min_value=0, max_value=top, allow_nan=False), min_size=2,
                     max_size=20))
     def check(xs):
-        xs = sorted(set(round(x, 2) for x in xs))
-        got = _index(spark, xs, PM2_5)
+        xs = sorted(set(round(x, 2) for x in xs if round(x, 2) <= top))
+        got = _index(spark, xs, segs)
         seq = [got[x] for x in xs]
         assert seq == sorted(seq)
+        assert all(got[x] == _reference_index(x, segs) for x in xs)
     check()
 
 
