@@ -111,9 +111,12 @@ def forecast_fourier(series: DataFrame, horizon: int = 30, weekly: int = 3, year
                      holidays=None) -> DataFrame:
     """Trend with changepoints + weekly/yearly seasonality (+ holiday dummy), per series.
 
-    ``holidays`` is a small collection of dates (a calendar, not data); it travels
-    with the function. Each group is one daily series.
+    ``holidays`` is a calendar: dates, or a DataFrame whose first column holds them.
+    A calendar is small and bounded (days), so it is gathered once and travels with
+    the function. Each group is one daily series.
     """
+    if isinstance(holidays, DataFrame):
+        holidays = [r[0] for r in holidays.select(holidays.columns[0]).distinct().collect()]
     fn = _fit_predict(horizon, weekly, yearly, n_changepoints, ridge, band,
                       frozenset(holidays) if holidays else None)
     return (series.select("series_id", "ds", "y")

@@ -103,3 +103,13 @@ def test_fourier_matches_direct_fit_per_series(spark):
             assert np.allclose(mine[c].to_numpy(), want[c].to_numpy(), rtol=1e-9, atol=1e-6)
     assert len(got) == 5 * local["series_id"].nunique()
     assert isinstance(local, pd.DataFrame)
+
+
+def test_fourier_learns_holiday_effect(spark):
+    days = [D0 + dt.timedelta(days=i) for i in range(200)]
+    hol = [d for d in days if d.day == 1] + [D0 + dt.timedelta(days=201)]
+    ys = [50.0 + (40.0 if d in hol else 0.0) for d in days]
+    df = spark.createDataFrame([("h", d, y) for d, y in zip(days, ys)], SCHEMA)
+    cal = spark.createDataFrame([(d,) for d in hol], "holiday date")
+    fc = {r.ds: r.yhat for r in forecast_fourier(df, horizon=3, holidays=cal).collect()}
+    assert fc[D0 + dt.timedelta(days=201)] - fc[D0 + dt.timedelta(days=200)] > 25.0
