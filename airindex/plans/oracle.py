@@ -1,11 +1,15 @@
 """DuckDB twins of the registered queries (the driver's correctness oracle).
 
 Each string is one SELECT over the pre-registered views (``events``, ``nation``,
-``orders`` ...). Two engine differences are handled here once:
+``orders`` ...). Engine differences are handled here once:
 
 * Spark rounds doubles HALF_UP on their decimal form; DuckDB's ``round`` works
   on the binary value. ``rnd`` goes through a decimal to match.
 * Spark's ``cast(double as int)`` truncates; DuckDB's rounds. ``trunc_int``.
+* Means are exact on both sides: ``mean_sql`` and ``window_mean_sql`` are the
+  integer-unit twins of ``functions.exact`` (DuckDB divides decimals into
+  doubles, so the division is done on integers).
+* ``count_if`` is a HUGEINT in DuckDB; the twins cast it to BIGINT.
 """
 
 from __future__ import annotations
