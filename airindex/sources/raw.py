@@ -68,7 +68,13 @@ def read_raw(spark: SparkSession, paths: str | Sequence[str], multi_line: bool =
 
 
 def write_raw(payload: DataFrame, root: str) -> None:
-    """Land payload rows as ``city_slug/yyyy/mm/dd`` directories, one object per file."""
+    """Land payload rows under ``root`` in ``city_slug=.../yyyy=.../mm=.../dd=...`` folders,
+    one object per file (one payload row per location-day).
+
+    Spark names partition folders ``key=value``; read them back with
+    ``read_raw(spark, root, recursive=True)``. ``day_glob`` / ``range_glob`` match
+    the plain ``city/yyyy/mm/dd.json`` layout of files landed by other writers.
+    """
     (payload.hint("rebalance", "city_slug", "yyyy", "mm", "dd")
      .write.mode("overwrite").partitionBy("city_slug", "yyyy", "mm", "dd").json(root))
 
