@@ -81,3 +81,17 @@ def test_process_date_validation():
         _as_date("2024/01/05")
     with pytest.raises(ValueError):
         _as_date("2024-13-01")
+
+
+def test_continuous_trigger(spark, tmp_dir):
+    from airindex.streaming.landing import start_continuous
+    locs = spark.createDataFrame([(0, "A", 100.0, 10.0)], LOCS)
+    landing, table = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "silver")
+    _land(landing, "a", dt.date(2024, 2, 1), 100.0, 10.0, range(5))
+    q = start_continuous(landing_stream(spark, landing, locs), upsert_sink(table),
+                         os.path.join(tmp_dir, "ckpt"), every="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.schema(READING).parquet(table).count() == 5
