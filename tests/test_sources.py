@@ -112,3 +112,12 @@ def test_coverage_gaps_missing_day_and_silent_location(spark):
                                  "location_id int, city_name string")
     got = sorted((x.location_id, x.measure_date) for x in coverage_gaps(r, locs).collect())
     assert got == [(0, d[1]), (2, d[0]), (2, d[1]), (2, d[2])]
+
+
+def test_single_file_csv_option(spark, tmp_dir):
+    import glob
+    df = spark.range(100).repartition(4).withColumn("y", F.col("id") * 2)
+    out = os.path.join(tmp_dir, "one")
+    write_csv(df, out, single_file=True)
+    assert len(glob.glob(os.path.join(out, "part-*.csv"))) == 1
+    assert spark.read.option("header", True).csv(out).count() == 100
