@@ -9,6 +9,8 @@ holds a third of all events is combined map-side before the shuffle.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,10 +101,33 @@ def readings_from_events(events: DataFrame, n_locations: int = N_LOCATIONS) -> D
     return conform(hourly_channels(events, n_locations))
 
 
-def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conformed hourly readings derived from the ``events`` table."""
+def readings(spark: SparkSession, sf_dir: str, start=None, end=None,
+             lead_days: int = 0) -> DataFrame:
+    """Conformed hourly readings derived from the ``events`` table.
+
+    With ``start`` / ``end`` (UTC days, inclusive) only events of
+    ``[start - lead_days, end]`` are read: the range is a filter on ``ts`` itself,
+    so it reaches the parquet scan (row groups outside it are skipped by their
+    statistics). Use ``lead_days=1`` before ``daily_air_index(start, end)``, whose
+    ozone window needs the day before the range.
+    """
     ensure_utc(spark)
-    return readings_from_events(load(spark, sf_dir, "events"))
+    events = load(spark, sf_dir, "events")
+    if start is not None or end is not None:
+        ts = F.col("ts")
+        if start is not None:
+            first = _as_day(start) - dt.timedelta(days=lead_days)
+            events = events.filter(ts >= F.lit(dt.datetime.combine(first, dt.time()))
+                                   .cast("timestamp_ntz"))
+        if end is not None:
+            after = _as_day(end) + dt.timedelta(days=1)
+            events = events.filter(ts < F.lit(dt.datetime.combine(after, dt.time()))
+                                   .cast("timestamp_ntz"))
+    return readings_from_events(events)
+
+
+def _as_day(d) -> dt.date:
+    return d if isinstance(d, dt.date) else dt.date.fromisoformat(d)
 
 
 def dim_location(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -91,3 +91,15 @@ def test_scale_conf_sizes_partitions():
     assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
     assert scale_conf(8, 10 ** 8)["spark.sql.shuffle.partitions"] == "24"
     assert scale_conf(10, 10 ** 18)["spark.sql.shuffle.partitions"] == "100000"
+
+
+def test_range_read_is_pushed_to_the_scan(spark):
+    r = readings(spark, SF01, "2024-01-10", "2024-01-12", lead_days=1)
+    plan = _explain(r)
+    assert "GreaterThanOrEqual(ts,2024-01-09T00:00)" in plan
+    assert "LessThan(ts,2024-01-13T00:00)" in plan
+    ranged = daily_air_index(r, "2024-01-10", "2024-01-12")
+    full = daily_air_index(readings(spark, SF01)).filter(
+        F.col("measure_date").between("2024-01-10", "2024-01-12"))
+    assert ranged.count() == full.count() == 24
+    assert ranged.exceptAll(full).count() == 0 and full.exceptAll(ranged).count() == 0
