@@ -54,10 +54,22 @@ def mask_outliers(series: DataFrame, q: float = 0.99, exact: bool = True,
             .withColumn("y", mask_above("y", "_q")).drop("_q"))
 
 
+def top_n(df: DataFrame, group: Sequence[str], order: Sequence, n: int,
+          rank_col: str | None = None) -> DataFrame:
+    """First ``n`` rows of each group by ``order`` (Columns or names; make it total for a
+    deterministic result). ``row_number() <= n`` is planned as a partial
+    ``WindowGroupLimit`` before the shuffle, so each task keeps at most ``n`` rows per
+    group, however large (or skewed) the group.
+    """
+    w = Window.partitionBy(*group).orderBy(*order)
+    out = df.withColumn(rank_col or "_rn", F.row_number().over(w))
+    out = out.filter(F.col(rank_col or "_rn") <= n)
+    return out if rank_col else out.drop("_rn")
+
+
 def last_n(series: DataFrame, n: int) -> DataFrame:
     """Last ``n`` days of each series (top-n per group, limited before the shuffle)."""
-    w = Window.partitionBy("series_id").orderBy(F.col("ds").desc())
-    return series.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+    return top_n(series, ["series_id"], [F.col("ds").desc()], n)
 
 
 def last_observation(series: DataFrame) -> DataFrame:

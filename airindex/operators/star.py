@@ -42,6 +42,19 @@ def dim_date_spanning(df: DataFrame, day: str = "measure_date") -> DataFrame:
     return _calendar(days)
 
 
+def star_join(fact: DataFrame, dims) -> DataFrame:
+    """Inner-join a fact to each ``(dimension, keys)`` in turn.
+
+    No join hint: the planner broadcasts a dimension when its (runtime) size is
+    under the broadcast threshold and shuffles both sides otherwise, so a
+    dimension that grows with the data is never forced through a broadcast.
+    """
+    out = fact
+    for dim, keys in dims:
+        out = out.join(dim, list(keys) if isinstance(keys, (list, tuple)) else keys, "inner")
+    return out
+
+
 def star_report(fact: DataFrame, dates: DataFrame, locations: DataFrame,
                 order: bool = True) -> DataFrame:
     """Fact joined to its date and location dimensions, in report column order.
@@ -52,8 +65,8 @@ def star_report(fact: DataFrame, dates: DataFrame, locations: DataFrame,
     location (a range-partitioned global sort, not a single task).
     """
     f = fact.withColumnRenamed("avg_aqi", "avg_aqi_owm").drop("measure_date")
-    out = (f.join(dates, "date_id", "inner")
-           .join(locations.select("location_id", "city_name"), "location_id", "inner"))
+    out = star_join(f, [(dates, "date_id"),
+                        (locations.select("location_id", "city_name"), "location_id")])
     if order:
         out = out.orderBy("measure_date", "location_id")
     return out.select(*REPORT_COLUMNS)
