@@ -12,8 +12,8 @@ from airindex.operators.quality import (completeness_by_day, coverage_gaps, high
 from airindex.operators.rolling import rolling_mean, rolling_rows, rolling_seconds
 from airindex.operators.rollup import daily_rollup
 from airindex.operators.series import (clip_columns, future_frame, last_n, last_observation,
-                                       mask_outliers, to_series, with_anchor)
-from airindex.operators.star import dim_date, dim_date_spanning, star_report
+                                       mask_outliers, to_series, top_n, with_anchor)
+from airindex.operators.star import dim_date, dim_date_spanning, star_join, star_report
 from airindex.operators.upsert import (affected_dates, as_of, evolve_union, latest_per_key,
                                        merge_frames, replace_by_key, upsert_partitioned)
 from airindex.plans.daily import daily_air_index, daily_pm_index, two_day_buffer
@@ -28,6 +28,7 @@ __all__ = [
     "last_observation", "latest_per_key", "mask_outliers", "merge_frames", "pattern_by",
     "pollutant_correlation", "raw_payload", "refresh_daily_fact", "replace_by_key",
     "rolling_mean", "rolling_rows", "rolling_seconds", "rollup_year_month", "scale_conf",
-    "share_by", "star_report", "status_counts", "to_series", "trend_series", "two_day_buffer",
+    "share_by", "star_join", "star_report", "status_counts", "to_series", "top_n",
+    "trend_series", "two_day_buffer",
     "upsert_partitioned", "with_anchor", "with_date_parts",
 ]
