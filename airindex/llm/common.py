@@ -6,11 +6,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import airindex.llm
 from airindex.session import scratch_path
 
+# Task functions travel with their code, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(airindex.llm)
+
 #: A word: any run of characters other than space and \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\f\r"
@@ -76,20 +81,61 @@ def text_id(text: Column) -> Column:
 
 # -- bytes and hashes inside Arrow tasks -------------------------------------------------
 
-def byte_chunks(texts: pa.Array, limit: int = 2 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, bytes, offsets) of runs of rows holding about ``limit`` bytes; null = empty."""
+def regroup(batches: Iterator[pa.RecordBatch], column: str, limit: int = 3 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``limit`` bytes of ``column`` (one long text stays whole)."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        first = 0
+        texts = batch.column(column).cast(pa.large_binary()).fill_null(b"")
+        if len(texts) == 0:
+            continue
+        ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset: texts.offset + len(texts) + 1]
+        while first < batch.num_rows:
+            last = int(np.searchsorted(ends, ends[first] + limit - size, "right")) - 1
+            last = min(max(last, first if held else first + 1), batch.num_rows)
+            if last > first:
+                held.append(batch.slice(first, last - first))
+                size += int(ends[last] - ends[first])
+            if last < batch.num_rows or size >= limit:
+                yield pa.concat_batches(held)
+                held, size = [], 0
+            first = last
+    if held:
+        yield pa.concat_batches(held)
+
+
+def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets of a column of texts; null = empty."""
     texts = texts.cast(pa.large_binary()).fill_null(b"")
     if len(texts) == 0:
-        return
+        return np.empty(0, np.uint8), np.zeros(1, np.int64)
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset: texts.offset + len(texts) + 1]
     buffer = texts.buffers()[2]
     data = np.frombuffer(buffer, np.uint8) if buffer is not None else np.empty(0, np.uint8)
-    first = 0
-    while first < len(texts):
-        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1)
-        last = min(last, len(texts))
-        yield first, data[offsets[first]: offsets[last]], offsets[first: last + 1] - offsets[first]
-        first = last
+    return data[offsets[0]: offsets[-1]], offsets - offsets[0]
+
+
+def plain_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of all texts with one space between words, start and end of every word, and the first
+    word of each text (and their number). bytes.split() knows exactly the blanks of ``WORD``."""
+    rows = [b" ".join(t.split()) for t in texts.cast(pa.large_binary()).fill_null(b"").to_pylist()]
+    data = np.frombuffer(b" ".join(rows), np.uint8)
+    begins = np.concatenate([[0], np.cumsum([len(r) + 1 for r in rows])]) if rows else np.zeros(1, np.int64)
+    starts, ends = runs(data != 0x20, np.zeros(0, np.int64)) if len(data) else (np.empty(0, np.int64),) * 2
+    return data, starts, ends, np.searchsorted(starts, begins)
+
+
+def runs(mask: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the maximal runs of true bytes; a run ends where its text does."""
+    first = mask.copy()
+    first[1:] &= ~mask[:-1]
+    last = mask.copy()
+    last[:-1] &= ~mask[1:]
+    inner = offsets[(offsets > 0) & (offsets < len(mask))]
+    first[inner] |= mask[inner]
+    last[inner - 1] |= mask[inner - 1]
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
 _powers: dict[str, np.ndarray] = {}

@@ -75,7 +75,7 @@ def sainte_lague(cells: DataFrame, votes: str, house: Column, by: list[str], key
 
 
 def mix_to_weights(docs: DataFrame, weights=WEIGHTS, total_share: float = 1.5, max_epochs: int = 2,
-                   seed: int = 7, docs_per_shard: int = 8192, blocks_per_shard: int = 64) -> DataFrame:
+                   seed: int = 7, docs_per_shard: int = 2048, blocks_per_shard: int = 64) -> DataFrame:
     """doc_id, source, size, source_size, target, taken: a row per row of docs.
 
     The block is a ``blocks_per_shard``-th of an average shard of the smallest source, so the
@@ -121,3 +121,18 @@ def mix_to_weights(docs: DataFrame, weights=WEIGHTS, total_share: float = 1.5, m
 
 def op2(docs: DataFrame) -> DataFrame:
     return mix_to_weights(docs.select("doc_id", "source", "text")).drop("source")
+
+
+def mix_documents(docs: DataFrame, **settings) -> DataFrame:
+    """The rows of docs that the mix takes words of, with size, source_size, target and taken.
+
+    Rows that repeat doc_id, source and size share what the mix takes of them equally.
+    """
+    shares = mix_to_weights(docs, **settings).groupBy(
+        F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("size").alias("_size")).agg(
+        F.first("source_size").alias("source_size"), F.first("target").alias("target"),
+        F.floor(F.sum("taken") / F.count("*")).alias("taken"))
+    own = docs.drop("size", "source_size", "target", "taken").withColumn("size", n_words(F.col("text")))
+    same = (F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s"))
+            & (F.col("size") == F.col("_size")))
+    return own.join(shares.filter("taken > 0"), same).drop("_d", "_s", "_size")
