@@ -74,6 +74,20 @@ def lines_of(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """row (all columns of docs), doc_id, tid, text: whatever docs' other columns are called."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id",
+                       text_id(F.col("text")).alias("tid"), "text")
+
+
+def unpacked(rows: DataFrame, columns: list[str], changed: Column, text: Column) -> DataFrame:
+    """``columns`` of the packed rows; where ``changed``, with another text and n_chars in step."""
+    kind = {f.name: f.dataType for f in rows.schema["row"].dataType}
+    new = {"text": text} | ({"n_chars": F.char_length(text).cast(kind["n_chars"])} if "n_chars" in kind else {})
+    return rows.select(*[
+        (F.when(changed, new[c]).otherwise(F.col("row")[c]) if c in new else F.col("row")[c]).alias(c) for c in columns])
+
+
 def text_id(text: Column) -> Column:
     """Tells apart rows that repeat a doc_id with another text."""
     return F.xxhash64(F.coalesce(text, F.lit("")))

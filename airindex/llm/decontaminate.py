@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airindex.llm.common import ByteHash, materialize, merge_spans, regroup, runs, small_batches, text_bytes
+from airindex.llm.common import ByteHash, materialize, merge_spans, packed, regroup, runs, small_batches, text_bytes, unpacked
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
@@ -283,35 +283,31 @@ def _merge_blocks(parts: list[DataFrame], columns: list[str]) -> DataFrame:
             .select(*columns, "n_words", "spans", "items"))
 
 
-def remove_spans(found: DataFrame, columns: list[str]) -> DataFrame:
-    """The rows of docs with the spans cut out of their text, n_chars in step."""
-    kind = {f.name: f.dataType.simpleString() for f in found.schema}
+def cut_spans(found: DataFrame) -> DataFrame:
+    """found with ``clean``: the text without its spans (null where there is none)."""
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = []
+            clean = []
             for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
-                if spans:
-                    data, pieces, at = text.encode(), [], 0
-                    for s in spans:
-                        pieces.append(data[at: s["start"]])
-                        at = s["end"]
-                    text = b"".join([*pieces, data[at:]]).decode()
-                texts.append(text)
-            new = {"text": pa.array(texts, pa.string()), "n_chars": pa.array([None if t is None else len(t) for t in texts], pa.int64())}
-            changed = [bool(s) for s in batch.column("spans").to_pylist()]
-            if "n_chars" in columns:
-                old = batch.column("n_chars").to_pylist()
-                new["n_chars"] = pa.array([c if x else o for x, c, o in zip(changed, new["n_chars"].to_pylist(), old, strict=True)],
-                                          batch.schema.field("n_chars").type)
-            yield pa.RecordBatch.from_arrays([new.get(c, batch.column(c)) for c in columns], columns)
-
-    return found.mapInArrow(cut, ", ".join(f"`{c}` {kind[c]}" for c in columns))
+                if not spans:
+                    clean.append(None)
+                    continue
+                data, pieces, at = text.encode(), [], 0
+                for s in spans:
+                    pieces.append(data[at: s["start"]])
+                    at = s["end"]
+                clean.append(b"".join([*pieces, data[at:]]).decode())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(clean, pa.string())], [*batch.schema.names, "clean"])
+
+    return found.mapInArrow(cut, f"{fields}, clean string")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """docs with every span of benchmark windows cut out of the texts."""
-    return remove_spans(find_contamination(docs, benchmark, window), docs.columns)
+    found = cut_spans(find_contamination(packed(docs).select("row", "text"), benchmark, window))
+    return unpacked(found, docs.columns, F.col("clean").isNotNull(), F.col("clean"))
 
 
 def op4(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

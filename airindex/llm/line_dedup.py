@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from airindex.llm.common import line_key, lines_of, materialize, text_id
+from airindex.llm.common import line_key, lines_of, materialize, packed, text_id, unpacked
 
 WORD_BITS = 64
 
@@ -54,31 +54,33 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = 10) -> DataFrame:
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """docs with n_lines, n_dropped and kept_text; every row of docs comes back once."""
-    marks = bitmaps.select(F.col("doc_id").alias("_d"), F.col("tid").alias("_t"), "n_dropped",
-                           F.map_from_entries("keep").alias("_keep"))
-    own = docs.withColumn("_tid", text_id(F.col("text")))
-    joined = own.join(marks, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_tid") == F.col("_t")), "left")
-    lines = lines_of(F.col("text"))
-    kept = F.when(F.col("_keep").isNull(), F.coalesce("text", F.lit(""))).otherwise(
-        F.array_join(F.filter(F.col("_lines"), lambda line, p: F.getbit(
-            F.coalesce(F.try_element_at("_keep", F.floor(p / WORD_BITS).cast("int")), F.lit(-1).cast("long")),
+    """row (all columns of docs), n_lines, n_dropped, kept_text: a row per row of docs."""
+    marks = bitmaps.select(F.col("doc_id").alias("d"), F.col("tid").alias("t"), "n_dropped",
+                           F.map_from_entries("keep").alias("keep"))
+    rows = packed(docs).join(marks, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tid") == F.col("t")), "left")
+    rows = rows.withColumn("lines", lines_of(F.col("text")))
+    kept = F.when(F.col("keep").isNull(), F.coalesce("text", F.lit(""))).otherwise(
+        F.array_join(F.filter("lines", lambda line, p: F.getbit(
+            F.coalesce(F.try_element_at("keep", F.floor(p / WORD_BITS).cast("int")), F.lit(-1).cast("long")),
             p % WORD_BITS) == 1), "\n"))
-    return (joined.withColumn("_lines", lines)
-            .withColumn("n_lines", F.size("_lines").cast("long"))
-            .withColumn("kept_text", kept)
-            .withColumn("n_dropped", F.coalesce("n_dropped", F.lit(0)).cast("long"))
-            .drop("_d", "_t", "_tid", "_keep", "_lines"))
+    return rows.select("row", F.size("lines").cast("long").alias("n_lines"),
+                       F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"), kept.alias("kept_text"))
 
 
 def line_dedup(docs: DataFrame, min_docs: int = 10) -> DataFrame:
+    """row (all columns of docs), n_lines, n_dropped, kept_text."""
     return apply_bitmaps(docs, keep_bitmaps(docs, min_docs))
 
 
+def drop_common_lines(docs: DataFrame, min_docs: int = 10) -> DataFrame:
+    """docs without the lines that ``min_docs`` documents share."""
+    return unpacked(line_dedup(docs, min_docs), docs.columns, F.col("n_dropped") > 0, F.col("kept_text"))
+
+
 def op3(docs: DataFrame) -> DataFrame:
     """The contract's digest: whole ``documents`` in, one row per document out."""
     out = line_dedup(docs.select("doc_id", "text"))
-    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+    return out.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
 SQL = """

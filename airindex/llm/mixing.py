@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from airindex.llm.common import materialize, n_words
+from airindex.llm.common import materialize, n_words, packed
 
 WEIGHTS = (3, 1, 2)
 
@@ -124,7 +124,8 @@ def op2(docs: DataFrame) -> DataFrame:
 
 
 def mix_documents(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of docs that the mix takes words of, with size, source_size, target and taken.
+    """The rows of docs that the mix takes words of; size, source_size, target and taken in place of
+    any columns of these names.
 
     Rows that repeat doc_id, source and size share what the mix takes of them equally.
     """
@@ -132,7 +133,10 @@ def mix_documents(docs: DataFrame, **settings) -> DataFrame:
         F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("size").alias("_size")).agg(
         F.first("source_size").alias("source_size"), F.first("target").alias("target"),
         F.floor(F.sum("taken") / F.count("*")).alias("taken"))
-    own = docs.drop("size", "source_size", "target", "taken").withColumn("size", n_words(F.col("text")))
-    same = (F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s"))
-            & (F.col("size") == F.col("_size")))
-    return own.join(shares.filter("taken > 0"), same).drop("_d", "_s", "_size")
+    rows = packed(docs).withColumn("words", n_words(F.col("text")))
+    same = (F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("row.source").eqNullSafe(F.col("_s"))
+            & (F.col("words") == F.col("_size")))
+    added = {"size": "words", "source_size": "source_size", "target": "target", "taken": "taken"}
+    return rows.join(shares.filter("taken > 0"), same).select(
+        *[F.col("row")[c].alias(c) for c in docs.columns if c not in added],
+        *[F.col(c).alias(name) for name, c in added.items()])

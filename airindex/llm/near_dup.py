@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airindex.llm.common import ByteHash, materialize, mix, plain_words, regroup, small_batches, text_id
+from airindex.llm.common import ByteHash, materialize, mix, packed, plain_words, regroup, small_batches, text_id
 
 SHINGLE, BANDS, ROWS = 5, 32, 5
 SIMILARITY = (4, 5)  # 0.8 as a fraction: counted in whole numbers
@@ -225,10 +225,9 @@ def near_dup_classes(docs: DataFrame) -> DataFrame:
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """docs with one document of each near-duplicate class."""
-    stays = near_dup_classes(docs).filter("is_first").select(F.col("doc_id").alias("_d"), F.col("tid").alias("_t")).distinct()
-    own = docs.withColumn("_tid", text_id(F.col("text")))
-    kept = own.join(stays, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_tid") == F.col("_t")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_tid"]).drop("_tid")
+    stays = near_dup_classes(docs).filter("is_first").select(F.col("doc_id").alias("d"), F.col("tid").alias("t")).distinct()
+    kept = packed(docs).join(stays, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tid") == F.col("t")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "tid"]).select("row.*")
 
 
 def op10(docs: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airindex.llm.common import BLANKS, line_key, lines_of, materialize, n_words, text_id
+from airindex.llm.common import BLANKS, line_key, lines_of, materialize, n_words, packed, text_id
 
 SYMBOLS = "#*$%&|<>"
 KEYS = ("doc_id", "host", "tid")
@@ -103,10 +103,10 @@ def quality_rules(docs: DataFrame, min_docs: int = 10, max_share: float = 0.1,
 
 def keep_good(docs: DataFrame, **limits) -> DataFrame:
     """The rows of docs whose verdict is kept."""
-    bad = (quality_rules(docs, **limits).filter(~F.col("kept"))
-           .select(F.col("doc_id").alias("_d"), F.col("tid").alias("_t")).distinct())
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_d"))
-                     & (text_id(F.col("text")) == F.col("_t")), "left_anti")
+    bad = (quality_rules(docs.select("doc_id", "text", "source"), **limits).filter(~F.col("kept"))
+           .select(F.col("doc_id").alias("d"), F.col("tid").alias("t")).distinct())
+    return packed(docs).join(bad, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tid") == F.col("t")),
+                             "left_anti").select("row.*")
 
 
 def op6(docs: DataFrame) -> DataFrame:

@@ -8,11 +8,10 @@ last return the columns of documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from airindex.llm.common import materialize, table
 from airindex.llm.decontaminate import decontaminate
-from airindex.llm.line_dedup import line_dedup
+from airindex.llm.line_dedup import drop_common_lines
 from airindex.llm.mixing import mix_documents
 from airindex.llm.near_dup import keep_one_of_each
 from airindex.llm.quality_rules import keep_good
@@ -25,12 +24,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Line dedup: lines that ten or more documents share go."""
-    kept = line_dedup(docs)
-    changed = F.col("n_dropped") > 0
-    return kept.select(*[
-        F.when(changed, F.col("kept_text")).otherwise(F.col("text")).alias(c) if c == "text" else
-        F.when(changed, F.char_length("kept_text").cast(kept.schema[c].dataType)).otherwise(F.col(c)).alias(c) if c == "n_chars" else
-        F.col(c) for c in docs.columns])
+    return drop_common_lines(docs)
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
