@@ -60,3 +60,10 @@ def mask_above(x: Column | str, threshold: Column | str) -> Column:
     """x, or NULL where x is above the threshold."""
     x = _col(x)
     return F.when(x <= _col(threshold), x)
+
+
+def is_process_date(day: Column | str) -> Column:
+    """Whether a text is a day as jobs take it: ``yyyy-mm-dd`` and a day of the calendar."""
+    day = F.col(day) if isinstance(day, str) else day
+    return F.coalesce(day.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$")
+                      & F.try_to_timestamp(day, F.lit("yyyy-MM-dd")).isNotNull(), F.lit(False))

@@ -106,7 +106,11 @@ def dominant_pollutant(index: Column | str, raw_index: Column | str,
 
 
 def breakpoint_table(spark, tables: dict[str, Sequence[tuple]] | None = None):
-    """Breakpoints as a small DataFrame (pollutant, seg, lo, hi, i_lo, i_hi, slope)."""
+    """Breakpoints as a small DataFrame (sub_index, seg, lo, hi, i_lo, i_hi, slope).
+
+    Segment 0 is closed, the others are open below (a shared bound belongs to the lower
+    segment), so that every value is in one segment at most.
+    """
     tables = tables or {name: segs for name, (_, segs) in SUB_INDEXES.items()}
     rows = [(name, seg, float(lo), float(hi), int(i_lo), int(i_hi), (i_hi - i_lo) / (hi - lo))
             for name, segs in tables.items() for seg, (lo, hi, i_lo, i_hi) in enumerate(segs)]

@@ -27,8 +27,9 @@ def flatten_measurements(raw: DataFrame, locations: DataFrame | None = None,
     """Raw payload -> one row per measurement, in the conformed reading layout.
 
     Empty or NULL lists yield no rows. With ``locations`` (location_id, lon, lat)
-    the location id is resolved by an equi-join on the coordinates. ``carry``
-    names raw columns (e.g. file metadata) to keep, after the reading columns.
+    the location id is resolved by an equi-join on the coordinates; a reading whose
+    coordinates are not in it keeps a NULL location id (``unmatched_locations``), which a
+    keyed upsert returns as a reject. ``carry`` names raw columns (e.g. file metadata) to keep, after the reading columns.
     """
     flat = raw.select(F.col("coord.lon").cast("double").alias("lon"),
                       F.col("coord.lat").cast("double").alias("lat"),
@@ -43,11 +44,18 @@ def flatten_measurements(raw: DataFrame, locations: DataFrame | None = None,
     if carry:
         out = out.select(*[c for c in out.columns if c not in carry], *carry)
     if locations is not None:
-        out = out.join(locations.select("location_id", "lon", "lat"), ["lon", "lat"], "inner")
+        out = out.join(locations.select("location_id", "lon", "lat"), ["lon", "lat"], "left")
         out = out.select("location_id", *[c for c in out.columns if c != "location_id"])
     return out
 
 
+def unmatched_locations(flat: DataFrame) -> DataFrame:
+    """Readings that no known location holds: coordinates, number of readings, first and last."""
+    return (flat.filter(F.col("location_id").isNull()).groupBy("lon", "lat")
+            .agg(F.count(F.lit(1)).alias("readings"), F.min("measured_at").alias("first_at"),
+                 F.max("measured_at").alias("last_at")))
+
+
 def raw_payload(readings: DataFrame, locations: DataFrame) -> DataFrame:
     """Readings -> one nested object per location-day (the landing layout).
 

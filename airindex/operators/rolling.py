@@ -9,8 +9,8 @@ its halo (at most 744 + 24 hourly rows), whatever the history length, and only
 the halo rows (about 3 %) are shuffled twice.
 
 * ``rolling_rows`` (row frame) reproduces a job that reads day D-1 and D and
-  keeps D, for every D at once: the frame collects its (day, value) pairs and
-  keeps those from D-1 and D. Those are the newest rows of the frame, so what is
+  keeps D, for every D at once: the previous rows are ``lag`` columns with their
+  days, and those from D-1 and D are summed. Those are the newest rows of the frame, so what is
   kept is exactly the last ``rows`` rows of the two-day buffer. The halo is the
   last ``halo_days`` days of each month.
 * ``rolling_seconds`` (range frame over epoch seconds) equals a window over the
@@ -65,19 +65,26 @@ def rolling_rows(df: DataFrame, value: str, rows: int = 8, order: str = "measure
     d = F.col(day)
     last_of_month = F.date_sub(F.add_months(_month(d), 1), 1)
     halo = d > F.date_sub(last_of_month, halo_days)
-    w = (Window.partitionBy(*partition, BUCKET).orderBy(order)
-         .rowsBetween(-(rows - 1), Window.currentRow))
-    item = F.struct(F.unix_date(d).alias("d"), units(value).alias("u"))
-    first_day = F.unix_date(d) - halo_days
-    kept = F.filter(F.col("_frame"), lambda x: (x["d"] >= first_day) & x["u"].isNotNull())
-    total = F.aggregate(kept, F.lit(0).cast("long"), lambda acc, x: acc + x["u"])
+    w = Window.partitionBy(*partition, BUCKET).orderBy(order)
+    # The rows before, as plain columns over one window: value units and day of each.
+    number = F.unix_date(d)
+    lagged = {f"_u{i}": F.lag("_u0", i).over(w) for i in range(1, rows)}
+    lagged |= {f"_d{i}": F.lag("_d0", i).over(w) for i in range(1, rows)}
     out = (with_month_halo(df, day, halo)
-           .withColumn("_frame", F.collect_list(item).over(w))
-           .filter(_own_bucket(day))
-           .withColumn(count_col, F.size(kept).cast("long")))
+           .withColumns({"_u0": units(value), "_d0": number})
+           .withColumns(lagged).filter(_own_bucket(day)))
+    # Rows of an earlier day than the halo's first do not count.
+    kept = [F.col("_u0")] + [F.when(F.col(f"_d{i}") >= F.col("_d0") - halo_days, F.col(f"_u{i}"))
+                             for i in range(1, rows)]
+    total = F.lit(0).cast("decimal(38,0)")
+    count = F.lit(0).cast("long")
+    for u in kept:
+        total = (total + F.coalesce(u, F.lit(0).cast("decimal(28,0)"))).cast("decimal(38,0)")
+        count = count + u.isNotNull().cast("long")
+    out = out.withColumn(count_col, count).withColumn("_total", total.cast("double"))
     out = out.withColumn(mean_col, F.when(F.col(count_col) > 0,
-                                          total / (F.col(count_col) * float(10 ** SCALE))))
-    out = out.drop("_frame")
+                                          F.col("_total") / (F.col(count_col) * float(10 ** SCALE))))
+    out = out.drop("_total", *[f"_{x}{i}" for x in "ud" for i in range(rows)])
     return out if keep_bucket else out.drop(BUCKET)
 
 

@@ -12,13 +12,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airindex.session import checkpoint_dir
+from airindex.session import remove_path, scratch_path
 
 IN_TARGET = "_in_target"
 IN_UPDATES = "_in_updates"
+REJECT = "_reject"
 
 
 def _any_null(keys: Sequence[str]) -> Column:
@@ -34,10 +36,12 @@ def null_key_rows(updates: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: str | None = None) -> DataFrame:
-    """One row per key: greatest ``order_by`` wins (else the greatest row, deterministic).
+    """One row per key: greatest ``order_by`` wins, ties (and no order) by the greatest row.
 
-    A grouped ``max_by`` is combined map-side, so a key holding a large share of
-    the rows is reduced before the shuffle rather than sorted in one task.
+    The winner never depends on the order of rows. A grouped ``max_by`` is combined
+    map-side, so a key holding a large share of the rows is reduced before the shuffle
+    rather than sorted in one task. (Spark plans a ``max_by`` of a struct as a sort
+    aggregate: each task sorts its own rows by key first.)
     """
     cols = [c for c in df.columns if c not in keys]
     if not cols:
@@ -45,13 +49,26 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: str | None = No
     row = F.struct(*[F.col(c) for c in cols])
     if order_by:
         # Rows with a NULL order value lose to any non-NULL one but are never dropped.
-        order = F.struct(F.col(order_by).isNotNull(), F.col(order_by))
-        pick = F.max_by(row, order)
+        pick = F.max_by(row, F.struct(F.col(order_by).isNotNull(), F.col(order_by), row))
     else:
         pick = F.max(row)
     return df.groupBy(*keys).agg(pick.alias("_row")).select(*keys, "_row.*")
 
 
+def _check_types(target: DataFrame, updates: DataFrame) -> None:
+    have = {f.name: f.dataType for f in target.schema}
+    for f in updates.schema:
+        if f.name in have and have[f.name] != f.dataType:
+            raise ValueError(f"column {f.name} is {have[f.name].simpleString()} in the table and "
+                             f"{f.dataType.simpleString()} in the updates")
+
+
+def with_columns_of(df: DataFrame, schema) -> DataFrame:
+    """df with the columns of ``schema`` that it lacks, as NULLs."""
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in schema if f.name not in df.columns}
+    return df.withColumns(missing) if missing else df
+
+
 def merge_frames(target: DataFrame, updates: DataFrame, keys: Sequence[str],
                  update_cols: Sequence[str] | None = None, order_by: str | None = None,
                  dedupe: bool = True) -> DataFrame:
@@ -99,42 +116,78 @@ def upsert_partitioned(spark: SparkSession, path: str, updates: DataFrame, keys:
                        order_by: str | None = None, schema=None) -> DataFrame:
     """Merge ``updates`` into the parquet table at ``path``, rewriting touched partitions only.
 
-    The deduplicated updates are checkpointed once. The touched partition values
-    (days: bounded by the calendar, not by data volume) are listed on the driver
-    to prune the target read statically. The merged partitions are checkpointed
-    to the shared checkpoint folder before the overwrite, so the write never
-    reads the files it replaces. ``order_by`` (if any) is a column of the table. Returns
-    the NULL-key rejects.
+    Columns only the table has keep their stored values (NULL in inserted rows); columns
+    only the updates have are added to the table (NULL in rows that are not updated, unless
+    ``update_cols`` leaves them out). A column of another type fails before anything is written.
+
+    The updates are written once, as reduced rows and rejects, to the shared checkpoint folder.
+    Their partition values (days: bounded by the calendar) prune the target read. Where
+    nothing is there to merge with, the updates are written straight to the table; otherwise the
+    merged partitions are staged once, so the write never reads the files it replaces. A target
+    with repeated keys fails, since a merge would multiply them. Returns the NULL-key
+    rejects, read from the written updates (below ``spark.checkpoint.dir``); without rejects
+    nothing is left there.
     """
     keys = list(keys)
     if partition_col not in keys:
         keys = keys + [partition_col]
-    checkpoint_dir(spark)
-    # Materialize the deduplicated updates once: both the list of touched days and
-    # the merge read them, and the upstream plan may be expensive.
-    good = latest_per_key(updates.filter(~_any_null(keys)), keys, order_by).checkpoint(eager=True)
+    staged = scratch_path(spark, "upsert")
+    rejects_at, good_at, merged_at = f"{staged}/rejects", f"{staged}/updates", f"{staged}/merged"
+    # One pass over the upstream plan: the rows, marked as rejects or not.
+    marked = updates.withColumn(REJECT, _any_null(keys))
+    marked.write.partitionBy(REJECT).parquet(f"{staged}/source")
+    source = spark.read.schema(marked.schema).parquet(f"{staged}/source")
+    rejects = source.filter(REJECT).drop(REJECT)
+    latest_per_key(source.filter(~F.col(REJECT)).drop(REJECT), keys, order_by).write.parquet(good_at)
+    good = spark.read.schema(updates.schema).parquet(good_at).select(*updates.columns)
     touched = [r[0] for r in good.select(partition_col).distinct().collect()]
     if not touched:
-        return null_key_rows(updates, keys)
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    try:
-        target = reader.parquet(path).filter(F.col(partition_col).isin(touched))
-        target = target.select(*[c for c in good.columns if c in target.columns])
-        exists = True
-    except Exception as exc:  # noqa: BLE001 - first write: the table does not exist yet
-        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
-            raise
-        exists = False
-    if exists:
-        merged = merge_frames(target, good.select(*target.columns), keys, update_cols,
-                              dedupe=False)
-    else:
+        return rejects
+    target = _table_part(spark, path, partition_col, touched, schema)
+    if target is None:
         merged = good
-    merged = merged.checkpoint(eager=True)
+    else:
+        _check_types(target, good)
+        _check_unique(target, keys, path)
+        changing = [c for c in good.columns if c not in keys] if update_cols is None else list(update_cols)
+        # Columns new to the table always come from the updates.
+        changing += [c for c in good.columns if c not in target.columns and c not in changing]
+        columns = with_columns_of(target, good.schema)
+        merged = merge_frames(columns, with_columns_of(good, columns.schema), keys, changing, dedupe=False)
+        merged.write.parquet(merged_at)
+        merged = spark.read.schema(merged.schema).parquet(merged_at)
     (merged.hint("rebalance", partition_col).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
-    return null_key_rows(updates, keys)
+    remove_path(spark, good_at)
+    remove_path(spark, merged_at)
+    if rejects.isEmpty():
+        remove_path(spark, staged)
+        return spark.createDataFrame([], updates.schema)
+    return rejects
+
+
+def _table_part(spark: SparkSession, path: str, partition_col: str, values: list, schema) -> DataFrame | None:
+    """The rows of the touched partitions; None where the table or all of them are absent."""
+    try:
+        # The stored columns, which may be more than ``schema`` names (files of several ages).
+        table = spark.read.option("mergeSchema", True).parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    if schema is not None:
+        kinds = {f.name: f.dataType for f in schema}
+        table = table.select(*[F.col(c).cast(kinds[c]).alias(c) if c in kinds else F.col(c)
+                               for c in table.columns])
+    part = table.filter(F.col(partition_col).isin(values))
+    return None if part.isEmpty() else part
+
+
+def _check_unique(target: DataFrame, keys: Sequence[str], path: str) -> None:
+    twice = target.groupBy(*keys).count().filter("count > 1").select(*keys).first()
+    if twice is not None:
+        raise ValueError(f"{path} holds the key {tuple(twice)} more than once")
 
 
 def merge_into_table(updates: DataFrame, table: str, keys: Sequence[str],

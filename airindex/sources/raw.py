@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from airindex.functions.dates import day_end_epoch, slug
 from airindex.schemas import RAW
 
+_LOG = logging.getLogger(__name__)
+
 
 def day_glob(root: str, day: dt.date | str) -> str:
     """Glob of one day's landing files for every location: ``root/*/yyyy/mm/dd*.json``."""
@@ -44,9 +47,23 @@ def range_glob(root: str, start: dt.date | str, end: dt.date | str) -> str:
     return f"{root.rstrip('/')}/*/{{{','.join(alts)}}}*.json"
 
 
+def present_paths(spark: SparkSession, paths: Sequence[str]) -> tuple[list[str], list[str]]:
+    """(paths or globs that match something, the others), asked of each path's own file system."""
+    conf = spark._jsc.hadoopConfiguration()
+    there, missing = [], []
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        found = at.getFileSystem(conf).globStatus(at)
+        (there if found is not None and len(found) else missing).append(path)
+    return there, missing
+
+
 def read_raw(spark: SparkSession, paths: str | Sequence[str], multi_line: bool = True,
-             schema=RAW, recursive: bool = False) -> DataFrame:
-    """Raw payload with the explicit schema; a missing path yields an empty frame.
+             schema=RAW, recursive: bool = False, missing: list[str] | None = None) -> DataFrame:
+    """Raw payload with the explicit schema; paths that do not exist are left out.
+
+    Only if none exists the frame is empty. The absent paths are appended to
+    ``missing`` and logged as a warning, so that a caller can report them.
 
     Passing the schema skips inference, so an empty ``list`` or an integral value
     never changes column types. ``multi_line`` reads each file as one document.
@@ -54,17 +71,47 @@ def read_raw(spark: SparkSession, paths: str | Sequence[str], multi_line: bool =
     much cheaper than expanding a multi-level glob).
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
+    there, absent = present_paths(spark, paths)
+    if absent:
+        _LOG.warning("%d of %d landing paths do not exist: %s", len(absent), len(paths), absent[:5])
+    if missing is not None:
+        missing += absent
+    if not there:
+        return spark.createDataFrame([], schema)
     reader = spark.read.schema(schema).option("multiLine", multi_line)
     if recursive:
         reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
-    try:
-        df = reader.json(paths)
-    except AnalysisException as exc:
-        if getattr(exc, "getCondition", lambda: None)() == "PATH_NOT_FOUND" or \
-                "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-            return spark.createDataFrame([], schema)
-        raise
-    return df.select(*[f.name for f in schema.fields])
+    return reader.json(there).select(*[f.name for f in schema.fields])
+
+
+# Landing by day: one folder per day, the objects of many locations in line-delimited files.
+DAY = "landing_day"
+
+
+def read_landed_days(spark: SparkSession, root: str, start: dt.date | str, end: dt.date | str,
+                     schema=RAW) -> DataFrame:
+    """Payload rows of the days ``[start, end]`` from ``write_raw_by_day``'s layout.
+
+    The day is a partition column, so only the folders of the range are listed and read.
+    """
+    start = dt.date.fromisoformat(start) if isinstance(start, str) else start
+    end = dt.date.fromisoformat(end) if isinstance(end, str) else end
+    if present_paths(spark, [root])[1]:
+        return spark.createDataFrame([], schema)
+    table = spark.read.schema(T.StructType([*schema.fields, T.StructField(DAY, T.DateType())]))
+    return (table.json(root).filter(F.col(DAY).between(F.lit(start), F.lit(end)))
+            .select(*[f.name for f in schema.fields]))
+
+
+def write_raw_by_day(payload: DataFrame, root: str) -> None:
+    """Land payload rows (with ``yyyy``, ``mm``, ``dd``) in one folder per day, a row per line.
+
+    Files hold many locations; adaptive execution splits a large day over several files.
+    Rewriting a day replaces that day alone.
+    """
+    day = F.make_date(F.col("yyyy").cast("int"), F.col("mm").cast("int"), F.col("dd").cast("int"))
+    (payload.withColumn(DAY, day).drop("city_slug", "yyyy", "mm", "dd").hint("rebalance", DAY)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).json(root))
 
 
 def write_raw(payload: DataFrame, root: str) -> None:
