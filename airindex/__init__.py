@@ -18,7 +18,7 @@ from airindex.operators.upsert import (affected_dates, as_of, evolve_union, late
                                        merge_frames, replace_by_key, upsert_partitioned)
 from airindex.plans.daily import daily_air_index, daily_pm_index, two_day_buffer
 from airindex.plans.incremental import refresh_daily_fact
-from airindex.session import build_session, scale_conf
+from airindex.session import build_session
 
 __all__ = [
     "affected_dates", "as_of", "build_session", "clip_columns", "completeness_by_day",
@@ -27,7 +27,7 @@ __all__ = [
     "forecast_linear", "future_frame", "high_water_mark", "issue_log", "kpi_summary", "last_n",
     "last_observation", "latest_per_key", "mask_outliers", "merge_frames", "pattern_by",
     "pollutant_correlation", "raw_payload", "refresh_daily_fact", "replace_by_key",
-    "rolling_mean", "rolling_rows", "rolling_seconds", "rollup_year_month", "scale_conf",
+    "rolling_mean", "rolling_rows", "rolling_seconds", "rollup_year_month",
     "share_by", "star_join", "star_report", "status_counts", "to_series", "top_n",
     "trend_series", "two_day_buffer",
     "upsert_partitioned", "with_anchor", "with_date_parts",

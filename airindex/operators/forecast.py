@@ -54,7 +54,7 @@ def forecast_linear(series: DataFrame, horizon: int = 30, band=(0.1, 0.9)) -> Da
 
 
 def _fit_predict(horizon: int, weekly: int, yearly: int, n_changepoints: int, ridge: float,
-                 band: tuple[float, float], holidays: frozenset | None):
+                 band: tuple[float, float]):
     """The per-series fit as one self-contained closure (numpy and pandas only), so
     executors need nothing from this package to run it."""
 
@@ -68,12 +68,16 @@ def _fit_predict(horizon: int, weekly: int, yearly: int, n_changepoints: int, ri
             cols.append(holiday)
         return np.column_stack(cols)
 
-    def flags(days: pd.Series):
+    def flags(days: pd.Series, holidays):
         if not holidays:
             return None
         return days.dt.date.isin(holidays).to_numpy(dtype=float)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        # Calendar days come as rows of their own beside the series' days.
+        off = pdf["holiday"].astype(bool)
+        holidays = set(pd.to_datetime(pdf.loc[off, "ds"]).dt.date)
+        pdf = pdf.loc[~off, ["series_id", "ds", "y"]]
         all_days = pd.to_datetime(pdf["ds"])
         last_day = all_days.max()
         pdf = pdf.assign(ds=all_days).dropna(subset=["y"]).sort_values("ds")
@@ -85,9 +89,8 @@ def _fit_predict(horizon: int, weekly: int, yearly: int, n_changepoints: int, ri
         y = pdf["y"].to_numpy(dtype=float)
         # Trend changepoints spread over the first 80 % of the history.
         span = t[-1] if len(t) > 1 else 1.0
-        cps = (np.linspace(0, 0.8 * span, n_changepoints + 2)[1:-1] if len(t) > 10
-               else np.array([]))
-        x = design(t, cps, flags(pdf["ds"]))
+        cps = np.linspace(0, 0.8 * span, n_changepoints + 2)[1:-1]
+        x = design(t, cps, flags(pdf["ds"], holidays))
         scale = float(np.std(y)) or 1.0
         penalty = ridge * np.eye(x.shape[1])
         penalty[0, 0] = penalty[1, 1] = 0.0
@@ -97,7 +100,7 @@ def _fit_predict(horizon: int, weekly: int, yearly: int, n_changepoints: int, ri
         steps = np.arange(1, horizon + 1)
         fut_days = pd.Series(last_day + pd.to_timedelta(steps, unit="D"))
         fut_t = (fut_days - t0).dt.days.to_numpy(dtype=float)
-        pred = design(fut_t, cps, flags(fut_days)) @ coef
+        pred = design(fut_t, cps, flags(fut_days, holidays)) @ coef
         return pd.DataFrame({
             "series_id": pdf["series_id"].iloc[0], "ds": fut_days.dt.date,
             "step": steps.astype(np.int32),
@@ -111,13 +114,19 @@ def forecast_fourier(series: DataFrame, horizon: int = 30, weekly: int = 3, year
                      holidays=None) -> DataFrame:
     """Trend with changepoints + weekly/yearly seasonality (+ holiday dummy), per series.
 
-    ``holidays`` is a calendar: dates, or a DataFrame whose first column holds them.
-    A calendar is small and bounded (days), so it is gathered once and travels with
-    the function. Each group is one daily series.
+    ``holidays`` is a calendar: dates, or a DataFrame whose first column holds them. Its days
+    of a series' own span and horizon are joined to the series as marked rows, so a group holds
+    at most its days twice, and nothing is gathered on the driver.
     """
-    if isinstance(holidays, DataFrame):
-        holidays = [r[0] for r in holidays.select(holidays.columns[0]).distinct().collect()]
-    fn = _fit_predict(horizon, weekly, yearly, n_changepoints, ridge, band,
-                      frozenset(holidays) if holidays else None)
-    return (series.select("series_id", "ds", "y")
-            .groupBy("series_id").applyInPandas(fn, FORECAST))
+    rows = series.select("series_id", "ds", "y", F.lit(False).alias("holiday"))
+    if holidays is not None:
+        if not isinstance(holidays, DataFrame):
+            holidays = series.sparkSession.createDataFrame([(d,) for d in holidays], "d date")
+        calendar = holidays.select(F.col(holidays.columns[0]).cast("date").alias("ds")).distinct()
+        spans = (series.groupBy("series_id").agg(F.min("ds").alias("a"), F.max("ds").alias("b"))
+                 .select("series_id", F.explode(F.sequence("a", F.date_add("b", horizon))).alias("ds")))
+        off = spans.join(calendar, "ds").select("series_id", "ds", F.lit(None).cast("double").alias("y"),
+                                                F.lit(True).alias("holiday"))
+        rows = rows.union(off)
+    fn = _fit_predict(horizon, weekly, yearly, n_changepoints, ridge, band)
+    return rows.groupBy("series_id").applyInPandas(fn, FORECAST)

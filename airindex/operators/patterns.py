@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airindex.functions.dates import iso_day_of_week
@@ -59,10 +59,9 @@ def rollup_year_month(fact: DataFrame, value: str = "vn_aqi") -> DataFrame:
 def share_by(df: DataFrame, category: str, digits: int = 4) -> DataFrame:
     """Count and share of rows per category (NULL is its own category).
 
-    Meant for label-like categories: the total is a window sum over the aggregated
-    counts, i.e. one row per category, so the input is aggregated once (partial +
-    final) and never re-read for the total.
+    The total is a scalar subquery over the counts (partial + final sums), so any number
+    of categories stays distributed.
     """
     counts = df.groupBy(category).agg(F.count(F.lit(1)).alias("days"))
-    total = F.sum("days").over(Window.partitionBy())
+    total = counts.agg(F.sum("days")).scalar()
     return counts.withColumn("share", F.round(F.col("days") / total, digits))

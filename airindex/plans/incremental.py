@@ -24,6 +24,7 @@ from airindex.operators.upsert import affected_dates, upsert_partitioned
 from airindex.plans.daily import daily_air_index
 from airindex.schemas import (FACT_KEYS, FACT_UPDATE_COLS, READING, READING_KEYS,
                               READING_UPDATE_COLS)
+from airindex.session import remove_path, scratch_path
 
 
 def refresh_daily_fact(spark: SparkSession, readings_path: str, fact_path: str,
@@ -33,15 +34,25 @@ def refresh_daily_fact(spark: SparkSession, readings_path: str, fact_path: str,
     Returns the affected (location_id, measure_date) pairs.
     """
     columns = [f.name for f in READING.fields]
-    upsert_partitioned(spark, readings_path, updates.select(*columns), READING_KEYS,
-                       "measure_date", READING_UPDATE_COLS, schema=READING)
-    affected = affected_dates(updates, reach_days).checkpoint(eager=True)
+    # The updates are read twice (merge, affected days): write them once.
+    staged = scratch_path(spark, "late")
+    updates.select(*columns).write.parquet(staged)
+    late = spark.read.schema(READING).parquet(staged)
+    upsert_partitioned(spark, readings_path, late, READING_KEYS, "measure_date",
+                       READING_UPDATE_COLS, schema=READING)
+    affected = affected_dates(late.filter(F.col("location_id").isNotNull()),
+                              reach_days).checkpoint(eager=True)
+    remove_path(spark, staged)
     days = sorted(r[0] for r in affected.select("measure_date").distinct().collect())
     if not days:
         return affected
     needed = sorted(set(days) | {d - dt.timedelta(days=1) for d in days})
     src = (spark.read.schema(READING).parquet(readings_path)
            .filter(F.col("measure_date").isin(needed)))
+    # Only the affected location-days and the day before each (the window's halo) are computed.
+    pairs = affected.select("location_id", F.explode(F.array(
+        "measure_date", F.date_sub("measure_date", 1))).alias("measure_date")).distinct()
+    src = src.join(pairs, ["location_id", "measure_date"], "left_semi")
     fresh = daily_air_index(src).join(affected, ["location_id", "measure_date"], "left_semi")
     upsert_partitioned(spark, fact_path, fresh, FACT_KEYS, "measure_date", FACT_UPDATE_COLS)
     return affected

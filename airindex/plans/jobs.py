@@ -19,7 +19,6 @@ import datetime as dt
 import sys
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from airindex.operators.conform import flatten_measurements
 from airindex.operators.star import dim_date_spanning, star_report
@@ -36,12 +35,15 @@ READING_COLUMNS = [f.name for f in READING.fields]
 
 def run_conform(spark: SparkSession, landing: str, locations: str, readings: str,
                 start: dt.date, end: dt.date) -> int:
-    """Landing JSON of [start, end] -> upsert into the reading table. Returns rejects."""
+    """Landing JSON of [start, end] -> upsert into the reading table.
+
+    Every reading of the landed files is merged, also one whose UTC day is outside the range
+    (a file may straddle midnight). Returns the number of rejects: readings without a known
+    location or without a time.
+    """
     raw = read_raw(spark, range_glob(landing, start, end))
     locs = spark.read.parquet(locations)
     flat = flatten_measurements(raw, locs)
-    # Only readings whose UTC day is in the range (a file may straddle midnight).
-    flat = flat.filter(F.col("measure_date").between(F.lit(start), F.lit(end)))
     rejects = upsert_partitioned(spark, readings, flat.select(*READING_COLUMNS), READING_KEYS,
                                  "measure_date", READING_UPDATE_COLS, schema=READING)
     return rejects.count()
@@ -91,7 +93,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         rejects = run_conform(spark, args.landing, args.locations, args.readings,
                               args.start, args.end)
         if rejects:
-            print(f"{rejects} readings without a complete key were rejected", file=sys.stderr)
+            print(f"{rejects} readings without a known location or a time were rejected", file=sys.stderr)
     elif args.job == "fact":
         run_fact(spark, args.readings, args.fact, args.start, args.end)
     else:

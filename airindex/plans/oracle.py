@@ -14,12 +14,34 @@ Each string is one SELECT over the pre-registered views (``events``, ``nation``,
 
 from __future__ import annotations
 
-from airindex.functions.index import DOMINANT_ORDER, O3_8H_CEILING, SUB_INDEXES
-from airindex.functions.labels import (HAZARD_ABOVE, HEALTH_BANDS, HEALTH_NULL, HEALTH_TOP,
-                                       LEVEL_LABELS, MIN_RECORDS, STATUS_INSUFFICIENT,
-                                       STATUS_MISSING_PM, STATUS_VALID, UNKNOWN_LEVEL)
-from airindex.operators.rollup import MIN_8H_VALUES
-from airindex.sources.tables import DECIMALS, LEVEL_STEP, N_LOCATIONS, VALUE_DECIMALS
+# Fixed values, stated here again and not imported: the twins must not follow a mistake of the
+# library. (concentration low, concentration high, index low, index high) per segment.
+SUB_INDEXES = {
+    "aqi_pm25": ("avg_pm2_5", ((0, 25, 0, 50), (25, 50, 51, 100), (50, 80, 101, 150), (80, 150, 151, 200),
+                               (150, 250, 201, 300), (250, 500, 301, 500))),
+    "aqi_pm10": ("avg_pm10", ((0, 50, 0, 50), (50, 150, 51, 100), (150, 250, 101, 150), (250, 350, 151, 200),
+                              (350, 420, 201, 300), (420, 500, 301, 500))),
+    "aqi_co": ("max_1h_co", ((0, 10000, 0, 50), (10000, 30000, 51, 100), (30000, 45000, 101, 150),
+                             (45000, 60000, 151, 200), (60000, 90000, 201, 300), (90000, 120000, 301, 500))),
+    "aqi_no2": ("max_1h_no2", ((0, 100, 0, 50), (100, 200, 51, 100), (200, 700, 101, 150), (700, 1200, 151, 200),
+                               (1200, 2350, 201, 300), (2350, 3850, 301, 500))),
+    "aqi_so2": ("max_1h_so2", ((0, 125, 0, 50), (125, 350, 51, 100), (350, 550, 101, 150), (550, 800, 151, 200),
+                               (800, 1600, 201, 300), (1600, 2630, 301, 500))),
+    "aqi_o3_1h": ("max_1h_o3", ((0, 160, 0, 50), (160, 200, 51, 100), (200, 300, 101, 150), (300, 400, 151, 200),
+                                (400, 800, 201, 300), (800, 1200, 301, 500))),
+    "aqi_o3_8h": ("max_8h_o3", ((0, 160, 0, 50), (160, 200, 51, 100), (200, 300, 101, 150), (300, 400, 151, 200))),
+}
+O3_8H_CEILING = 400
+DOMINANT_ORDER = (("aqi_pm25", "PM2.5"), ("aqi_pm10", "PM10"), ("aqi_co", "CO"), ("aqi_no2", "NO2"),
+                  ("aqi_so2", "SO2"), ("aqi_o3", "Ozone"))
+LEVEL_LABELS = ((1, "Good"), (2, "Fair"), (3, "Moderate"), (4, "Poor"), (5, "Very Poor"))
+UNKNOWN_LEVEL = "Unknown"
+HEALTH_BANDS = ((50, "Good"), (100, "Moderate"), (150, "Poor"), (200, "Unhealthy"), (300, "Very Unhealthy"))
+HEALTH_TOP, HEALTH_NULL, HAZARD_ABOVE = "Hazardous", "N/A", 200
+MIN_RECORDS, MIN_8H_VALUES = 18, 6
+STATUS_VALID, STATUS_MISSING_PM, STATUS_INSUFFICIENT = "Valid", "Missing PM Data", "Insufficient Data (<75%)"
+# The binding of the test tables.
+USERS_PER_LOCATION, LEVEL_STEP, DECIMALS, VALUE_DECIMALS, CO_PER_VALUE = 20, 25.0, 6, 2, 400
 
 
 def rnd(x: str, d: int = 2) -> str:
@@ -106,7 +128,7 @@ def _only(kind: str) -> str:
 
 
 HOURLY = f"""hourly AS (
-  SELECT cast(user_id % {N_LOCATIONS} AS int) AS location_id,
+  SELECT cast(user_id // {USERS_PER_LOCATION} AS int) AS location_id,
          date_trunc('hour', ts) AS measured_at,
          {mean_sql('value', DECIMALS, VALUE_DECIMALS)} AS _mean,
          {mean_sql(_only('view'), DECIMALS, VALUE_DECIMALS)} AS pm2_5,
@@ -114,12 +136,18 @@ HOURLY = f"""hourly AS (
          max({_only('error')}) AS o3,
          max({_only('click')}) * 5 AS no2,
          max({_only('purchase')}) * 3 AS so2,
-         cast(sum({units_sql('value', VALUE_DECIMALS)}) AS double) AS co,
+         max(value) * {CO_PER_VALUE} AS co,
          min(value) AS no,
          min({_only('purchase')}) AS nh3
   FROM events GROUP BY 1, 2)"""
 
-READINGS = HOURLY + f""",
+DIM_LOCATION = f"""dim_location AS (
+  SELECT i.location_id, n_name || ' ' || i.location_id AS city_name,
+         cast(100.0 + i.location_id AS double) AS lon, cast(10.0 + i.location_id AS double) AS lat
+  FROM (SELECT DISTINCT cast(user_id // {USERS_PER_LOCATION} AS int) AS location_id FROM events) i
+  JOIN nation ON n_nationkey = i.location_id % 25)"""
+
+READINGS = DIM_LOCATION + ",\n" + HOURLY + f""",
 readings0 AS (
   SELECT location_id, cast(100.0 + location_id AS double) AS lon,
          cast(10.0 + location_id AS double) AS lat, measured_at,

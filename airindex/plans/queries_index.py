@@ -30,7 +30,7 @@ def _fact_query(name: str, cols: tuple[str, ...]):
     return run
 
 
-for _name, (_src, _segs) in SUB_INDEXES.items():
+for _name, (_src, _segs) in O.SUB_INDEXES.items():
     _fact_query("index_" + _name[len("aqi_"):], ("location_id", "measure_date", _src, _name))
 
 _fact_query("ozone_index", ("location_id", "measure_date", "max_1h_o3", "max_8h_o3",
@@ -48,12 +48,12 @@ _fact_query("dominant_pollutant", ("location_id", "measure_date", "vn_aqi", "vn_
 _BP_LONG = " UNION ALL ".join(
     f"SELECT location_id, measure_date, {O.q(name)} AS sub_index, {src} AS x, "
     f"{O.piecewise_sql(src, segs)} AS idx FROM fact_all"
-    for name, (src, segs) in SUB_INDEXES.items())
+    for name, (src, segs) in O.SUB_INDEXES.items())
 
 
 @register("index_by_breakpoint_join", O.with_fact(_BP_LONG))
 def q_index_by_breakpoint_join(spark, sf_dir):
-    """Sub-indexes from a breakpoint *table*: broadcast range join, first segment wins.
+    """Sub-indexes from a breakpoint *table*: broadcast range join, one segment per value.
 
     The breakpoint table has a fixed, small size (one row per segment), so it is
     broadcast; the join is an equi-join on the sub-index name plus a range test.
@@ -64,14 +64,12 @@ def q_index_by_breakpoint_join(spark, sf_dir):
         for name, (src, _) in SUB_INDEXES.items()])).alias("v")).select(
         "location_id", "measure_date", "v.*")
     bp = F.broadcast(breakpoint_table(spark))
-    cond = ((long.sub_index == bp.sub_index) & (long.x >= bp.lo) & (long.x <= bp.hi))
-    joined = long.join(bp, cond, "left").select(
-        long.location_id, long.measure_date, long.sub_index, long.x, bp.seg,
-        (bp.slope * (long.x - bp.lo) + bp.i_lo).alias("value"))
-    idx = (joined.groupBy("location_id", "measure_date", "sub_index", "x")
-           .agg(F.min_by("value", "seg").alias("value")))
-    return idx.select("location_id", "measure_date", "sub_index", "x",
-                      F.coalesce(F.col("value"), F.lit(0.0)).cast("int").alias("idx"))
+    above = (long.x > bp.lo) | ((bp.seg == 0) & (long.x >= bp.lo))
+    cond = (long.sub_index == bp.sub_index) & above & (long.x <= bp.hi)
+    value = bp.slope * (long.x - bp.lo) + bp.i_lo
+    return long.join(bp, cond, "left").select(
+        long.location_id, long.measure_date, long.sub_index, long.x,
+        F.coalesce(value, F.lit(0.0)).cast("int").alias("idx"))
 
 
 @register("level_label", O.with_readings(
@@ -126,7 +124,7 @@ _CLAMP_COLS = ["location_id", "measure_date"] + [src for src, _ in SUB_INDEXES.v
 
 @register("index_clamped", O.with_fact(", clamped AS (SELECT " + ", ".join(
     _CLAMP_COLS + [f"{O.piecewise_sql(src, segs, 'clamp')} AS {name}"
-                   for name, (src, segs) in SUB_INDEXES.items()]) + " FROM fact_all)\n"
+                   for name, (src, segs) in O.SUB_INDEXES.items()]) + " FROM fact_all)\n"
     "SELECT * FROM clamped"))
 def q_index_clamped(spark, sf_dir):
     """Sub-indexes with off-scale concentrations clamped to the top index (not 0)."""

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from airindex.functions.dates import is_process_date
 from airindex.functions.labels import STATUS_VALID
-from airindex.operators.conform import flatten_measurements, raw_payload
+from airindex.operators.conform import flatten_measurements, raw_payload, unmatched_locations
 from airindex.operators.star import dim_date_spanning, star_report
 from airindex.operators.upsert import (affected_dates, as_of, evolve_union, merge_frames,
                                        replace_by_key)
@@ -22,7 +23,7 @@ from airindex.schemas import (FACT_COLUMNS, FACT_KEYS, FACT_UPDATE_COLS, READING
 from airindex.session import scratch_path
 from airindex.sinks.files import latest_export, read_report_csv, write_csv, write_partitioned
 from airindex.sources.raw import read_raw, request_plan, write_raw
-from airindex.sources.tables import dim_location, readings
+from airindex.sources.tables import dim_location, load, readings
 
 READING_COLUMNS = [f.name for f in READING.fields]
 SPLIT_LAST_TARGET_DAY = 20
@@ -167,9 +168,8 @@ def q_two_day_buffer(spark, sf_dir):
 
 @register("request_plan", O.with_readings(""",
 span AS (SELECT min(measure_date) AS s, max(measure_date) AS e FROM readings),
-days AS (SELECT cast(n_nationkey AS int) AS location_id, n_name,
-                cast(g.d AS date) AS request_date
-         FROM nation, span, generate_series(span.s, span.e, INTERVAL 1 DAY) AS g(d))
+days AS (SELECT location_id, city_name AS n_name, cast(g.d AS date) AS request_date
+         FROM dim_location, span, generate_series(span.s, span.e, INTERVAL 1 DAY) AS g(d))
 SELECT location_id, request_date, cast(100.0 + location_id AS double) AS lon,
        cast(10.0 + location_id AS double) AS lat,
        cast(epoch(cast(request_date AS timestamp)) AS bigint) AS start_epoch,
@@ -191,9 +191,7 @@ dim_date AS (SELECT {O.date_id_sql('measure_date')} AS date_id, measure_date,
                     cast(year(measure_date) AS int) AS year,
                     cast(month(measure_date) AS int) AS month,
                     dayname(measure_date) AS day_name,
-                    cast(isodow(measure_date) AS int) AS day_of_week FROM dd),
-dim_location AS (SELECT cast(n_nationkey AS int) AS location_id, n_name AS city_name
-                 FROM nation)
+                    cast(isodow(measure_date) AS int) AS day_of_week FROM dd)
 SELECT d.measure_date, d.year, d.month, d.day_name, d.day_of_week, l.city_name, f.vn_aqi,
        f.health_implication, f.dominant_pollutant, f.is_hazardous, f.data_quality_status,
        f.avg_aqi AS avg_aqi_owm, f.avg_pm2_5, f.max_pm2_5, f.avg_pm10, f.max_pm10, f.avg_co,
@@ -229,7 +227,7 @@ def q_latest_file(spark, sf_dir):
     write_csv(full.filter(F.dayofmonth("measure_date") <= 15), f"{root}/export=1")
     write_csv(full, f"{root}/export=2")
     df = read_report_csv(spark, root)
-    return latest_export(df, "export").drop("export")
+    return latest_export(df, root, "export").drop("export")
 
 
 ADHOC_SQL = f"""
@@ -279,3 +277,112 @@ def q_incremental_refresh(spark, sf_dir):
     load_daily_fact(spark, readings_path, fact_path, reading_target(r))
     refresh_daily_fact(spark, readings_path, fact_path, reading_updates(r))
     return spark.read.parquet(fact_path).select(*FACT_COLUMNS)
+
+
+@register("fact_table_by_name", O.with_fact("SELECT * FROM fact"))
+def q_fact_table_by_name(spark, sf_dir):
+    """The fact as a catalog table: created if absent with fixed columns and place, loaded with
+    days 1-20, upserted with days 18 and later, read by name."""
+    from uuid import uuid4
+
+    from airindex.sinks.catalog_tables import create_table, upsert_table
+    fact = daily_air_index(readings(spark, sf_dir))
+    name = f"fact_{uuid4().hex}"
+    create_table(spark, name, fact.schema, "measure_date", scratch_path(spark, "fact-table"))
+    create_table(spark, name, fact.schema, "measure_date", scratch_path(spark, "not-used"))  # there already
+    upsert_table(spark, name, fact.filter(_day() <= SPLIT_LAST_TARGET_DAY), FACT_KEYS, "measure_date")
+    upsert_table(spark, name, fact.filter(_day() >= SPLIT_FIRST_UPDATE_DAY), FACT_KEYS,
+                 "measure_date", FACT_UPDATE_COLS)
+    return spark.table(name).select(*FACT_COLUMNS)
+
+
+@register("bronze_day_range", O.with_readings(f"""
+SELECT {O.READING_COLS} FROM readings WHERE measure_date BETWEEN
+  (SELECT min(measure_date) FROM readings) + 3 AND (SELECT min(measure_date) FROM readings) + 9"""))
+def q_bronze_day_range(spark, sf_dir):
+    """Landing by day, then a range of days read with partition pruning (the range is the feature)."""
+    import datetime as dt
+
+    from airindex.sources.raw import read_landed_days, write_raw_by_day
+    locs = dim_location(spark, sf_dir)
+    r = readings(spark, sf_dir)
+    root = scratch_path(spark, "landing")
+    write_raw_by_day(raw_payload(r, locs), root)
+    first = r.agg(F.min("measure_date")).first()[0]
+    raw = read_landed_days(spark, root, first + dt.timedelta(days=3), first + dt.timedelta(days=9))
+    return flatten_measurements(raw, locs).select(*READING_COLUMNS)
+
+
+@register("read_raw_partial_paths", _SCAN)
+def q_read_raw_partial_paths(spark, sf_dir):
+    """Several landing roots, one of them absent: the others are read in full."""
+    locs = dim_location(spark, sf_dir)
+    r = readings(spark, sf_dir)
+    a, b = scratch_path(spark, "landing"), scratch_path(spark, "landing")
+    write_raw(raw_payload(r.filter(_day() <= 15), locs), a)
+    write_raw(raw_payload(r.filter(_day() > 15), locs), b)
+    raw = read_raw(spark, [a, scratch_path(spark, "absent"), b], recursive=True)
+    return flatten_measurements(raw, locs).select(*READING_COLUMNS)
+
+
+@register("conform_rejects", O.with_readings("""
+SELECT lon, lat, count(*) AS readings, min(measured_at) AS first_at, max(measured_at) AS last_at
+FROM readings WHERE location_id % 3 = 1 GROUP BY lon, lat"""))
+def q_conform_rejects(spark, sf_dir):
+    """Readings whose coordinates the location dimension lacks are kept and reported."""
+    locs = dim_location(spark, sf_dir)
+    raw = raw_payload(readings(spark, sf_dir), locs)
+    return unmatched_locations(flatten_measurements(raw, locs.filter("location_id % 3 <> 1")))
+
+
+@register("upsert_evolved_columns", O.with_readings("""
+SELECT * EXCLUDE (nh3, aqi_label), CASE WHEN day(measure_date) <= 20 THEN aqi_label END AS aqi_label,
+       CASE WHEN day(measure_date) >= 18 THEN nh3 END AS nh3,
+       CASE WHEN day(measure_date) >= 18 THEN 'v2' END AS source
+FROM readings"""))
+def q_upsert_evolved_columns(spark, sf_dir):
+    """A table without ``nh3`` upserted with readings that have it, a new column, and no label:
+    stored columns stay, new ones are added."""
+    from airindex.operators.upsert import upsert_partitioned
+    r = readings(spark, sf_dir)
+    path = scratch_path(spark, "evolving")
+    upsert_partitioned(spark, path, r.filter(_day() <= SPLIT_LAST_TARGET_DAY).drop("nh3"),
+                       READING_KEYS, "measure_date")
+    late = r.filter(_day() >= SPLIT_FIRST_UPDATE_DAY).drop("aqi_label").withColumn("source", F.lit("v2"))
+    upsert_partitioned(spark, path, late, READING_KEYS, "measure_date")
+    return spark.read.option("mergeSchema", True).parquet(path).select(*READING_COLUMNS, "source")
+
+
+@register("empty_inputs", """
+SELECT 'absent path' AS case_name, 0::BIGINT AS n, true AS is_empty UNION ALL
+SELECT 'events', count(*), count(*) = 0 FROM events UNION ALL
+SELECT 'events of no day', 0, true""")
+def q_empty_inputs(spark, sf_dir):
+    """Guards: an absent landing path and an empty range flow through as empty frames; a count
+    and an emptiness test of the whole table beside them."""
+    absent = flatten_measurements(read_raw(spark, scratch_path(spark, "absent")))
+    everything = load(spark, sf_dir, "events")
+    nothing = daily_air_index(readings(spark, sf_dir, "1900-01-01", "1900-01-02"))
+    cases = [("absent path", absent), ("events", everything), ("events of no day", nothing)]
+    out = None
+    for name, df in cases:
+        row = df.agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit(name).alias("case_name"), "n", (F.col("n") == 0).alias("is_empty"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@register("list_sizes", O.with_readings("""
+SELECT location_id, measure_date, cast(count(*) AS int) AS n_measurements, true AS has_any,
+       {valid} AS date_is_valid FROM readings GROUP BY location_id, measure_date""".format(
+    valid="regexp_full_match(strftime(measure_date, '%Y-%m-%d'), '[0-9]{4}-[0-9]{2}-[0-9]{2}')")))
+def q_list_sizes(spark, sf_dir):
+    """Size of each payload's list, whether it has any, and the validity of its day as text."""
+    locs = dim_location(spark, sf_dir)
+    raw = raw_payload(readings(spark, sf_dir), locs)
+    day = F.concat_ws("-", "yyyy", "mm", "dd")
+    payload = raw.join(locs.select("location_id", "lon", "lat"),
+                       (F.col("coord.lon") == F.col("lon")) & (F.col("coord.lat") == F.col("lat")))
+    return payload.select("location_id", F.to_date(day).alias("measure_date"),
+                          F.size("list").alias("n_measurements"), (F.size("list") > 0).alias("has_any"),
+                          is_process_date(day).alias("date_is_valid"))

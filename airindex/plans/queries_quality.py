@@ -89,9 +89,8 @@ def q_trend_series(spark, sf_dir):
 
 @register("coverage_gaps", O.with_readings(""",
 span AS (SELECT min(measure_date) AS s, max(measure_date) AS e FROM readings),
-expected AS (SELECT cast(n_nationkey AS int) AS location_id, n_name AS city_name,
-                    cast(g.d AS date) AS measure_date
-             FROM nation, span, generate_series(span.s, span.e, INTERVAL 1 DAY) AS g(d))
+expected AS (SELECT location_id, city_name, cast(g.d AS date) AS measure_date
+             FROM dim_location, span, generate_series(span.s, span.e, INTERVAL 1 DAY) AS g(d))
 SELECT * FROM expected e WHERE NOT EXISTS (
   SELECT 1 FROM readings r WHERE r.location_id = e.location_id
                              AND r.measure_date = e.measure_date)"""))

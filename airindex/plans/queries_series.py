@@ -6,9 +6,9 @@ daily total of ``o_totalprice`` (about 2,400 days at every scale factor).
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from airindex.functions.exact import mean_half_up
 from airindex.operators.forecast import forecast_fourier, forecast_linear
 from airindex.operators.series import (METRICS, clip_columns, daily_total_series, future_frame,
                                        last_n, last_observation, mask_outliers, to_series,
@@ -17,6 +17,7 @@ from airindex.plans import oracle as O
 from airindex.plans.catalog import register
 from airindex.plans.daily import daily_air_index
 from airindex.sources.tables import load, readings
+from airindex.streaming.landing import sliding_mean
 
 HORIZON = 30
 RECENT_DAYS = 90
@@ -124,12 +125,52 @@ def q_forecast_with_anchor(spark, sf_dir):
     return clip_columns(with_anchor(forecast_linear(masked, HORIZON), masked))
 
 
+FOURIER_GRID_SQL = SERIES_CTE + f""",
+last AS (SELECT series_id, max(ds) AS last FROM masked GROUP BY 1)
+SELECT series_id, cast(last + cast(g.step AS int) AS date) AS ds, cast(g.step AS int) AS step,
+       true AS ordered, true AS whole, true AS constant_band, true AS in_range
+FROM last, generate_series(1, {HORIZON}) AS g(step)"""
+
+
+def _checked(forecast, masked):
+    """A row per forecast row with what must hold of it: bounds in order and none missing, one
+    band per series, and no prediction far off the series' own range."""
+    span = masked.groupBy("series_id").agg(F.min("y").alias("low"), F.max("y").alias("high"))
+    w = Window.partitionBy("series_id")
+    up = F.col("yhat_upper") - F.col("yhat")
+    wide = F.col("high") - F.col("low")
+    return (forecast.join(span, "series_id").withColumn("_up", up)
+            .withColumns({"_least": F.min("_up").over(w), "_most": F.max("_up").over(w)})
+            .select("series_id", "ds", "step",
+                    ((F.col("yhat_lower") <= F.col("yhat")) & (F.col("yhat") <= F.col("yhat_upper"))).alias("ordered"),
+                    (F.col("yhat").isNotNull() & F.col("yhat_lower").isNotNull() & F.col("yhat_upper").isNotNull()).alias("whole"),
+                    (F.col("_most") - F.col("_least") <= wide * 1e-9).alias("constant_band"),
+                    F.col("yhat").between(F.col("low") - wide, F.col("high") + wide).alias("in_range")))
+
+
 @register("forecast_fourier")
 def q_forecast_fourier(spark, sf_dir):
     """Trend + Fourier seasonality per series (numpy inside applyInPandas; rows-only check)."""
     return clip_columns(forecast_fourier(masked_series(spark, sf_dir), HORIZON))
 
 
+@register("forecast_fourier_checks", FOURIER_GRID_SQL)
+def q_forecast_fourier_checks(spark, sf_dir):
+    """The Fourier forecast's series / day / step grid and what must hold of each row (the
+    values are compared with a direct refit in the tests)."""
+    masked = masked_series(spark, sf_dir)
+    return _checked(forecast_fourier(masked, HORIZON), masked)
+
+
+@register("forecast_holidays", FOURIER_GRID_SQL)
+def q_forecast_holidays(spark, sf_dir):
+    """The same with a holiday calendar: the first day of every month the orders span."""
+    masked = masked_series(spark, sf_dir)
+    months = masked.agg(F.min("ds").alias("a"), F.date_add(F.max("ds"), HORIZON).alias("b")).select(
+        F.explode(F.sequence(F.trunc("a", "month"), "b", F.expr("interval 1 month"))).alias("holiday"))
+    return _checked(forecast_fourier(masked, HORIZON, holidays=months), masked)
+
+
 @register("sliding_8h_batch", O.with_readings(f"""
 SELECT location_id, measured_at - to_hours(k) AS window_start,
        measured_at - to_hours(k) + INTERVAL 8 HOUR AS window_end,
@@ -137,9 +178,4 @@ SELECT location_id, measured_at - to_hours(k) AS window_start,
 FROM readings, range(8) AS r(k) GROUP BY 1, 2, 3"""))
 def q_sliding_8h_batch(spark, sf_dir):
     """8-hour windows sliding by 1 hour (event time), per location."""
-    r = readings(spark, sf_dir)
-    g = r.groupBy("location_id", F.window("measured_at", "8 hours", "1 hour").alias("w"))
-    return g.agg(mean_half_up("o3", 6).alias("mean_o3"), F.count("o3").alias("n_o3"),
-                 F.count(F.lit(1)).alias("n_readings")).select(
-        "location_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-        "mean_o3", "n_o3", "n_readings")
+    return sliding_mean(readings(spark, sf_dir))

@@ -8,6 +8,8 @@ pick a directory of our own when the session has none, as in unit tests.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -23,6 +25,7 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     # PySpark 4 records the Python call site of every Column operation for error
     # messages; that costs about ten driver round trips per operation when plans
@@ -57,53 +60,40 @@ def ensure_utc(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster; set one only when unset."""
+    """The shared checkpoint folder named by the cluster; set one only when unset.
+
+    On a cluster a ``file:`` folder is accepted only if the session's own configuration names
+    it (a mount that every machine shares); a folder is never made up there.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not _one_machine(sc.master):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set: name a shared folder (HDFS, object store) "
                 "that every executor can reach; checkpoints and scratch tables go there")
         # Local runs and unit tests only: one machine, so a local folder is shared.
         configured = tempfile.mkdtemp(prefix="airindex-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def _one_machine(master: str) -> bool:
+    """``local``, ``local[4]``, ``local[4,2]``: executor threads of the driver itself."""
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder for written intermediates."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/airindex-scratch/{name}-{uuid.uuid4().hex}"
 
 
-def scale_conf(total_cores: int, input_bytes: int, shuffle_bytes: int | None = None,
-               partition_bytes: int = 256 << 20, max_partitions: int = 100_000) -> dict:
-    """Settings for a cluster run, sized from the core count and the data volume.
-
-    * scan splits of ``partition_bytes`` (``spark.sql.files.maxPartitionBytes``);
-    * the initial shuffle partition count follows the largest *shuffle* (default:
-      a tenth of the input, since every large shuffle here follows a map-side
-      partial aggregate), at least 3 waves of the cores and at most
-      ``max_partitions`` (map-output metadata grows with map tasks x partitions);
-    * adaptive execution coalesces partitions to ``partition_bytes`` and splits
-      skewed join and rebalance partitions.
-    """
-    shuffle_bytes = input_bytes // 10 if shuffle_bytes is None else shuffle_bytes
-    by_volume = -(-shuffle_bytes // partition_bytes)
-    initial = min(max(3 * total_cores, by_volume), max_partitions)
-    return {
-        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
-        "spark.sql.shuffle.partitions": str(initial),
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
-        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    }
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch path that nothing reads any more (no error if it is absent)."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

@@ -34,14 +34,18 @@ def read_report_csv(spark: SparkSession, path: str) -> DataFrame:
     return df.withColumns({"year": F.year("measure_date"), "month": F.month("measure_date")})
 
 
-def latest_export(df: DataFrame, export_col: str = "export") -> DataFrame:
-    """Rows of the most recently written export (by file modification time).
+def latest_export(df: DataFrame, root: str, export_col: str = "export") -> DataFrame:
+    """Rows of the most recently written export below ``root`` (by file modification time).
 
-    ``df`` must come from a file source over a folder of exports, one sub-folder
-    (partition value of ``export_col``) per write. The newest export is the one
-    whose newest file is newest; its id is a scalar subquery.
+    ``df`` reads the folder of exports, one sub-folder (partition value of ``export_col``) per
+    write. File times come from the file listing (path and time only, no content), and the
+    newest export is a partition filter, so the other exports are not read.
     """
-    with_meta = df.withColumn("_mtime", F.col("_metadata.file_modification_time"))
-    newest = (with_meta.groupBy(export_col).agg(F.max("_mtime").alias("_m"))
-              .select(F.max_by(export_col, "_m")).scalar())
-    return df.filter(F.col(export_col) == newest)
+    files = (df.sparkSession.read.format("binaryFile").option("recursiveFileLookup", True)
+             .load(root).select("path", "modificationTime"))
+    written = files.select(F.regexp_extract("path", f"/{export_col}=([^/]*)/", 1).alias("name"),
+                           "modificationTime").filter("name <> ''")
+    newest = written.agg(F.max_by("name", F.struct("modificationTime", "name"))).first()[0]
+    if newest is None:
+        return df.limit(0)
+    return df.filter(F.col(export_col) == F.lit(newest).cast(df.schema[export_col].dataType))

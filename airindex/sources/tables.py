@@ -1,8 +1,8 @@
 """Table loading and the binding of the driver's test tables to our data model.
 
 ``readings_from_events`` turns the ``events`` stream table into conformed hourly
-readings: ``user_id % n_locations`` acts as the location and each event type as
-one sensor channel, so missing hours and NULL channels arise naturally. The
+readings: every ``USERS_PER_LOCATION`` consecutive users are a location, so locations grow with
+the data and their density does not change, and each event type is one sensor channel, so missing hours and NULL channels arise naturally. The
 aggregation is decomposable (partial + final hash aggregate), so a location that
 holds a third of all events is combined map-side before the shuffle.
 """
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airindex.functions.dates import date_parts
-from airindex.functions.exact import mean_half_up, units
+from airindex.functions.exact import mean_half_up
 from airindex.functions.labels import level_label
 from airindex.session import ensure_utc
 
@@ -23,10 +23,12 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 # Binding of event types to sensor channels, and value scales.
-N_LOCATIONS = 8
+USERS_PER_LOCATION = 20
 LEVEL_STEP = 25.0
 DECIMALS = 6
 VALUE_DECIMALS = 2
+CO_PER_VALUE = 400
+NATIONS = 25
 
 
 # Schemas of the source tables the library reads. Passing them skips the footer-reading
@@ -68,10 +70,14 @@ def _mean(x: Column) -> Column:
     return mean_half_up(x, DECIMALS, scale=VALUE_DECIMALS)
 
 
-def hourly_channels(events: DataFrame, n_locations: int = N_LOCATIONS) -> DataFrame:
+def location_of(user_id: str = "user_id") -> Column:
+    return F.expr(f"{user_id} div {USERS_PER_LOCATION}").cast("int")
+
+
+def hourly_channels(events: DataFrame) -> DataFrame:
     """events -> one row per (location_id, measured_at) with the raw channel values."""
     ev = events.select("user_id", "ts", "event_type", "value")
-    return (ev.groupBy((F.col("user_id") % F.lit(n_locations)).cast("int").alias("location_id"),
+    return (ev.groupBy(location_of().alias("location_id"),
                        F.date_trunc("hour", F.col("ts")).alias("measured_at"))
             .agg(_mean(F.col("value")).alias("_mean"),
                  _mean(_only("view")).alias("pm2_5"),
@@ -79,7 +85,7 @@ def hourly_channels(events: DataFrame, n_locations: int = N_LOCATIONS) -> DataFr
                  F.max(_only("error")).alias("o3"),
                  (F.max(_only("click")) * F.lit(5)).alias("no2"),
                  (F.max(_only("purchase")) * F.lit(3)).alias("so2"),
-                 F.sum(units("value", VALUE_DECIMALS)).cast("double").alias("co"),
+                 (F.max("value") * F.lit(CO_PER_VALUE)).alias("co"),
                  F.min("value").alias("no"),
                  F.min(_only("purchase")).alias("nh3")))
 
@@ -97,8 +103,8 @@ def conform(hourly: DataFrame) -> DataFrame:
         *[c.alias(n) for n, c in date_parts(day).items()])
 
 
-def readings_from_events(events: DataFrame, n_locations: int = N_LOCATIONS) -> DataFrame:
-    return conform(hourly_channels(events, n_locations))
+def readings_from_events(events: DataFrame) -> DataFrame:
+    return conform(hourly_channels(events))
 
 
 def readings(spark: SparkSession, sf_dir: str, start=None, end=None,
@@ -131,8 +137,10 @@ def _as_day(d) -> dt.date:
 
 
 def dim_location(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Locations from ``nation``: every nation key is a location id."""
-    nation = load(spark, sf_dir, "nation")
-    loc = F.col("n_nationkey").cast("int")
-    return nation.select(loc.alias("location_id"), F.col("n_name").alias("city_name"),
-                         *[c.alias(n) for n, c in location_coords(loc).items()])
+    """The locations of ``events``, each named after a nation and its own number."""
+    ids = load(spark, sf_dir, "events").select(location_of().alias("location_id")).distinct()
+    nation = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    loc = F.col("location_id")
+    named = ids.withColumn("n_nationkey", loc % NATIONS).join(nation, "n_nationkey")
+    return named.select(loc, F.concat_ws(" ", "n_name", loc.cast("string")).alias("city_name"),
+                        *[c.alias(n) for n, c in location_coords(loc).items()])

@@ -54,9 +54,13 @@ def landing_stream(spark: SparkSession, root: str, locations: DataFrame,
 
 def upsert_sink(table_path: str, keys: Sequence[str] = READING_KEYS,
                 update_cols: Sequence[str] = READING_UPDATE_COLS,
-                partition_col: str = "measure_date") -> Callable[[DataFrame, int], None]:
+                partition_col: str = "measure_date",
+                rejects_path: str | None = None) -> Callable[[DataFrame, int], None]:
     """foreachBatch function: merge each micro-batch into the table at ``table_path``.
 
+    Readings without a complete key (no known location, no time) are written below
+    ``rejects_path``, one folder per batch, so that a replayed batch replaces its own; without
+    a path a batch that has any fails.
     Across micro-batches the later batch wins (batches follow file arrival).
     """
     columns = [f.name for f in READING.fields]
@@ -65,8 +69,13 @@ def upsert_sink(table_path: str, keys: Sequence[str] = READING_KEYS,
         if LANDED in batch.columns:
             # Latest landing file wins within the micro-batch (map-side reduced).
             batch = latest_per_key(batch, list(keys), LANDED)
-        upsert_partitioned(batch.sparkSession, table_path, batch.select(*columns), keys,
-                           partition_col, update_cols, schema=READING)
+        rejects = upsert_partitioned(batch.sparkSession, table_path, batch.select(*columns),
+                                     keys, partition_col, update_cols, schema=READING)
+        if rejects.isEmpty():
+            return
+        if rejects_path is None:
+            raise ValueError(f"{rejects.count()} readings without a key, and no rejects_path")
+        rejects.write.mode("overwrite").parquet(f"{rejects_path}/batch={batch_id}")
     return write
 
 

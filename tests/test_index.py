@@ -154,3 +154,27 @@ def test_exact_mean_half_up(spark):
     got = {r.k: r.m for r in df.groupBy("k").agg(mean_half_up("x", 2).alias("m")).collect()}
     assert got == {1: 69.25, 2: -0.01, 3: None}
     assert df.select(F.lit(1)).count() == 5
+
+
+# Literal expectations, not taken from the tables under test: (concentration, index).
+EXPECTED = {
+    "pm25": [(0, 0), (25, 50), (25.5, 51), (50, 100), (51, 102), (80, 150), (81, 151), (150, 200), (151, 201),
+             (250, 300), (251, 301), (500, 500), (500.5, 0)],
+    "pm10": [(0, 0), (50, 50), (52, 51), (150, 100), (152, 101), (250, 150), (252, 151), (350, 200), (352, 203),
+             (420, 300), (421, 303), (500, 500), (501, 0)],
+    "co": [(0, 0), (10000, 50), (10500, 52), (30000, 100), (31000, 104), (45000, 150), (46000, 154), (60000, 200),
+           (61000, 204), (90000, 300), (91000, 307), (120000, 500), (120001, 0)],
+    "no2": [(0, 0), (100, 50), (102, 51), (200, 100), (210, 101), (700, 150), (710, 151), (1200, 200), (1210, 201),
+            (2350, 300), (2360, 302), (3850, 500), (3851, 0)],
+    "so2": [(0, 0), (125, 50), (126, 51), (350, 100), (351, 101), (550, 150), (551, 151), (800, 200), (810, 202),
+            (1600, 300), (1610, 302), (2630, 500), (2631, 0)],
+    "o3_1h": [(0, 0), (160, 50), (161, 52), (200, 100), (201, 101), (300, 150), (301, 151), (400, 200), (401, 201),
+              (800, 300), (801, 301), (1200, 500), (1201, 0)],
+    "o3_8h": [(0, 0), (160, 50), (161, 52), (200, 100), (201, 101), (300, 150), (301, 151), (400, 200), (401, 0)],
+}
+
+
+@pytest.mark.parametrize("name", sorted(EXPECTED))
+def test_literal_values_of_each_table(spark, name):
+    got = _index(spark, [float(x) for x, _ in EXPECTED[name]], TABLES[name])
+    assert {x: got[float(x)] for x, _ in EXPECTED[name]} == dict(EXPECTED[name])

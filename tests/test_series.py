@@ -93,8 +93,8 @@ def test_fourier_matches_direct_fit_per_series(spark):
     from tests.conftest import SF001
     series = masked_series(spark, SF001)
     got = forecast_fourier(series, horizon=5).toPandas()
-    local = series.toPandas()
-    fn = _fit_predict(5, 3, 10, 25, 1.0, (0.1, 0.9), None)
+    local = series.toPandas().assign(holiday=False)
+    fn = _fit_predict(5, 3, 10, 25, 1.0, (0.1, 0.9))
     for sid, pdf in local.groupby("series_id"):
         want = fn(pdf.reset_index(drop=True))
         mine = got[got.series_id == sid].sort_values("step").reset_index(drop=True)

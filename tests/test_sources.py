@@ -99,7 +99,7 @@ def test_latest_export(spark, tmp_dir):
     b = spark.createDataFrame([(2,), (3,)], "x int")
     a.write.parquet(f"{root}/export=1")
     b.write.parquet(f"{root}/export=2")
-    got = sorted(r.x for r in latest_export(spark.read.parquet(root)).collect())
+    got = sorted(r.x for r in latest_export(spark.read.parquet(root), root).collect())
     assert got == [2, 3]
 
 
@@ -121,3 +121,31 @@ def test_single_file_csv_option(spark, tmp_dir):
     write_csv(df, out, single_file=True)
     assert len(glob.glob(os.path.join(out, "part-*.csv"))) == 1
     assert spark.read.option("header", True).csv(out).count() == 100
+
+
+def test_absent_paths_are_left_out_and_reported(spark, tmp_dir):
+    from airindex.sources.raw import read_landed_days, write_raw_by_day
+    root = os.path.join(tmp_dir, "landing")
+    _write(f"{root}/a/2024/01/05.json", {"coord": {"lon": 1.5, "lat": 2.5}, "list": [_item(1704412800, co=1)]})
+    missing = []
+    df = read_raw(spark, [f"{root}/a/2024/01/05.json", f"{root}/b/nope.json"], missing=missing)
+    assert df.count() == 1 and missing == [f"{root}/b/nope.json"]
+    assert read_landed_days(spark, os.path.join(tmp_dir, "none"), "2024-01-01", "2024-01-02").count() == 0
+    days = df.select("coord", "list", F.lit("2024").alias("yyyy"), F.lit("01").alias("mm"),
+                     F.explode(F.array(F.lit("05"), F.lit("06"), F.lit("07"))).alias("dd"), F.lit("a").alias("city_slug"))
+    write_raw_by_day(days, os.path.join(tmp_dir, "by-day"))
+    ranged = read_landed_days(spark, os.path.join(tmp_dir, "by-day"), "2024-01-06", "2024-01-07")
+    assert ranged.count() == 2 and ranged.columns == ["coord", "list"]
+    plan = ranged._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(landing_day" in plan
+
+
+def test_unmatched_coordinates_are_kept_and_counted(spark):
+    from airindex.operators.conform import unmatched_locations
+    from airindex.schemas import RAW
+    raw = spark.createDataFrame([({"lon": 1.0, "lat": 2.0}, [{"dt": 0, "main": {"aqi": 1}, "components": {}}]),
+                                 ({"lon": 8.0, "lat": 9.0}, [{"dt": 60, "main": {"aqi": 1}, "components": {}}])], RAW)
+    locs = spark.createDataFrame([(4, 1.0, 2.0)], "location_id int, lon double, lat double")
+    flat = flatten_measurements(raw, locs)
+    assert sorted((r.location_id is None, r.lon) for r in flat.collect()) == [(False, 1.0), (True, 8.0)]
+    assert [(r.lon, r.lat, r.readings) for r in unmatched_locations(flat).collect()] == [(8.0, 9.0, 1)]

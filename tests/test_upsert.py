@@ -121,3 +121,69 @@ def test_merge_into_table_needs_row_level_support(spark, tmp_dir):
         merge_into_table(updates, name, ["k"], ["v"])
     assert "UNSUPPORTED_FEATURE" in str(err.value) and "MERGE INTO" in str(err.value)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_tie_winner_does_not_depend_on_row_order(spark):
+    rows = [(1, D1, 5.0, "a", 7), (1, D1, 5.0, "b", 7), (1, D1, 4.0, "c", 7)]
+    for order in (rows, rows[::-1], [rows[1], rows[2], rows[0]]):
+        df = spark.createDataFrame(order, SCHEMA + ", seq int").coalesce(1)
+        assert _set(latest_per_key(df, ["k"], "seq").select("k", "v", "note")) == [(1, 5.0, "b")]
+
+
+def test_upsert_keeps_stored_columns_and_adds_new_ones(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "wide")
+    base = spark.createDataFrame([(1, D1, 1.0, "kept"), (2, D1, 2.0, "kept"), (9, D3, 9.0, "old")],
+                                 "k int, d date, v double, extra string")
+    upsert_partitioned(spark, path, base, ["k"], "d")
+    late = spark.createDataFrame([(2, D1, 20.0, 5), (3, D1, 30.0, 6)], "k int, d date, v double, newcol int")
+    upsert_partitioned(spark, path, late, ["k"], "d")
+    table = spark.read.option("mergeSchema", True).parquet(path)
+    assert _set(table.select("k", "v", "extra", "newcol")) == [
+        (1, 1.0, "kept", None), (2, 20.0, "kept", 5), (3, 30.0, None, 6), (9, 9.0, "old", None)]
+
+
+def test_upsert_type_conflict_and_repeated_target_keys_fail(spark, tmp_dir):
+    import pytest
+    path = os.path.join(tmp_dir, "strict")
+    base = spark.createDataFrame([(1, D1, 1.0, "t")], SCHEMA)
+    upsert_partitioned(spark, path, base, ["k"], "d")
+    with pytest.raises(ValueError, match="column v is double"):
+        upsert_partitioned(spark, path, spark.createDataFrame([(1, D1, "x", "t")], "k int, d date, v string, note string"), ["k"], "d")
+    base.withColumn("k", F.lit(1)).write.mode("append").partitionBy("d").parquet(path)
+    with pytest.raises(ValueError, match="more than once"):
+        upsert_partitioned(spark, path, base, ["k"], "d")
+
+
+def test_upsert_reads_its_source_once_and_leaves_nothing(spark, tmp_dir):
+    from airindex.session import checkpoint_dir
+    scratch = os.path.join(checkpoint_dir(spark).replace("file:", ""), "airindex-scratch")
+    before = set(os.listdir(scratch)) if os.path.isdir(scratch) else set()
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    path = os.path.join(tmp_dir, "once")
+    rows = spark.createDataFrame([(1, D1, 1.0, "t"), (2, D2, 2.0, "t")], SCHEMA)
+    for n in (1, 2):
+        rejects = upsert_partitioned(spark, path, rows.mapInArrow(count, SCHEMA), ["k"], "d")
+        assert rejects.count() == 0 and seen.value == 2 * n
+    assert set(os.listdir(scratch)) == before
+
+
+def test_table_by_name(spark, tmp_dir):
+    import pytest
+    from airindex.sinks.catalog_tables import create_table, table_path, upsert_table
+    name = "named_" + os.path.basename(tmp_dir).replace("-", "_")
+    rows = spark.createDataFrame([(1, D1, 1.0, "t"), (2, D2, 2.0, "t")], SCHEMA)
+    create_table(spark, name, rows.schema, "d", os.path.join(tmp_dir, "place"))
+    create_table(spark, name, rows.schema, "d", os.path.join(tmp_dir, "elsewhere"))
+    assert table_path(spark, name).endswith("/place") and spark.table(name).count() == 0
+    upsert_table(spark, name, rows, ["k"], "d")
+    upsert_table(spark, name, rows.withColumn("v", F.col("v") * 10).filter("k = 2"), ["k"], "d", ["v"])
+    assert _set(spark.table(name).select("k", "v")) == [(1, 1.0), (2, 20.0)]
+    with pytest.raises(ValueError, match="columns missing"):
+        upsert_table(spark, name, rows.drop("note"), ["k"], "d")
+    spark.sql(f"DROP TABLE {name}")
