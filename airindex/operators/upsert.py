@@ -120,7 +120,7 @@ def upsert_partitioned(spark: SparkSession, path: str, updates: DataFrame, keys:
     only the updates have are added to the table (NULL in rows that are not updated, unless
     ``update_cols`` leaves them out). A column of another type fails before anything is written.
 
-    The updates are written once, as reduced rows and rejects, to the shared checkpoint folder.
+    The updates are written once, marked as usable or rejects, to the shared checkpoint folder.
     Their partition values (days: bounded by the calendar) prune the target read. Where
     nothing is there to merge with, the updates are written straight to the table; otherwise the
     merged partitions are staged once, so the write never reads the files it replaces. A target
@@ -132,15 +132,15 @@ def upsert_partitioned(spark: SparkSession, path: str, updates: DataFrame, keys:
     if partition_col not in keys:
         keys = keys + [partition_col]
     staged = scratch_path(spark, "upsert")
-    rejects_at, good_at, merged_at = f"{staged}/rejects", f"{staged}/updates", f"{staged}/merged"
+    merged_at = f"{staged}/merged"
     # One pass over the upstream plan: the rows, marked as rejects or not.
     marked = updates.withColumn(REJECT, _any_null(keys))
     marked.write.partitionBy(REJECT).parquet(f"{staged}/source")
     source = spark.read.schema(marked.schema).parquet(f"{staged}/source")
     rejects = source.filter(REJECT).drop(REJECT)
-    latest_per_key(source.filter(~F.col(REJECT)).drop(REJECT), keys, order_by).write.parquet(good_at)
-    good = spark.read.schema(updates.schema).parquet(good_at).select(*updates.columns)
-    touched = [r[0] for r in good.select(partition_col).distinct().collect()]
+    usable = source.filter(~F.col(REJECT)).drop(REJECT)
+    touched = [r[0] for r in usable.select(partition_col).distinct().collect()]
+    good = latest_per_key(usable, keys, order_by).select(*updates.columns)
     if not touched:
         return rejects
     target = _table_part(spark, path, partition_col, touched, schema)
@@ -159,7 +159,6 @@ def upsert_partitioned(spark: SparkSession, path: str, updates: DataFrame, keys:
     (merged.hint("rebalance", partition_col).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
-    remove_path(spark, good_at)
     remove_path(spark, merged_at)
     if rejects.isEmpty():
         remove_path(spark, staged)
