@@ -80,12 +80,12 @@ def removed_words(docs: DataFrame, min_docs: int, max_share: float) -> DataFrame
     own = docs.select("doc_id", _host().alias("host"), text_id(F.col("text")).alias("tid"), "text")
     hosts = own.select("host", "tid").distinct().groupBy("host").agg(F.count("*").alias("host_docs"))
     lines = materialize(
-        own.select(*KEYS, F.explode(lines_of(F.col("text"))).alias("line"))
-        .select(*KEYS, n_words(F.col("line")).alias("w"), line_key(F.col("line")).alias("key"))
-        .filter("w > 0").select(*KEYS, "w", F.xxhash64("key").alias("h")), "rule-lines")
+        own.select(*KEYS, F.posexplode(lines_of(F.col("text"))).alias("pos", "line"))
+        .select(*KEYS, "pos", n_words(F.col("line")).alias("w"), line_key(F.col("line")).alias("key"))
+        .filter("w > 0").select(*KEYS, "pos", "w", F.xxhash64("key").alias("h")), "rule-lines")
     above = frequent_lines(lines, hosts, min_docs, max_share)
-    # A document held twice (same id, host and text) counts its lines once per row: take one row's.
-    return (lines.join(above, ["host", "h"], "left_semi")
+    # Rows that repeat a document (same id, host and text) hold the same lines: one of each counts.
+    return (lines.join(above, ["host", "h"], "left_semi").groupBy(*KEYS, "pos").agg(F.max("w").alias("w"))
             .groupBy(*KEYS).agg(F.sum("w").alias("lost")))
 
 
@@ -93,7 +93,7 @@ def quality_rules(docs: DataFrame, min_docs: int = 10, max_share: float = 0.1,
                   min_left: float = 0.3) -> DataFrame:
     """One row per row of docs: doc_id, tid, the statistics, n_left_words, base_failed, kept."""
     base = base_statistics(docs)
-    lost = removed_words(docs.select("doc_id", "source", "text").distinct(), min_docs, max_share)
+    lost = removed_words(docs.select("doc_id", "source", "text"), min_docs, max_share)
     on = [base[k].eqNullSafe(lost[k]) for k in KEYS]
     out = base.join(lost, on, "left").select(*[base[c] for c in base.columns], F.coalesce("lost", F.lit(0)).alias("lost"))
     out = out.withColumn("n_left_words", F.col("n_words") - F.col("lost"))
