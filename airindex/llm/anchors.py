@@ -18,6 +18,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -25,6 +26,7 @@ from pyspark.sql.window import Window
 from airindex.llm.common import ByteHash, materialize, plain_words, regroup, small_batches, text_bytes
 
 MAX_RIVALS = 2000
+PERIOD_WINDOWS = 64
 BLOCK_BYTES = 4 << 20
 
 
@@ -80,8 +82,25 @@ def window_runs(s: Symbols, window: int, gram: int) -> tuple[np.ndarray, np.ndar
         return none, none, none, none.astype(np.uint64)
     chosen = anchor[begin]
     new = np.flatnonzero(np.r_[True, chosen[1:] != chosen[:-1]])
-    first = begin[new]
-    return np.searchsorted(s.bounds, first, "right") - 1, first, np.diff(np.append(new, len(begin))), grams[chosen[new]]
+    first, n, gram_of = begin[new], np.diff(np.append(new, len(begin))), grams[chosen[new]]
+    first, n, gram_of = _periods_joined(s, window, first, n, gram_of)
+    return np.searchsorted(s.bounds, first, "right") - 1, first, n, gram_of
+
+
+def _periods_joined(s: Symbols, window: int, first: np.ndarray, n: np.ndarray, anchor: np.ndarray):
+    """Runs in which a text repeats itself at once, joined up to PERIOD_WINDOWS windows.
+
+    Text with a short period has an equal anchor in every period: a run of a few windows each time, all
+    with one stretch. They keep their anchor, so equal windows still meet.
+    """
+    stretch = s.hashes(first, first + n - 1 + window)
+    again = np.r_[False, (anchor[1:] == anchor[:-1]) & (stretch[1:] == stretch[:-1]) & (first[1:] == first[:-1] + n[:-1])]
+    if not again.any():
+        return first, n, anchor
+    index = np.arange(len(first))
+    since = index - np.maximum.accumulate(np.where(again, 0, index))
+    head = np.flatnonzero(since % np.maximum(1, PERIOD_WINDOWS // n) == 0)
+    return first[head], np.add.reduceat(n, head), anchor[head]
 
 
 def run_rows(docs: DataFrame, window: int, gram: int, by_word: bool) -> DataFrame:
@@ -124,7 +143,15 @@ def marked_runs(docs: DataFrame, window: int, gram: int, by_word: bool, same_doc
 
 def _with_runs(docs: DataFrame, runs: DataFrame, which) -> DataFrame:
     some = runs.select(F.col("doc_id").alias("_d"), F.filter("runs", which).alias("runs")).filter(F.size("runs") > 0)
-    return docs.select("doc_id", "text").join(some, F.col("doc_id").eqNullSafe(F.col("_d"))).drop("_d")
+    return join_by_doc(docs, some, "inner").drop("_d")
+
+
+def join_by_doc(docs: DataFrame, some: DataFrame, how: str) -> DataFrame:
+    """doc_id and text of docs with what ``some`` (_d, ...) has for them.
+
+    A merge join at every size: what is known of the documents grows with them.
+    """
+    return docs.select("doc_id", "text").join(some.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_d")), how)
 
 
 def _runs_of(batch: pa.RecordBatch, s: Symbols, window: int) -> tuple[np.ndarray, ...]:
@@ -165,10 +192,10 @@ def rival_spans(docs: DataFrame, runs: DataFrame, window: int, by_word: bool, bl
     def compare(rows: pa.Table) -> pa.Table:
         # Earlier documents first; a null id is the earliest.
         rows = rows.sort_by([("doc_id", "ascending"), ("start", "ascending")]) if not rows.column("doc_id").null_count else \
-            pa.concat_tables([rows.filter(pa.compute.is_null(rows["doc_id"])).sort_by("start"),
-                              rows.filter(pa.compute.is_valid(rows["doc_id"])).sort_by([("doc_id", "ascending"), ("start", "ascending")])])
+            pa.concat_tables([rows.filter(pc.is_null(rows["doc_id"])).sort_by("start"),
+                              rows.filter(pc.is_valid(rows["doc_id"])).sort_by([("doc_id", "ascending"), ("start", "ascending")])])
         ids = rows.column("doc_id").combine_chunks()
-        rank = pa.compute.rank(ids, sort_keys="ascending", null_placement="at_start", tiebreaker="dense").to_numpy()
+        rank = pc.rank(ids, sort_keys="ascending", null_placement="at_start", tiebreaker="dense").to_numpy()
         start = rows.column("start").to_numpy().astype(np.int64)
         row, first, last = block(rank, start, rows.column("n").to_numpy().astype(np.int64), rows.column("bytes").combine_chunks())
         return pa.table([ids.take(pa.array(row)), pa.array(start[row] + first), pa.array(start[row] + last)],

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airindex.llm.anchors import repeated_spans
+from airindex.llm.anchors import join_by_doc, repeated_spans
 from airindex.llm.common import ByteHash, plain_words, regroup, small_batches
 
 WINDOW, GRAM = 50, 8
@@ -169,7 +169,7 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
                  pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    joined = docs.select("doc_id", "text").join(spans, F.col("doc_id").eqNullSafe(F.col("_d")), "left")
+    joined = join_by_doc(docs, spans, "left")
     return joined.select("doc_id", "text", "spans").mapInArrow(cut, f"doc_id {kind}, n_words long, n_removed long, kept string")
 
 

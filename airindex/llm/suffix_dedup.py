@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airindex.llm.anchors import repeated_spans
+from airindex.llm.anchors import join_by_doc, repeated_spans
 from airindex.llm.common import ByteHash, merge_spans, regroup, small_batches, text_bytes
 
 WINDOW, GRAM = 100, 32
@@ -154,7 +154,7 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    joined = docs.select("doc_id", "text").join(spans, F.col("doc_id").eqNullSafe(F.col("_d")), "left")
+    joined = join_by_doc(docs, spans, "left")
     return joined.select("doc_id", "text", "spans").mapInArrow(
         cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
 
