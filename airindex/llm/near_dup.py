@@ -11,8 +11,9 @@ largest time that the signature still holds.
 Signatures are banded. Texts in a common bucket are candidates, and a link is a pair whose multisets
 overlap by ``similarity`` or more, counted exactly. Copies (equal word sequences) are one node from the
 start. To find all classes without all pairs, candidates are verified in rounds: each bucket's smallest
-node against the others, then a node drawn per bucket, then every pair of a bucket whose nodes still
-are in different classes. Pairs inside a class cannot change it, so the classes are those of all links.
+node against the others, then a node drawn per bucket. Nodes whose buckets still hold several classes are
+joined exactly across classes by the rare tokens of their multisets (``close_pairs``). Pairs inside a class
+cannot change it, so the classes are those of all links.
 
 Nulls: a null text has no words; texts without words are in no group, each row its own class. doc_id may
 be null or repeated: rows with equal words are copies whatever their id. A class is named by its smallest
@@ -75,21 +76,29 @@ def bag_minhash(of: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n: int,
     seed = mix(np.repeat(shingle, intervals) + b.astype(np.uint64) * np.uint64(0xD1342543DE82EF95))
     inside = np.repeat(weight, intervals) - low  # levels of the interval below the weight
     time = np.zeros(len(text))
+    table = signature.reshape(n, m)
+    limit = np.full(n, np.inf)
     step = 0
     while len(text):
-        step += 1
-        draw = mix(seed + np.uint64(step * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
-        time = time - np.log(((draw >> np.uint64(11)).astype(np.float64) + 1) * 2.0 ** -53) / width
-        limit = signature.reshape(n, m).max(1)
-        live = time < limit[text]
-        text, width, seed, inside, time, draw = text[live], width[live], seed[live], inside[live], time[live], draw[live]
-        if len(text) == 0:
-            break
-        place = mix(draw ^ np.uint64(0x5851F42D4C957F2D))
+        # The next points of every process; several at once where few processes are left.
+        count = min(64, max(1, 20_000 // len(text)))
+        steps = np.arange(step + 1, step + count + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        step += count
+        draw = mix(seed[:, None] + steps)
+        times = time[:, None] + np.cumsum(-np.log(((draw >> np.uint64(11)).astype(np.float64) + 1) * 2.0 ** -53), axis=1) / width[:, None]
+        near = times < limit[text][:, None]
+        of_point, _ = np.nonzero(near)
+        place = mix(draw[near] ^ np.uint64(0x5851F42D4C957F2D))
         slot = ((place >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)).astype(np.int64)
-        level = (place & np.uint64(0xFFFFFFFF)).astype(np.int64) * width >> 32
-        seen = level < inside
-        np.minimum.at(signature, text[seen] * m + slot[seen], time[seen])
+        level = (place & np.uint64(0xFFFFFFFF)).astype(np.int64) * width[of_point] >> 32
+        seen = level < inside[of_point]
+        np.minimum.at(signature, text[of_point[seen]] * m + slot[seen], times[near][seen])
+        # A process whose time has passed all that its text's signature holds is over.
+        touched = np.unique(text)
+        limit[touched] = table[touched].max(1)
+        time = times[:, -1]
+        live = time < limit[text]
+        text, width, seed, inside, time = text[live], width[live], seed[live], inside[live], time[live]
     return signature.reshape(n, m)
 
 
@@ -149,6 +158,63 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             .mapInArrow(check, "a long, b long"))
 
 
+def token_rows(texts: DataFrame) -> DataFrame:
+    """node, n, token: the multiset as a set, the k-th copy of a shingle being a token of its own."""
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in regroup(batches, "text", 1 << 20):
+            of, hashes, counts = multiset(*shingles(batch.column("text"))[:2])
+            size = np.bincount(of, weights=counts, minlength=batch.num_rows).astype(np.int64)
+            which = np.repeat(np.arange(len(of)), counts)
+            copy = np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts, counts)
+            token = mix(hashes[which] + copy.astype(np.uint64) * np.uint64(0xA0761D6478BD642F)).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node").take(pa.array(of[which])), pa.array(size[of[which]]), pa.array(token)], ["node", "n", "token"])
+
+    return texts.select("node", "text").mapInArrow(scan, "node long, n long, token long")
+
+
+def close_pairs(texts: DataFrame, members: DataFrame) -> DataFrame:
+    """(node, other) of different classes that may be links: every link between them is among the pairs.
+
+    Tokens are put in one order, rare ones first. Two sets that overlap by 0.8 share a token among the
+    first n - ceil(0.8 n) + 1 of each, and from the place of the first token that they share on, enough
+    must be left in both. A heavily edited copy begins with tokens of its own and so meets nobody. The
+    classes' best members are tried first, so that members of one class are never paired.
+    """
+    tokens = token_rows(texts.join(members.select("node"), "node", "left_semi"))
+    tokens = materialize(tokens, "tokens")
+    held = tokens.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
+    ordered = tokens.join(held, "token").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared"))
+    # A token that nobody else has comes first and meets nobody: only the number of them counts.
+    prefix = F.expr(f"n - (n * {SIMILARITY[0]} + {SIMILARITY[1] - 1}) div {SIMILARITY[1]} + 1 - (n - size(shared))")
+    firsts = materialize(ordered.filter(prefix > 0).select(
+        "node", "n", (F.col("n") - F.size("shared")).alias("own"),
+        F.transform(F.slice("shared", F.lit(1), prefix.cast("int")), lambda t: t["token"]).alias("firsts")), "firsts")
+    heads = firsts.select("node", "n", "own", F.posexplode("firsts").alias("at", "token"))
+    heads = materialize(heads.join(members, "node").select(
+        "node", "class", "n", "token", (F.col("n") - F.col("own") - F.col("at")).alias("left")), "heads")
+
+    def enough(left_a: str, n_a: str, left_b: str, n_b: str):
+        most = F.least(left_a, left_b)
+        return most * SIMILARITY[1] >= (F.col(n_a) + F.col(n_b) - most) * SIMILARITY[0]
+
+    best = heads.groupBy("token", F.col("class").alias("other_class")).agg(F.max("left").alias("best"), F.min("n").alias("least"))
+    hopeful = materialize(
+        heads.join(best, "token").filter((F.col("class") != F.col("other_class")) & enough("left", "n", "best", "least"))
+        .select("token", "other_class", "node", "n", "left"), "hopeful")
+    others = (heads.withColumnRenamed("class", "other_class")
+              .join(hopeful.select("token", "other_class").distinct(), ["token", "other_class"], "left_semi")
+              .join(firsts.select("node", F.col("firsts").alias("other_firsts")), "node")
+              .select("token", "other_class", F.col("node").alias("other"), F.col("n").alias("other_n"),
+                      F.col("left").alias("other_left"), "other_firsts"))
+    hopeful = hopeful.join(firsts.select("node", "firsts"), "node")
+    # A pair meets at the first token that both have among their first ones, and only there.
+    meet = F.get(F.array_intersect("firsts", "other_firsts"), F.lit(0)) == hopeful["token"]
+    same = (hopeful["token"] == others["token"]) & (hopeful["other_class"] == others["other_class"])
+    return (hopeful.join(others, same & meet & enough("left", "n", "other_left", "other_n"))
+            .select("node", "other"))
+
+
 def classes_of(links: DataFrame) -> DataFrame:
     """node, class of every node that has a link; class: the smallest node it is linked with."""
     edges = materialize(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
@@ -189,26 +255,23 @@ def near_dup_classes(docs: DataFrame) -> DataFrame:
 
     links = materialize(verified(shared.filter("hub < node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), texts), "links")
     classes = classes_of(links)
-    tried = shared.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    for last in (False, True):
+
+    def mixed() -> DataFrame:
+        """The nodes of buckets that hold two classes or more; ``drawn``: one node of the bucket."""
         spots = materialize(
             shared.select("bucket", "node").join(classes, "node", "left")
             .select("bucket", "node", F.coalesce("class", "node").alias("class")), "spots")
-        mixed = spots.groupBy("bucket").agg(
+        of_two = spots.groupBy("bucket").agg(
             F.min("class").alias("low"), F.max("class").alias("high"),
             F.min_by(F.struct("node", "class"), F.xxhash64("node", "bucket")).alias("drawn")).filter("low < high")
-        spots = spots.join(mixed.select("bucket", "drawn"), "bucket")
+        return spots.join(of_two.select("bucket", "drawn"), "bucket")
+
+    some = mixed().filter(F.col("drawn.class") != F.col("class")).select("node", F.col("drawn.node").alias("other"))
+    for last in (False, True):
         if last:
-            other = spots.select("bucket", F.col("node").alias("a"), F.col("class").alias("_class"))
-            some = spots.join(other, "bucket").filter((F.col("a") < F.col("node")) & (F.col("_class") != F.col("class")))
-        else:
-            some = spots.filter(F.col("drawn.class") != F.col("class")).withColumn("a", F.col("drawn.node"))
-        pairs = some.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-        pairs = materialize(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            continue
+            some = close_pairs(texts, materialize(mixed().select("node", "class").distinct(), "mixed"))
+        pairs = some.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
         found = materialize(verified(pairs, texts), "links")
-        tried = tried.union(pairs)
         if not found.isEmpty():
             links = links.union(found)
             classes = classes_of(links)
