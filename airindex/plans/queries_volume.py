@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from airindex.operators.series import top_n
 from airindex.operators.star import star_join
-from airindex.plans import oracle as O
 from airindex.plans.catalog import register
 from airindex.sources.tables import load
 
