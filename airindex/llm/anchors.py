@@ -219,8 +219,9 @@ def crowded_spans(docs: DataFrame, runs: DataFrame, window: int, by_word: bool,
             yield pa.RecordBatch.from_arrays(
                 [pa.array(h), batch.column("doc_id").take(pa.array(text)), pa.array(at - s.bounds[text])], ["h", "doc_id", "start"])
 
-    windows = materialize(_with_runs(docs, runs, lambda r: r["rivals"] > MAX_RIVALS)
-                          .mapInArrow(each, f"h long, doc_id {kind}, start long"), "windows")
+    # Not written: in one plan with the other joins by document, the texts are shuffled once for all.
+    windows = (_with_runs(docs, runs, lambda r: r["rivals"] > MAX_RIVALS)
+               .mapInArrow(each, f"h long, doc_id {kind}, start long"))
     firsts = (windows.groupBy("h").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("c"))
               .filter("c > 1").drop("c"))
     later = F.struct("doc_id", "start") > F.col("first") if same_doc else \
