@@ -63,12 +63,12 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return (best & low).astype(np.int64)
 
 
-def window_runs(s: Symbols, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, first window, number of windows, anchor hash) of every run; positions in the batch."""
+def window_runs(s: Symbols, window: int, gram: int) -> tuple[np.ndarray, ...]:
+    """(text, first window, number of windows, anchor hash, joined) of every run; positions in the batch."""
     total = int(s.bounds[-1])
     none = np.empty(0, np.int64)
     if total < window:
-        return none, none, none, none.astype(np.uint64)
+        return none, none, none, none.astype(np.uint64), none.astype(bool)
     at = np.arange(total - gram + 1)
     grams = s.hashes(at, at + gram)
     anchor = sliding_least(grams, window - gram + 1)
@@ -79,55 +79,58 @@ def window_runs(s: Symbols, window: int, gram: int) -> tuple[np.ndarray, np.ndar
     np.add.at(fits, s.bounds[1:][long] - window + 1, -1)
     begin = np.flatnonzero(np.cumsum(fits[:len(anchor)]) > 0)
     if len(begin) == 0:
-        return none, none, none, none.astype(np.uint64)
+        return none, none, none, none.astype(np.uint64), none.astype(bool)
     chosen = anchor[begin]
     new = np.flatnonzero(np.r_[True, chosen[1:] != chosen[:-1]])
     first, n, gram_of = begin[new], np.diff(np.append(new, len(begin))), grams[chosen[new]]
-    first, n, gram_of = _periods_joined(s, window, first, n, gram_of)
-    return np.searchsorted(s.bounds, first, "right") - 1, first, n, gram_of
+    first, n, gram_of, joined = _periods_joined(s, window, first, n, gram_of)
+    return np.searchsorted(s.bounds, first, "right") - 1, first, n, gram_of, joined
 
 
 def _periods_joined(s: Symbols, window: int, first: np.ndarray, n: np.ndarray, anchor: np.ndarray):
     """Runs in which a text repeats itself at once, joined up to PERIOD_WINDOWS windows.
 
     Text with a short period has an equal anchor in every period: a run of a few windows each time, all
-    with one stretch. They keep their anchor, so equal windows still meet.
+    with one stretch. They keep their anchor, so equal windows still meet; the last array tells which
+    runs were joined, as only those repeat windows of their own.
     """
     stretch = s.hashes(first, first + n - 1 + window)
     again = np.r_[False, (anchor[1:] == anchor[:-1]) & (stretch[1:] == stretch[:-1]) & (first[1:] == first[:-1] + n[:-1])]
     if not again.any():
-        return first, n, anchor
+        return first, n, anchor, again
     index = np.arange(len(first))
     since = index - np.maximum.accumulate(np.where(again, 0, index))
     head = np.flatnonzero(since % np.maximum(1, PERIOD_WINDOWS // n) == 0)
-    return first[head], np.add.reduceat(n, head), anchor[head]
+    windows = np.add.reduceat(n, head)
+    return first[head], windows, anchor[head], windows > n[head]
 
 
 def run_rows(docs: DataFrame, window: int, gram: int, by_word: bool) -> DataFrame:
-    """doc_id, start, n (windows), anchor, stretch: a row per run."""
+    """doc_id, start, n (windows), anchor, stretch, joined: a row per run."""
     small_batches(docs.sparkSession)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in regroup(batches, "text", 2 << 20 if by_word else 1 << 20):
             s = Symbols(batch.column("text"), by_word)
-            text, first, n, anchor = window_runs(s, window, gram)
+            text, first, n, anchor, joined = window_runs(s, window, gram)
             if len(first):
                 stretch = s.hashes(first, first + n - 1 + window)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").take(pa.array(text)), pa.array((first - s.bounds[text]).astype(np.int32)),
-                     pa.array(n.astype(np.int32)), pa.array(anchor.view(np.int64)), pa.array(stretch.view(np.int64))],
-                    ["doc_id", "start", "n", "anchor", "stretch"])
+                     pa.array(n.astype(np.int32)), pa.array(anchor.view(np.int64)), pa.array(stretch.view(np.int64)), pa.array(joined)],
+                    ["doc_id", "start", "n", "anchor", "stretch", "joined"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
-        scan, f"doc_id {kind}, start int, n int, anchor long, stretch long")
+        scan, f"doc_id {kind}, start int, n int, anchor long, stretch long, joined boolean")
 
 
 def marked_runs(docs: DataFrame, window: int, gram: int, by_word: bool, same_doc: bool) -> DataFrame:
     """doc_id, runs: array<struct<start, n, anchor, rivals>> of the runs that matter.
 
     rivals 0: a repeat as a whole of an earlier stretch. Otherwise the number of rival stretches of its
-    anchor. ``same_doc``: an earlier place in the same document counts as earlier.
+    anchor. ``same_doc``: an earlier place in the same document counts as earlier, so a joined run matters
+    even if no other stretch has its anchor.
     """
     rows = run_rows(docs, window, gram, by_word)
     earlier = Window.partitionBy("anchor", "stretch").orderBy(*(["doc_id", "start"] if same_doc else ["doc_id"]))
@@ -137,7 +140,7 @@ def marked_runs(docs: DataFrame, window: int, gram: int, by_word: bool, same_doc
     ranked = (rows.repartition(parts, "anchor").withColumn("place", F.rank().over(earlier))
               .withColumn("texts", (F.min("stretch").over(of_anchor) != F.max("stretch").over(of_anchor)))
               .withColumn("rivals", F.sum((F.col("place") == 1).cast("int")).over(of_anchor).cast("int")))
-    keep = ranked.filter("place > 1 OR texts").withColumn("rivals", F.when(F.col("place") > 1, 0).otherwise(F.col("rivals")))
+    keep = ranked.filter("place > 1 OR texts" + (" OR joined" if same_doc else "")).withColumn("rivals", F.when(F.col("place") > 1, 0).otherwise(F.col("rivals")))
     return materialize(keep.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "anchor", "rivals")).alias("runs")), "runs")
 
 

@@ -71,6 +71,18 @@ def test_byte_windows_against_brute_force(spark, make):
     assert {d: tuple(got[d])[1:] for d in got} == byte_dedup(rows)
 
 
+@pytest.mark.parametrize("inside", [False, True])
+@pytest.mark.parametrize("length", [101, 150, 163, 227])
+def test_lone_periodic_texts_lose_their_own_repeats(spark, length, inside):
+    rows = []
+    for d, unit in enumerate(["a", "-", "ab", "xyz", "0123456", "\n", "é"]):
+        text = (unit * length).encode()[:length + length % 2].decode()
+        rows.append((d, f"{prose(d, 30)} {text} {prose(-d - 1, 30)}" if inside else text, "s"))
+    got = by_id(op8(frame(spark, rows)))
+    assert {d: tuple(got[d])[1:] for d in got} == byte_dedup(rows)
+    assert got[0]["n_removed"] >= length - 1
+
+
 def test_crowded_anchors_give_the_same_rows(spark, monkeypatch):
     monkeypatch.setattr(anchors, "MAX_RIVALS", 2)
     rows = tangled(4)
