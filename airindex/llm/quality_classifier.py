@@ -1,8 +1,9 @@
 """Quality classifier (operator 9): positive-unlabelled learning with a non-negative risk.
 
 Every whole text becomes a short vector of features (shares of byte classes, word and line shapes,
-repetition). Trusted positives are labelled rows of the training folds; the rest of the web text is
-unlabelled: a mixture of positives, at an estimated class prior, and negatives. A small network
+repetition). Trusted positives are labelled rows of the training folds; all rows of those folds, whatever
+their label, are the unlabelled text: a mixture of positives, at an estimated class prior, and negatives
+(so a table with a label for every row is scored, too). A small network
 minimises the unbiased PU risk  prior * R+(P) + max(0, R-(U) - prior * R-(P)),  whose negative part is
 kept from going below zero, as a flexible model could otherwise push it. The fit reads a bounded sample
 (``sample`` positives and ``sample`` unlabelled rows, those with the smallest hashes); features and
@@ -171,8 +172,9 @@ def fit_classifier(rows: DataFrame, labels: DataFrame, sample: int = 20_000) ->
         return np.asarray(table.flatten(), np.float64).reshape(-1, N_FEATURES)
 
     positive = draw(train.filter("quality = 1"))
-    unlabelled = draw(train.filter("quality IS NULL"))
-    if len(positive) == 0 or len(unlabelled) == 0:
+    # The risk's mixture is of all documents, so labelled ones are in it too, their label left out.
+    unlabelled = draw(train)
+    if len(positive) == 0:
         return None, prior
     network = PuNetwork(N_FEATURES)
     network.fit(positive, unlabelled, min(prior, 0.99))

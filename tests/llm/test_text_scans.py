@@ -138,6 +138,14 @@ def test_classifier_on_held_out_rows(spark):
     assert (test.predicted == test.quality).mean() > 0.93
 
 
+def test_classifier_where_every_row_has_a_label(spark):
+    rows = [(d, f"Plain text of document {d}. " + prose(d, 80) if d % 2 else f"## {d} || $$ %% 77 <b>\n" * 20, "s") for d in range(300)]
+    labels = spark.createDataFrame([(d, d % 2, 0) for d, _, _ in rows], "doc_id long, quality int, toxic int")
+    got = by_id(op9(frame(spark, rows), labels))
+    assert all(got[d]["predicted"] == d % 2 for d in got if got[d]["held_out"])
+    assert {r["predicted"] for r in got.values()} == {0, 1}
+
+
 def test_labels_of_held_out_rows_are_never_used(spark):
     rows = corpus()
     labels = spark.createDataFrame([(d, d % 2, 0) for d, _, _ in rows], "doc_id long, quality int, toxic int")
