@@ -13,7 +13,7 @@ a doc_id with the same text are one document, with another text another document
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -44,15 +44,26 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = 10) -> DataFrame:
     firsts = ranged.withColumn("first", F.row_number().over(in_doc) == 1).filter("first")
     common = (firsts.groupBy("h").agg(F.count("*").alias("n_docs"))
               .filter(F.col("n_docs") >= min_docs).select("h"))
-    dropped = occurrences.join(common, "h", "left_semi")
-    words = dropped.groupBy("doc_id", "tid", F.expr(f"pos div {WORD_BITS}").cast("int").alias("word")).agg(
+    return bitmaps_of(occurrences.join(common, "h", "left_semi"), "doc_id", "tid")
+
+
+def bitmaps_of(dropped: DataFrame, *keys: str) -> DataFrame:
+    """keys, n_dropped, keep, from the keys and pos of every dropped line."""
+    words = dropped.groupBy(*keys, F.expr(f"pos div {WORD_BITS}").cast("int").alias("word")).agg(
         F.bit_or(F.expr(f"shiftleft(1L, pos % {WORD_BITS})")).alias("drop_bits"),
         F.count("*").alias("n"))
-    return words.groupBy("doc_id", "tid").agg(
+    return words.groupBy(*keys).agg(
         F.sum("n").alias("n_dropped"),
         F.sort_array(F.collect_list(F.struct("word", F.bitwise_not("drop_bits").alias("bits")))).alias("keep"))
 
 
+def kept_lines(lines: Column, keep: Column) -> Column:
+    """The lines that the map ``keep`` (word to bits) leaves, as one text."""
+    return F.array_join(F.filter(lines, lambda line, p: F.getbit(
+        F.coalesce(F.try_element_at(keep, F.floor(p / WORD_BITS).cast("int")), F.lit(-1).cast("long")),
+        p % WORD_BITS) == 1), "\n")
+
+
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """row (all columns of docs), n_lines, n_dropped, kept_text: a row per row of docs."""
     marks = bitmaps.select(F.col("doc_id").alias("d"), F.col("tid").alias("t"), "n_dropped",
@@ -60,9 +71,7 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     rows = packed(docs).join(marks, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tid") == F.col("t")), "left")
     rows = rows.withColumn("lines", lines_of(F.col("text")))
     kept = F.when(F.col("keep").isNull(), F.coalesce("text", F.lit(""))).otherwise(
-        F.array_join(F.filter("lines", lambda line, p: F.getbit(
-            F.coalesce(F.try_element_at("keep", F.floor(p / WORD_BITS).cast("int")), F.lit(-1).cast("long")),
-            p % WORD_BITS) == 1), "\n"))
+        kept_lines(F.col("lines"), F.col("keep")))
     return rows.select("row", F.size("lines").cast("long").alias("n_lines"),
                        F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"), kept.alias("kept_text"))
 

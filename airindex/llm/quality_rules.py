@@ -17,7 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airindex.llm.common import BLANKS, line_key, lines_of, materialize, n_words, packed, text_id
+from airindex.llm.common import BLANKS, line_key, lines_of, materialize, n_words, packed, text_id, unpacked
+from airindex.llm.line_dedup import bitmaps_of, kept_lines
 
 SYMBOLS = "#*$%&|<>"
 KEYS = ("doc_id", "host", "tid")
@@ -75,8 +76,8 @@ def frequent_lines(lines: DataFrame, hosts: DataFrame, min_docs: int, max_share:
             .select("host", "h"))
 
 
-def removed_words(docs: DataFrame, min_docs: int, max_share: float) -> DataFrame:
-    """KEYS, n_removed_words: words that a document loses with the lines above the limit."""
+def removed_lines(docs: DataFrame, min_docs: int, max_share: float) -> DataFrame:
+    """KEYS, pos, w (words) of the lines above the limit."""
     own = docs.select("doc_id", _host().alias("host"), text_id(F.col("text")).alias("tid"), "text")
     hosts = own.select("host", "tid").distinct().groupBy("host").agg(F.count("*").alias("host_docs"))
     lines = materialize(
@@ -85,15 +86,13 @@ def removed_words(docs: DataFrame, min_docs: int, max_share: float) -> DataFrame
         .filter("w > 0").select(*KEYS, "pos", "w", F.xxhash64("key").alias("h")), "rule-lines")
     above = frequent_lines(lines, hosts, min_docs, max_share)
     # Rows that repeat a document (same id, host and text) hold the same lines: one of each counts.
-    return (lines.join(above, ["host", "h"], "left_semi").groupBy(*KEYS, "pos").agg(F.max("w").alias("w"))
-            .groupBy(*KEYS).agg(F.sum("w").alias("lost")))
+    return lines.join(above, ["host", "h"], "left_semi").groupBy(*KEYS, "pos").agg(F.max("w").alias("w"))
 
 
-def quality_rules(docs: DataFrame, min_docs: int = 10, max_share: float = 0.1,
-                  min_left: float = 0.3) -> DataFrame:
-    """One row per row of docs: doc_id, tid, the statistics, n_left_words, base_failed, kept."""
+def verdicts(docs: DataFrame, removed: DataFrame, min_left: float) -> DataFrame:
+    """One row per row of docs: doc_id, host, tid, the statistics, base_failed, n_left_words, kept."""
     base = base_statistics(docs)
-    lost = removed_words(docs.select("doc_id", "source", "text"), min_docs, max_share)
+    lost = removed.groupBy(*KEYS).agg(F.sum("w").alias("lost"))
     on = [base[k].eqNullSafe(lost[k]) for k in KEYS]
     out = base.join(lost, on, "left").select(*[base[c] for c in base.columns], F.coalesce("lost", F.lit(0)).alias("lost"))
     out = out.withColumn("n_left_words", F.col("n_words") - F.col("lost"))
@@ -101,12 +100,26 @@ def quality_rules(docs: DataFrame, min_docs: int = 10, max_share: float = 0.1,
     return out.withColumn("kept", ~F.col("base_failed") & ~depleted).drop("lost")
 
 
-def keep_good(docs: DataFrame, **limits) -> DataFrame:
-    """The rows of docs whose verdict is kept."""
-    bad = (quality_rules(docs.select("doc_id", "text", "source"), **limits).filter(~F.col("kept"))
-           .select(F.col("doc_id").alias("d"), F.col("tid").alias("t")).distinct())
-    return packed(docs).join(bad, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tid") == F.col("t")),
-                             "left_anti").select("row.*")
+def quality_rules(docs: DataFrame, min_docs: int = 10, max_share: float = 0.1,
+                  min_left: float = 0.3) -> DataFrame:
+    """One row per row of docs: doc_id, tid, the statistics, n_left_words, base_failed, kept."""
+    return verdicts(docs, removed_lines(docs.select("doc_id", "source", "text"), min_docs, max_share), min_left)
+
+
+def keep_good(docs: DataFrame, min_docs: int = 10, max_share: float = 0.1, min_left: float = 0.3) -> DataFrame:
+    """The rows of docs whose verdict is kept, their texts without the lines above the limit."""
+    own = docs.select("doc_id", "text", "source")
+    removed = materialize(removed_lines(own, min_docs, max_share), "rule-removed")
+    bad = verdicts(own, removed, min_left).filter(~F.col("kept")).select(*KEYS, F.lit(True).alias("bad"), F.lit(None).alias("keep"))
+    some = bitmaps_of(removed, *KEYS).select(*KEYS, F.lit(False).alias("bad"), "keep")
+    # One row per document that goes or changes, so that the texts are joined once.
+    marks = bad.unionByName(some).groupBy(*KEYS).agg(F.max("bad").alias("bad"), F.first("keep", True).alias("keep"))
+    marks = marks.select(F.col("doc_id").alias("d"), F.col("host").alias("s"), F.col("tid").alias("t"), "bad",
+                         F.map_from_entries("keep").alias("keep"))
+    rows = packed(docs).withColumn("host", _host("row.source")).join(
+        marks, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tid") == F.col("t")) & (F.col("host") == F.col("s")), "left")
+    rows = rows.filter(~F.coalesce("bad", F.lit(False)))
+    return unpacked(rows, docs.columns, F.col("keep").isNotNull(), kept_lines(lines_of(F.col("text")), F.col("keep")))
 
 
 def op6(docs: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from airindex.llm.quality_rules import keep_good
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Quality rules: documents they reject go."""
+    """Quality rules: documents they reject go, and lines above their host's limit."""
     return keep_good(docs)
 
 

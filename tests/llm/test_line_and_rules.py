@@ -82,6 +82,17 @@ def test_depleted_documents_go_and_clashing_columns_stay(spark):
     assert out.columns == docs.columns and [r["doc_id"] for r in out.collect()] == [99]
 
 
+def test_lines_above_the_limit_leave_the_kept_texts(spark):
+    own = lambda d: " ".join(f"u{d}x{j}" for j in range(60))
+    rows = [(d, f"Nav | Menu\n{own(d)}\n\n  nav | MENU ", "h") for d in range(12)] + [(50, f"nav | menu\n{own(50)}", "other")]
+    # One id and text under two hosts: only one of them has the line above its limit.
+    rows += [(7, rows[7][1], "other"), (60, own(60), "h"), (None, f"{own(61)}\nnav | menu", "h")]
+    docs = frame(spark, rows)
+    got = Counter((r["doc_id"], r["source"], r["text"], r["n_chars"]) for r in keep_good(docs).collect())
+    left = [(d, s, "\n".join(x for x in t.split("\n") if s != "h" or key(x) != "nav | menu")) for d, t, s in rows]
+    assert got == Counter((d, s, t, len(t)) for d, s, t in left)
+
+
 def test_rules_nulls_repeats_empty(spark):
     text = " ".join(f"c{j}" for j in range(80))
     out = op6(frame(spark, [(None, text, None), (None, text, None), (1, None, "s"), (2, text, "")])).collect()
