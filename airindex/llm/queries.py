@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airindex.llm import (chat_format, decontaminate, line_dedup, merkle_manifest, mixing, near_dup, quality_classifier,
-                          quality_rules, substring_dedup, suffix_dedup, token_counts)
+from airindex.llm import (chat_format, conversation_trie, decontaminate, line_dedup, merkle_manifest, mixing, near_dup,
+                          quality_classifier, quality_rules, substring_dedup, suffix_dedup, token_counts)
 from airindex.llm.common import table
 
 
@@ -26,6 +26,7 @@ QUERIES = {
     "op8_suffix_dedup": _over(suffix_dedup.op8, "documents"),
     "op9_quality_classifier": _over(quality_classifier.op9, "documents", "labels"),
     "op10_near_dup": _over(near_dup.op10, "documents"),
+    "op11_conversation_trie": _over(conversation_trie.op11, "conversations"),
     "op13_merkle_manifest": _over(merkle_manifest.op13, "documents"),
 }
 ORACLE = {
@@ -34,5 +35,6 @@ ORACLE = {
     "op4_decontaminate": decontaminate.SQL,
     "op6_quality_rules": quality_rules.SQL,
     "op7_chat_format": chat_format.SQL,
+    "op11_conversation_trie": conversation_trie.SQL,
     "op13_merkle_manifest": merkle_manifest.SQL,
 }
