@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airindex.llm import (chat_format, conversation_trie, decontaminate, line_dedup, merkle_manifest, mixing, near_dup,
-                          quality_classifier, quality_rules, substring_dedup, suffix_dedup, token_counts)
+from airindex.llm import (chat_format, conversation_trie, decontaminate, embedding_dedup, line_dedup, merkle_manifest, mixing,
+                          near_dup, quality_classifier, quality_rules, substring_dedup, suffix_dedup, token_counts)
 from airindex.llm.common import table
 
 
@@ -27,6 +27,7 @@ QUERIES = {
     "op9_quality_classifier": _over(quality_classifier.op9, "documents", "labels"),
     "op10_near_dup": _over(near_dup.op10, "documents"),
     "op11_conversation_trie": _over(conversation_trie.op11, "conversations"),
+    "op12_embedding_near_dup": _over(embedding_dedup.op12, "embeddings"),
     "op13_merkle_manifest": _over(merkle_manifest.op13, "documents"),
 }
 ORACLE = {
