@@ -8,8 +8,9 @@ points below level w; every slot keeps its smallest time. Two texts agree in a s
 equal to their weighted Jaccard similarity. Points come in the order of time, so a process stops at the
 largest time that the signature still holds.
 
-Signatures are banded. Texts in a common bucket are candidates, and a link is a pair whose multisets
-overlap by ``similarity`` or more, counted exactly. Copies (equal word sequences) are one node from the
+Signatures are banded. Texts in a common bucket are candidates if a byte of each slot agrees in at least
+``AGREE`` slots (a pair at the similarity limit does so but once in about 200,000 times), and a link is a
+candidate pair whose multisets overlap by ``similarity`` or more, counted exactly. Copies (equal word sequences) are one node from the
 start. To find all classes without all pairs, candidates are verified in rounds: each bucket's smallest
 node against the others, then a node drawn per bucket. Nodes whose buckets still hold several classes are
 joined exactly across classes by the rare tokens of their multisets (``close_pairs``). Pairs inside a class
@@ -27,13 +28,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airindex.llm.common import ByteHash, materialize, mix, packed, plain_words, regroup, small_batches, text_id
 
 SHINGLE, BANDS, ROWS = 5, 32, 5
 SIMILARITY = (4, 5)  # 0.8 as a fraction: counted in whole numbers
+AGREE = 104  # of BANDS * ROWS slots: 4.7 standard deviations below the 128 of a pair at the limit
 
 
 def shingles(texts: pa.Array, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
@@ -85,7 +87,9 @@ def bag_minhash(of: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n: int,
         steps = np.arange(step + 1, step + count + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         step += count
         draw = mix(seed[:, None] + steps)
-        times = time[:, None] + np.cumsum(-np.log(((draw >> np.uint64(11)).astype(np.float64) + 1) * 2.0 ** -53), axis=1) / width[:, None]
+        gaps = -np.log(((draw >> np.uint64(11)).astype(np.float64) + 1) * 2.0 ** -53) / width[:, None]
+        # Added one by one from the time so far: the same floats however many points a step draws.
+        times = np.cumsum(np.column_stack([time, gaps]), axis=1)[:, 1:]
         near = times < limit[text][:, None]
         of_point, _ = np.nonzero(near)
         place = mix(draw[near] ^ np.uint64(0x5851F42D4C957F2D))
@@ -112,22 +116,36 @@ def bands(signature: np.ndarray, b: int = BANDS, r: int = ROWS) -> np.ndarray:
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """doc_id, tid, digest (empty: no words), buckets: a row per row of docs."""
+    """doc_id, tid, digest (empty: no words), buckets, sketch (a byte a slot): a row per row of docs."""
     small_batches(docs.sparkSession)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in regroup(batches, "text", 2 << 20):
             of, hashes, digests, _ = shingles(batch.column("text"))
             of, hashes, counts = multiset(of, hashes)
-            out = bands(bag_minhash(of, hashes, counts, batch.num_rows, BANDS * ROWS))
+            signature = bag_minhash(of, hashes, counts, batch.num_rows, BANDS * ROWS)
+            sketch = mix(signature.view(np.uint64)).view(np.int8).reshape(-1, 8)[:, 0]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("tid"), pa.array(digests, pa.binary()),
-                 pa.FixedSizeListArray.from_arrays(pa.array(out.ravel()), BANDS).cast(pa.list_(pa.int64()))],
-                ["doc_id", "tid", "digest", "buckets"])
+                 pa.FixedSizeListArray.from_arrays(pa.array(bands(signature).ravel()), BANDS).cast(pa.list_(pa.int64())),
+                 pa.FixedSizeListArray.from_arrays(pa.array(sketch.copy()), BANDS * ROWS).cast(pa.list_(pa.int8()))],
+                ["doc_id", "tid", "digest", "buckets", "sketch"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", text_id(F.col("text")).alias("tid"), "text").mapInArrow(
-        scan, f"doc_id {kind}, tid long, digest binary, buckets array<long>")
+        scan, f"doc_id {kind}, tid long, digest binary, buckets array<long>, sketch array<tinyint>")
+
+
+def alike(a: str, b: str) -> Column:
+    """Whether two sketches agree in enough slots."""
+    return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda same: same)) >= AGREE
+
+
+def likely(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes whose sketches are alike."""
+    left = sketches.select(F.col("node").alias("a"), F.col("sketch").alias("sketch_a"))
+    right = sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sketch_b"))
+    return materialize(pairs.join(left, "a").join(right, "b").filter(alike("sketch_a", "sketch_b")).select("a", "b"), "pairs")
 
 
 def overlap_enough(a: pa.Array, b: pa.Array) -> np.ndarray:
@@ -174,7 +192,8 @@ def token_rows(texts: DataFrame) -> DataFrame:
 
 
 def close_pairs(texts: DataFrame, members: DataFrame) -> DataFrame:
-    """(node, other) of different classes that may be links: every link between them is among the pairs.
+    """(node, other) of different classes that may be links, of members (node, class, sketch): every link
+    between members whose sketches are alike is among the pairs.
 
     Tokens are put in one order, rare ones first. Two sets that overlap by 0.8 share a token among the
     first n - ceil(0.8 n) + 1 of each, and from the place of the first token that they share on, enough
@@ -187,11 +206,12 @@ def close_pairs(texts: DataFrame, members: DataFrame) -> DataFrame:
     ordered = tokens.join(held, "token").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared"))
     # A token that nobody else has comes first and meets nobody: only the number of them counts.
     prefix = F.expr(f"n - (n * {SIMILARITY[0]} + {SIMILARITY[1] - 1}) div {SIMILARITY[1]} + 1 - (n - size(shared))")
-    firsts = materialize(ordered.filter(prefix > 0).select(
+    firsts = ordered.filter(prefix > 0).select(
         "node", "n", (F.col("n") - F.size("shared")).alias("own"),
-        F.transform(F.slice("shared", F.lit(1), prefix.cast("int")), lambda t: t["token"]).alias("firsts")), "firsts")
+        F.transform(F.slice("shared", F.lit(1), prefix.cast("int")), lambda t: t["token"]).alias("firsts"))
+    firsts = materialize(firsts.join(members.select("node", "sketch"), "node"), "firsts")
     heads = firsts.select("node", "n", "own", F.posexplode("firsts").alias("at", "token"))
-    heads = materialize(heads.join(members, "node").select(
+    heads = materialize(heads.join(members.select("node", "class"), "node").select(
         "node", "class", "n", "token", (F.col("n") - F.col("own") - F.col("at")).alias("left")), "heads")
 
     def enough(left_a: str, n_a: str, left_b: str, n_b: str):
@@ -204,33 +224,44 @@ def close_pairs(texts: DataFrame, members: DataFrame) -> DataFrame:
         .select("token", "other_class", "node", "n", "left"), "hopeful")
     others = (heads.withColumnRenamed("class", "other_class")
               .join(hopeful.select("token", "other_class").distinct(), ["token", "other_class"], "left_semi")
-              .join(firsts.select("node", F.col("firsts").alias("other_firsts")), "node")
+              .join(firsts.select("node", F.col("firsts").alias("other_firsts"), F.col("sketch").alias("other_sketch")), "node")
               .select("token", "other_class", F.col("node").alias("other"), F.col("n").alias("other_n"),
-                      F.col("left").alias("other_left"), "other_firsts"))
-    hopeful = hopeful.join(firsts.select("node", "firsts"), "node")
+                      F.col("left").alias("other_left"), "other_firsts", "other_sketch"))
+    hopeful = hopeful.join(firsts.select("node", "firsts", "sketch"), "node")
     # A pair meets at the first token that both have among their first ones, and only there.
     meet = F.get(F.array_intersect("firsts", "other_firsts"), F.lit(0)) == hopeful["token"]
     same = (hopeful["token"] == others["token"]) & (hopeful["other_class"] == others["other_class"])
-    return (hopeful.join(others, same & meet & enough("left", "n", "other_left", "other_n"))
+    return (hopeful.join(others, same & enough("left", "n", "other_left", "other_n") & alike("sketch", "other_sketch") & meet)
             .select("node", "other"))
 
 
 def classes_of(links: DataFrame) -> DataFrame:
-    """node, class of every node that has a link; class: the smallest node it is linked with."""
-    edges = materialize(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = materialize(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("class")), "classes")
-    while True:
-        # The smallest class among the neighbours, then the class of that class.
-        near = (edges.join(labels.select(F.col("node").alias("b"), "class"), "b").groupBy(F.col("a").alias("node"))
-                .agg(F.min("class").alias("near")))
-        step = labels.join(near, "node").select("node", "class", F.least("class", "near").alias("new"))
-        jump = labels.select(F.col("node").alias("new"), F.col("class").alias("far"))
-        step = materialize(step.join(jump, "new", "left").select(
-            "node", F.least("new", F.coalesce("far", "new")).alias("class"),
-            (F.least("new", F.coalesce("far", "new")) != F.col("class")).alias("moved")), "classes")
-        labels = step.select("node", "class")
-        if step.filter("moved").isEmpty():
-            return labels
+    """node, class of every node that has a link (a, b); class: the smallest node it is linked with.
+
+    Every node points to its smallest neighbour below it, pointers are followed to their ends, and links
+    between the ends are what the next round has: at least half of the nodes left go in each.
+    """
+    links = materialize(links.filter("a <> b").select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).distinct(), "links")
+    labels = None
+    while not links.isEmpty():
+        # A node without a smaller neighbour points to itself.
+        points = materialize(
+            links.select(F.col("high").alias("node"), F.col("low").alias("to")).union(links.select("low", "low"))
+            .groupBy("node").agg(F.min("to").alias("to")), "pointers")
+        while True:
+            jump = points.select(F.col("node").alias("to"), F.col("to").alias("far"))
+            points = materialize(points.join(jump, "to").select("node", F.col("far").alias("to"), (F.col("far") != F.col("to")).alias("moved")), "pointers")
+            if points.filter("moved").isEmpty():
+                break
+        ends = points.select("node", F.col("to").alias("class"))
+        labels = ends if labels is None else materialize(
+            labels.withColumnRenamed("class", "was").join(ends.withColumnRenamed("node", "was"), "was", "left")
+            .select("node", F.coalesce("class", "was").alias("class")), "classes")
+        links = materialize(
+            links.join(ends.select(F.col("node").alias("low"), F.col("class").alias("low_end")), "low")
+            .join(ends.select(F.col("node").alias("high"), F.col("class").alias("high_end")), "high").filter("low_end <> high_end")
+            .select(F.least("low_end", "high_end").alias("low"), F.greatest("low_end", "high_end").alias("high")).distinct(), "links")
+    return labels if labels is not None else links.select(F.col("low").alias("node"), F.col("high").alias("class"))
 
 
 def near_dup_classes(docs: DataFrame) -> DataFrame:
@@ -242,7 +273,7 @@ def near_dup_classes(docs: DataFrame) -> DataFrame:
     rows = materialize(signed(docs), "signatures")
     nodes = materialize(
         rows.filter(F.octet_length("digest") > 0).groupBy("digest")
-        .agg(F.min(F.struct("doc_id", "tid", "buckets")).alias("first"))
+        .agg(F.min(F.struct("doc_id", "tid", "buckets", "sketch")).alias("first"))
         .select("digest", "first.*", F.monotonically_increasing_id().alias("node")), "nodes")
     spots = nodes.select("node", F.explode("buckets").alias("bucket"))
     hubs = spots.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1").drop("n")
@@ -253,8 +284,12 @@ def near_dup_classes(docs: DataFrame) -> DataFrame:
         docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("_d")) & (text_id(F.col("text")) == F.col("_t")))
         .select("node", "text").dropDuplicates(["node"]), "texts")
 
-    links = materialize(verified(shared.filter("hub < node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), texts), "links")
-    classes = classes_of(links)
+    sketches = materialize(nodes.join(involved, "node", "left_semi").select("node", "sketch"), "sketches")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        return materialize(verified(pairs, texts), "links")
+
+    classes = classes_of(linked(likely(shared.filter("hub < node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), sketches)))
 
     def mixed() -> DataFrame:
         """The nodes of buckets that hold two classes or more; ``drawn``: one node of the bucket."""
@@ -266,15 +301,24 @@ def near_dup_classes(docs: DataFrame) -> DataFrame:
             F.min_by(F.struct("node", "class"), F.xxhash64("node", "bucket")).alias("drawn")).filter("low < high")
         return spots.join(of_two.select("bucket", "drawn"), "bucket")
 
-    some = mixed().filter(F.col("drawn.class") != F.col("class")).select("node", F.col("drawn.node").alias("other"))
     for last in (False, True):
         if last:
-            some = close_pairs(texts, materialize(mixed().select("node", "class").distinct(), "mixed"))
+            members = materialize(mixed().select("node", "class").distinct().join(sketches, "node"), "mixed")
+            some = close_pairs(texts, members)
+        else:
+            some = mixed().filter(F.col("drawn.class") != F.col("class")).select("node", F.col("drawn.node").alias("other"))
         pairs = some.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-        found = materialize(verified(pairs, texts), "links")
+        found = linked(pairs if last else likely(pairs, sketches))
         if not found.isEmpty():
-            links = links.union(found)
-            classes = classes_of(links)
+            # Links between classes: only what they join changes.
+            of_a = classes.select(F.col("node").alias("a"), F.col("class").alias("class_a"))
+            of_b = classes.select(F.col("node").alias("b"), F.col("class").alias("class_b"))
+            between = found.join(of_a, "a", "left").join(of_b, "b", "left").select(
+                F.coalesce("class_a", "a").alias("a"), F.coalesce("class_b", "b").alias("b"))
+            wider = materialize(classes_of(between), "classes")
+            known = classes.withColumnRenamed("class", "was").join(
+                wider.select(F.col("node").alias("was"), "class"), "was", "left").select("node", F.coalesce("class", "was").alias("class"))
+            classes = materialize(known.unionByName(wider.join(classes, "node", "left_anti")), "classes")
 
     grouped = nodes.select("digest", "node", "doc_id", "tid").join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
     firsts = grouped.groupBy("class").agg(F.min(F.struct("doc_id", "tid", "digest")).alias("first"))

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from airindex.llm import anchors
-from airindex.llm.near_dup import bag_minhash, keep_one_of_each, op10
+from airindex.llm.near_dup import bag_minhash, classes_of, keep_one_of_each, op10
 from airindex.llm.substring_dedup import op1
 from airindex.llm.suffix_dedup import collection_index, op8
 from tests.llm.helpers import by_id, corpus, frame, prose, sha, words
@@ -135,6 +135,26 @@ def test_bag_minhash_estimates_weighted_jaccard():
     assert hits / (m * tries) == pytest.approx(want, abs=0.02)
 
 
+def test_signatures_do_not_depend_on_the_batch():
+    """A text has the same signature alone and among others, to the last bit: buckets must meet over batches."""
+    rng = np.random.default_rng(2)
+    sizes = [1, 3, 40, 700, 5, 2000, 12]
+    bags = [(rng.integers(1 << 62, size=k).astype(np.uint64), rng.integers(1, 9, size=k)) for k in sizes]
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    whole = bag_minhash(of, np.concatenate([b[0] for b in bags]), np.concatenate([b[1] for b in bags]), len(sizes), 160)
+    for i, (keys, weights) in enumerate(bags):
+        alone = bag_minhash(np.zeros(len(keys), np.int64), keys, weights, 1, 160)
+        assert (alone[0] == whole[i]).all()
+
+
+def test_classes_of_long_chains_and_stars(spark):
+    chain = [(i, i + 1) for i in range(60, 0, -1)] + [(200, k) for k in range(100, 150)] + [(300, 7), (7, 7), (400, 401), (401, 400)]
+    got = {r["node"]: r["class"] for r in classes_of(spark.createDataFrame(chain, "a long, b long")).collect()}
+    want = dict.fromkeys(range(1, 62), 1) | {300: 1} | dict.fromkeys([200, *range(100, 150)], 100) | {400: 400, 401: 400}
+    assert got == want
+    assert classes_of(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def shingle_bag(text):
     ws = words(text)
     return Counter([tuple(ws)]) if 0 < len(ws) < 5 else Counter(tuple(ws[i:i + 5]) for i in range(len(ws) - 4))
