@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from airindex.operators.conform import raw_payload
 from airindex.plans import oracle as O
 from airindex.plans.catalog import register
 from airindex.schemas import READING
 from airindex.session import scratch_path
-from airindex.sources.raw import write_raw
+from airindex.sources.raw import append_raw, write_raw
 from airindex.sources.tables import dim_location, readings
-from airindex.streaming.landing import landing_stream, run_available_now, upsert_sink
+from airindex.streaming.landing import landing_stream, run_available_now, sliding_mean, upsert_sink
+from airindex.streaming.rolling import landed_stream, rolling_rows_stream, run_counting_late
 
 READING_COLUMNS = [f.name for f in READING.fields]
 FILES_PER_BATCH = 64
@@ -26,3 +29,73 @@ def q_stream_landing_upsert(spark, sf_dir):
     stream = landing_stream(spark, landing, locs, max_files_per_trigger=FILES_PER_BATCH)
     run_available_now(stream, upsert_sink(table), scratch_path(spark, "stream-checkpoint"))
     return spark.read.schema(READING).parquet(table).select(*READING_COLUMNS)
+
+
+# A live feed in four arrivals: ten days each, out of order at the seams (every fifth hour of the days
+# around a seam comes with the next arrival), and last some readings far behind the watermark.
+DELAY = "47 hours 30 minutes"
+SEAMS = (10, 20)
+LATE = "location_id % 10 = 3 AND hour(measured_at) = 5 AND day(measure_date) BETWEEN 2 AND 6"
+LIVE_SQL = f""",
+kept AS (SELECT * FROM readings WHERE NOT ({LATE})),
+mark AS (SELECT max(measured_at) - INTERVAL 47 HOUR - INTERVAL 30 MINUTE AS until FROM kept)"""
+
+
+def arrivals(r):
+    """The readings of each arrival, in order."""
+    day, behind = F.dayofmonth("measure_date"), F.hour("measured_at") % 5 == 0
+    month = (F.year("measure_date") * 12 + F.month("measure_date")).cast("int")
+    # Days since the first month's start keep the arrivals in order over month ends.
+    first = r.select(F.min("measure_date")).scalar()
+    at = (month - (F.year(first) * 12 + F.month(first))) * 31 + day
+    late = F.expr(LATE)
+    turn = F.lit(0)
+    for seam in SEAMS:
+        turn = turn + ((at > seam) | ((at == seam) & behind)).cast("int")
+    turn = F.when(late, len(SEAMS) + 1).otherwise(turn)
+    marked = r.withColumn("_turn", turn)
+    return [marked.filter(F.col("_turn") == k).drop("_turn") for k in range(len(SEAMS) + 2)]
+
+
+def run_live(spark, sf_dir, operator):
+    """Land each arrival and catch up with it; (the table's path, what each run did)."""
+    locs = dim_location(spark, sf_dir)
+    root, table, checkpoint = (scratch_path(spark, x) for x in ("live", "live-table", "live-checkpoint"))
+    runs = []
+    for part in arrivals(readings(spark, sf_dir)):
+        append_raw(raw_payload(part, locs), root)
+        runs.append(run_counting_late(operator(landed_stream(spark, root, locs)), table, checkpoint))
+    return table, runs
+
+
+def _rolling(stream):
+    return rolling_rows_stream(stream, DELAY)
+
+
+@register("stream_rolling_rows", O.with_readings(LIVE_SQL + ",\n" + O.rolled_ctes("kept") + """
+SELECT location_id, measured_at, o3, rolling_o3, count_o3 FROM rolled WHERE measured_at <= (SELECT until FROM mark)"""))
+def q_stream_rolling_rows(spark, sf_dir):
+    """8-row means with state, over readings that arrive out of order in several runs: all that the
+    watermark has passed, equal to the batch result without the late ones."""
+    return spark.read.parquet(run_live(spark, sf_dir, _rolling)[0])
+
+
+@register("stream_late_rows", O.with_readings(f"""
+SELECT count(*) FILTER (NOT ({LATE})) AS in_time, count(*) FILTER ({LATE}) AS late FROM readings"""))
+def q_stream_late_rows(spark, sf_dir):
+    """How many readings of the live feed came in time and too late, by the engine's own count."""
+    _, runs = run_live(spark, sf_dir, _rolling)
+    late = sum(x.late for x in runs)
+    landed = readings(spark, sf_dir).agg(F.count(F.lit(1)).alias("n"))
+    return landed.select((F.col("n") - late).alias("in_time"), F.lit(late).cast("long").alias("late"))
+
+
+@register("stream_sliding_append", O.with_readings(LIVE_SQL + f""",
+w AS (SELECT location_id, measured_at - to_hours(k) AS window_start, measured_at - to_hours(k) + INTERVAL 8 HOUR AS window_end, o3
+      FROM kept, range(8) AS r(k))
+SELECT location_id, window_start, window_end, {O.mean_sql('o3', 6)} AS mean_o3, count(o3) AS n_o3, count(*) AS n_readings
+FROM w WHERE window_end <= (SELECT until FROM mark) GROUP BY 1, 2, 3"""))
+def q_stream_sliding_append(spark, sf_dir):
+    """8-hour windows sliding by an hour, in append mode behind a watermark: the closed windows."""
+    table, _ = run_live(spark, sf_dir, lambda stream: sliding_mean(stream, watermark=DELAY))
+    return spark.read.parquet(table)

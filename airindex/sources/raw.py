@@ -114,6 +114,11 @@ def write_raw_by_day(payload: DataFrame, root: str) -> None:
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).json(root))
 
 
+def append_raw(payload: DataFrame, root: str) -> None:
+    """Land payload rows as new line-delimited files below ``root``; earlier files stay."""
+    payload.select(*[f.name for f in RAW.fields]).write.mode("append").json(root)
+
+
 def write_raw(payload: DataFrame, root: str) -> None:
     """Land payload rows under ``root`` in ``city_slug=.../yyyy=.../mm=.../dd=...`` folders,
     one object per file (one payload row per location-day).
