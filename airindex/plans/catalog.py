@@ -30,7 +30,7 @@ def register(name: str, sql: str | None = None):
 
 def _load_all() -> None:
     # Importing the modules registers their queries.
-    from airindex.plans import (queries_core, queries_forecast, queries_index, queries_io,  # noqa: F401
+    from airindex.plans import (queries_core, queries_forecast, queries_history, queries_index, queries_io,  # noqa: F401
                                  queries_quality, queries_series, queries_stream,
                                  queries_volume)
 
