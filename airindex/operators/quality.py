@@ -61,8 +61,11 @@ def coverage_gaps(readings: DataFrame, locations: DataFrame, start=None, end=Non
     all pairs); the anti-join against the distinct observed days is a shuffle on
     (location, day).
     """
-    first = F.lit(start) if start is not None else readings.select(F.min("measure_date")).scalar()
-    last = F.lit(end) if end is not None else readings.select(F.max("measure_date")).scalar()
+    if start is None or end is None:
+        # One scalar subquery for both ends.
+        span = readings.agg(F.struct(F.min("measure_date").alias("first"), F.max("measure_date").alias("last")).alias("span")).scalar()
+    first = F.lit(start) if start is not None else span["first"]
+    last = F.lit(end) if end is not None else span["last"]
     expected = locations.select("location_id", "city_name",
                                 F.explode(F.sequence(first, last)).alias("measure_date"))
     seen = readings.select("location_id", "measure_date").distinct()

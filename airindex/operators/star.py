@@ -34,12 +34,9 @@ def dim_date(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
 
 
 def dim_date_spanning(df: DataFrame, day: str = "measure_date") -> DataFrame:
-    """Calendar covering the span of ``df[day]`` (the span comes from scalar subqueries)."""
-    first = df.select(F.min(day)).scalar()
-    last = df.select(F.max(day)).scalar()
-    spark = df.sparkSession
-    days = spark.range(1).select(F.explode(F.sequence(first, last)).alias("measure_date"))
-    return _calendar(days)
+    """Calendar covering the span of ``df[day]`` (one aggregate of ``df``, one row of it)."""
+    span = df.agg(F.min(day).alias("first"), F.max(day).alias("last"))
+    return _calendar(span.select(F.explode(F.sequence("first", "last")).alias("measure_date")))
 
 
 def star_join(fact: DataFrame, dims) -> DataFrame:

@@ -22,8 +22,8 @@ from airindex.schemas import (FACT_COLUMNS, FACT_KEYS, FACT_UPDATE_COLS, READING
                               READING_KEYS, READING_UPDATE_COLS)
 from airindex.session import scratch_path
 from airindex.sinks.files import latest_export, read_report_csv, write_csv, write_partitioned
-from airindex.sources.raw import read_raw, request_plan, write_raw
-from airindex.sources.tables import dim_location, load, readings
+from airindex.sources.raw import DAY, read_raw, request_plan, write_raw_by_day
+from airindex.sources.tables import dim_location, load, reading_days, readings
 
 READING_COLUMNS = [f.name for f in READING.fields]
 SPLIT_LAST_TARGET_DAY = 20
@@ -122,14 +122,12 @@ def q_evolve_union(spark, sf_dir):
     return evolve_union(old, new)
 
 
-@register("affected_dates", O.with_readings(f"""
-, touched AS (SELECT DISTINCT location_id, measure_date FROM readings
-              WHERE day(measure_date) >= {SPLIT_FIRST_UPDATE_DAY})
+@register("affected_dates", O.with_readings("""
+, touched AS (SELECT DISTINCT location_id, measure_date FROM readings)
 SELECT location_id, measure_date FROM touched
 UNION SELECT location_id, measure_date + 1 FROM touched"""))
 def q_affected_dates(spark, sf_dir):
-    r = readings(spark, sf_dir)
-    return affected_dates(r.filter(_day() >= SPLIT_FIRST_UPDATE_DAY))
+    return affected_dates(readings(spark, sf_dir))
 
 
 _SCAN = O.with_readings(f"SELECT {O.READING_COLS} FROM readings")
@@ -144,11 +142,11 @@ def q_flatten_measurements(spark, sf_dir):
 
 @register("bronze_json_roundtrip", _SCAN)
 def q_bronze_json_roundtrip(spark, sf_dir):
-    """Readings -> nested JSON landing files -> read with schema -> flatten."""
+    """Readings -> nested JSON landing files by day -> read by a glob of days, with schema -> flatten."""
     locs = dim_location(spark, sf_dir)
     root = scratch_path(spark, "landing")
-    write_raw(raw_payload(readings(spark, sf_dir), locs), root)
-    raw = read_raw(spark, root, recursive=True)
+    write_raw_by_day(raw_payload(readings(spark, sf_dir), locs), root)
+    raw = read_raw(spark, f"{root}/{DAY}=*/*.json", multi_line=False)
     return flatten_measurements(raw, locs).select(*READING_COLUMNS)
 
 
@@ -180,7 +178,7 @@ SELECT location_id, request_date, cast(100.0 + location_id AS double) AS lon,
          AS object_key
 FROM days"""))
 def q_request_plan(spark, sf_dir):
-    return request_plan(dim_location(spark, sf_dir), dates=readings(spark, sf_dir))
+    return request_plan(dim_location(spark, sf_dir), dates=reading_days(spark, sf_dir))
 
 
 STAR_SQL = O.with_fact(f""",
@@ -202,9 +200,8 @@ JOIN dim_location l ON f.location_id = l.location_id""")
 
 def report(spark, sf_dir, fact=None):
     """Star report; the calendar spans the source readings (a ``ts``-only scan)."""
-    r = readings(spark, sf_dir)
-    fact = fact if fact is not None else daily_air_index(r)
-    return star_report(fact, dim_date_spanning(r), dim_location(spark, sf_dir))
+    fact = fact if fact is not None else daily_air_index(readings(spark, sf_dir))
+    return star_report(fact, dim_date_spanning(reading_days(spark, sf_dir)), dim_location(spark, sf_dir))
 
 
 @register("star_report", STAR_SQL)
@@ -303,7 +300,7 @@ def q_bronze_day_range(spark, sf_dir):
     """Landing by day, then a range of days read with partition pruning (the range is the feature)."""
     import datetime as dt
 
-    from airindex.sources.raw import read_landed_days, write_raw_by_day
+    from airindex.sources.raw import read_landed_days
     locs = dim_location(spark, sf_dir)
     r = readings(spark, sf_dir)
     root = scratch_path(spark, "landing")
@@ -319,9 +316,9 @@ def q_read_raw_partial_paths(spark, sf_dir):
     locs = dim_location(spark, sf_dir)
     r = readings(spark, sf_dir)
     a, b = scratch_path(spark, "landing"), scratch_path(spark, "landing")
-    write_raw(raw_payload(r.filter(_day() <= 15), locs), a)
-    write_raw(raw_payload(r.filter(_day() > 15), locs), b)
-    raw = read_raw(spark, [a, scratch_path(spark, "absent"), b], recursive=True)
+    write_raw_by_day(raw_payload(r.filter(_day() <= 15), locs), a)
+    write_raw_by_day(raw_payload(r.filter(_day() > 15), locs), b)
+    raw = read_raw(spark, [a, scratch_path(spark, "absent"), b], multi_line=False, recursive=True)
     return flatten_measurements(raw, locs).select(*READING_COLUMNS)
 
 

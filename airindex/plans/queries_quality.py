@@ -13,7 +13,7 @@ from airindex.plans import oracle as O
 from airindex.plans.catalog import register
 from airindex.plans.daily import daily_air_index
 from airindex.schemas import POLLUTANTS
-from airindex.sources.tables import dim_location, readings
+from airindex.sources.tables import dim_location, reading_days, readings
 from pyspark.sql import functions as F
 
 
@@ -87,15 +87,18 @@ def q_trend_series(spark, sf_dir):
     return trend_series(fact(spark, sf_dir))
 
 
-@register("coverage_gaps", O.with_readings(""",
+@register("coverage_gaps", O.with_fact(f""",
 span AS (SELECT min(measure_date) AS s, max(measure_date) AS e FROM readings),
 expected AS (SELECT location_id, city_name, cast(g.d AS date) AS measure_date
              FROM dim_location, span, generate_series(span.s, span.e, INTERVAL 1 DAY) AS g(d))
 SELECT * FROM expected e WHERE NOT EXISTS (
-  SELECT 1 FROM readings r WHERE r.location_id = e.location_id
-                             AND r.measure_date = e.measure_date)"""))
+  SELECT 1 FROM fact f WHERE f.location_id = e.location_id AND f.measure_date = e.measure_date
+                         AND f.data_quality_status = {O.q(STATUS_VALID)})"""))
 def q_coverage_gaps(spark, sf_dir):
-    return coverage_gaps(readings(spark, sf_dir), dim_location(spark, sf_dir))
+    """Location-days of the readings' span that lack a valid day."""
+    valid = fact(spark, sf_dir).filter(F.col("data_quality_status") == STATUS_VALID)
+    span = reading_days(spark, sf_dir).agg(F.struct(F.min("measure_date").alias("first"), F.max("measure_date").alias("last")).alias("span")).scalar()
+    return coverage_gaps(valid, dim_location(spark, sf_dir), span["first"], span["last"])
 
 
 @register("pollutant_correlation", O.with_readings("\n UNION ALL ".join(

@@ -9,13 +9,13 @@ from airindex.plans import oracle as O
 from airindex.plans.catalog import register
 from airindex.schemas import READING
 from airindex.session import scratch_path
-from airindex.sources.raw import append_raw, write_raw
+from airindex.sources.raw import append_raw, write_raw_by_day
 from airindex.sources.tables import dim_location, readings
 from airindex.streaming.landing import landing_stream, run_available_now, sliding_mean, upsert_sink
 from airindex.streaming.rolling import landed_stream, rolling_rows_stream, run_counting_late
 
 READING_COLUMNS = [f.name for f in READING.fields]
-FILES_PER_BATCH = 64
+FILES_PER_BATCH = 8
 
 
 @register("stream_landing_upsert", O.with_readings(f"SELECT {O.READING_COLS} FROM readings"))
@@ -24,9 +24,9 @@ def q_stream_landing_upsert(spark, sf_dir):
     table with the keyed upsert, and read the table back."""
     locs = dim_location(spark, sf_dir)
     landing = scratch_path(spark, "landing")
-    write_raw(raw_payload(readings(spark, sf_dir), locs), landing)
+    write_raw_by_day(raw_payload(readings(spark, sf_dir), locs), landing)
     table = scratch_path(spark, "silver")
-    stream = landing_stream(spark, landing, locs, max_files_per_trigger=FILES_PER_BATCH)
+    stream = landing_stream(spark, landing, locs, max_files_per_trigger=FILES_PER_BATCH, multi_line=False)
     run_available_now(stream, upsert_sink(table), scratch_path(spark, "stream-checkpoint"))
     return spark.read.schema(READING).parquet(table).select(*READING_COLUMNS)
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from airindex.operators.star import dim_date_spanning
 from airindex.plans.daily import daily_air_index
-from airindex.sources.tables import dim_location, readings
+from airindex.sources.tables import dim_location, reading_days, readings
 
 
 def register_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -19,7 +19,7 @@ def register_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     views = {
         "readings": r,
         "fact_air_quality": daily_air_index(r),
-        "dim_date": dim_date_spanning(r),
+        "dim_date": dim_date_spanning(reading_days(spark, sf_dir)),
         "dim_location": dim_location(spark, sf_dir),
     }
     for name, df in views.items():

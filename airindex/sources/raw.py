@@ -140,11 +140,10 @@ def request_plan(locations: DataFrame, start: dt.date | str | None = None,
     day sequence, so the work is spread over the location rows.
     """
     if dates is not None:
-        # Scalar subqueries: the span is two values, not a joined table.
-        first = dates.select(F.min("measure_date")).scalar()
-        last = dates.select(F.max("measure_date")).scalar()
+        # A scalar subquery: the span is one value, not a joined table.
+        span = dates.agg(F.struct(F.min("measure_date").alias("first"), F.max("measure_date").alias("last")).alias("span")).scalar()
         base = locations
-        day = F.explode(F.sequence(first, last))
+        day = F.explode(F.sequence(span["first"], span["last"]))
     else:
         s = dt.date.fromisoformat(start) if isinstance(start, str) else start
         e = dt.date.fromisoformat(end) if isinstance(end, str) else end

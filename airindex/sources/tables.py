@@ -132,6 +132,12 @@ def readings(spark: SparkSession, sf_dir: str, start=None, end=None,
     return readings_from_events(events)
 
 
+def reading_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """measure_date of every event, from the ``ts`` column alone: for spans of days, which need no readings."""
+    ensure_utc(spark)
+    return load(spark, sf_dir, "events").select(F.to_date("ts").alias("measure_date"))
+
+
 def _as_day(d) -> dt.date:
     return d if isinstance(d, dt.date) else dt.date.fromisoformat(d)
 

@@ -29,15 +29,16 @@ LANDED = "_landed"
 
 def landing_stream(spark: SparkSession, root: str, locations: DataFrame,
                    max_files_per_trigger: int | None = None,
-                   dedupe_watermark: str | None = None) -> DataFrame:
-    """Streaming readings from landing files under ``root`` (any depth of folders).
+                   dedupe_watermark: str | None = None, multi_line: bool = True) -> DataFrame:
+    """Streaming readings from landing files under ``root`` (any depth of folders): a payload
+    per file, or per line without ``multi_line``.
 
     The keyed merge in the sink already makes repeated readings harmless, so no
     watermark is needed. ``dedupe_watermark`` adds ``dropDuplicatesWithinWatermark``
     for live feeds; rows older than the watermark are then dropped as late, so do
     not use it for backfills that land days out of order.
     """
-    reader = (spark.readStream.schema(RAW).option("multiLine", True)
+    reader = (spark.readStream.schema(RAW).option("multiLine", multi_line)
               .option("recursiveFileLookup", True).option("pathGlobFilter", "*.json"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

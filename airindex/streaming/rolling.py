@@ -22,8 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from airindex.functions.exact import SCALE
-from airindex.operators.conform import flatten_measurements
-from airindex.schemas import RAW
+from airindex.streaming.landing import LANDED, landing_stream
 
 # Task functions travel with their code, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -43,10 +42,7 @@ class Ran:
 
 def landed_stream(spark: SparkSession, root: str, locations: DataFrame, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming readings from line-delimited payload files below ``root`` (``append_raw``, ``write_raw_by_day``)."""
-    reader = spark.readStream.schema(RAW).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return flatten_measurements(reader.json(root), locations)
+    return landing_stream(spark, root, locations, max_files_per_trigger, multi_line=False).drop(LANDED)
 
 
 def passed(pending_at: np.ndarray, pending: np.ndarray, kept_at: np.ndarray, kept: np.ndarray, until: int, rows: int):
