@@ -87,16 +87,19 @@ def text_id(text: Column) -> Column:
 
 # -- bytes and hashes inside Arrow tasks -------------------------------------------------
 
-def regroup(batches: Iterator[pa.RecordBatch], column: str, limit: int = 3 << 20) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about ``limit`` bytes of ``column`` (one long text stays whole)."""
+def regroup(batches: Iterator[pa.RecordBatch], columns: str | tuple[str, ...], limit: int = 3 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``limit`` bytes of the columns together (one long text stays whole)."""
     held: list[pa.RecordBatch] = []
     size = 0
+    names = (columns,) if isinstance(columns, str) else columns
     for batch in batches:
         first = 0
-        texts = batch.column(column).cast(pa.large_binary()).fill_null(b"")
-        if len(texts) == 0:
+        if batch.num_rows == 0:
             continue
-        ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset: texts.offset + len(texts) + 1]
+        ends = np.zeros(batch.num_rows + 1, np.int64)
+        for name in names:
+            texts = batch.column(name).cast(pa.large_binary()).fill_null(b"")
+            ends += np.frombuffer(texts.buffers()[1], np.int64)[texts.offset: texts.offset + len(texts) + 1]
         while first < batch.num_rows:
             last = int(np.searchsorted(ends, ends[first] + limit - size, "right")) - 1
             last = min(max(last, first if held else first + 1), batch.num_rows)

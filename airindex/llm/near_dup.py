@@ -168,7 +168,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in regroup(batches, "text_b", 1 << 20):
+        for batch in regroup(batches, ("text_a", "text_b"), 2 << 20):
             ok = pa.array(overlap_enough(batch.column("text_a"), batch.column("text_b")))
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(ok), batch.column("b").filter(ok)], ["a", "b"])
 
