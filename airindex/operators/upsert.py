@@ -15,9 +15,11 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from airindex.session import remove_path, scratch_path
 
+PART = "key_part"
 IN_TARGET = "_in_target"
 IN_UPDATES = "_in_updates"
 REJECT = "_reject"
@@ -113,9 +115,13 @@ def replace_by_key(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -
 
 def upsert_partitioned(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str],
                        partition_col: str, update_cols: Sequence[str] | None = None,
-                       order_by: str | None = None, schema=None) -> DataFrame:
+                       order_by: str | None = None, schema=None, parts: int | None = None) -> DataFrame:
     """Merge ``updates`` into the parquet table at ``path``, rewriting touched partitions only.
 
+    ``parts`` deals every partition out into so many sub-folders by a hash of the other keys (column
+    ``key_part``): one late row rewrites its part of a day and not the whole day. A table keeps the
+    number it was made with.
+
     Columns only the table has keep their stored values (NULL in inserted rows); columns
     only the updates have are added to the table (NULL in rows that are not updated, unless
     ``update_cols`` leaves them out). A column of another type fails before anything is written.
@@ -133,17 +139,23 @@ def upsert_partitioned(spark: SparkSession, path: str, updates: DataFrame, keys:
         keys = keys + [partition_col]
     staged = scratch_path(spark, "upsert")
     merged_at = f"{staged}/merged"
+    folders = [partition_col]
+    if parts:
+        folders.append(PART)
+        updates = updates.withColumn(PART, F.pmod(F.xxhash64(*[k for k in keys if k != partition_col]), F.lit(parts)).cast("int"))
+        keys = keys + [PART]
+        schema = None if schema is None else T.StructType([*schema.fields, T.StructField(PART, T.IntegerType())])
     # One pass over the upstream plan: the rows, marked as rejects or not.
     marked = updates.withColumn(REJECT, _any_null(keys))
     marked.write.partitionBy(REJECT).parquet(f"{staged}/source")
     source = spark.read.schema(marked.schema).parquet(f"{staged}/source")
     rejects = source.filter(REJECT).drop(REJECT)
     usable = source.filter(~F.col(REJECT)).drop(REJECT)
-    touched = [r[0] for r in usable.select(partition_col).distinct().collect()]
+    touched = [tuple(r) for r in usable.select(*folders).distinct().collect()]
     good = latest_per_key(usable, keys, order_by).select(*updates.columns)
     if not touched:
-        return rejects
-    target = _table_part(spark, path, partition_col, touched, schema)
+        return rejects.drop(PART)
+    target = _table_part(spark, path, folders, touched, schema)
     if target is None:
         merged = good
     else:
@@ -156,17 +168,17 @@ def upsert_partitioned(spark: SparkSession, path: str, updates: DataFrame, keys:
         merged = merge_frames(columns, with_columns_of(good, columns.schema), keys, changing, dedupe=False)
         merged.write.parquet(merged_at)
         merged = spark.read.schema(merged.schema).parquet(merged_at)
-    (merged.hint("rebalance", partition_col).write.mode("overwrite")
+    (merged.hint("rebalance", *folders).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(path))
+     .partitionBy(*folders).parquet(path))
     remove_path(spark, merged_at)
     if rejects.isEmpty():
         remove_path(spark, staged)
-        return spark.createDataFrame([], updates.schema)
-    return rejects
+        return spark.createDataFrame([], updates.schema).drop(PART)
+    return rejects.drop(PART)
 
 
-def _table_part(spark: SparkSession, path: str, partition_col: str, values: list, schema) -> DataFrame | None:
+def _table_part(spark: SparkSession, path: str, folders: list[str], values: list[tuple], schema) -> DataFrame | None:
     """The rows of the touched partitions; None where the table or all of them are absent."""
     try:
         # The stored columns, which may be more than ``schema`` names (files of several ages).
@@ -179,7 +191,21 @@ def _table_part(spark: SparkSession, path: str, partition_col: str, values: list
         kinds = {f.name: f.dataType for f in schema}
         table = table.select(*[F.col(c).cast(kinds[c]).alias(c) if c in kinds else F.col(c)
                                for c in table.columns])
-    part = table.filter(F.col(partition_col).isin(values))
+    if any(c not in table.columns for c in folders):
+        raise ValueError(f"{path} is not partitioned by {folders}")
+    part = table.filter(F.col(folders[0]).isin([v[0] for v in values]))
+    if len(folders) > 1:
+        # Days with the same touched parts as one condition, so that it stays short.
+        of_day: dict = {}
+        for day, key_part in sorted(values):
+            of_day.setdefault(day, []).append(key_part)
+        by_parts: dict[tuple, list] = {}
+        for day, some in of_day.items():
+            by_parts.setdefault(tuple(some), []).append(day)
+        cond = F.lit(False)
+        for some, days in by_parts.items():
+            cond = cond | (F.col(folders[0]).isin(days) & F.col(folders[1]).isin(list(some)))
+        part = part.filter(cond)
     return None if part.isEmpty() else part
 
 

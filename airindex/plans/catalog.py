@@ -32,7 +32,7 @@ def _load_all() -> None:
     # Importing the modules registers their queries.
     from airindex.plans import (queries_core, queries_forecast, queries_history, queries_index, queries_io,  # noqa: F401
                                  queries_quality, queries_series, queries_stream,
-                                 queries_volume)
+                                 queries_tables, queries_volume)
 
 
 _load_all()
