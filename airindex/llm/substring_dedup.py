@@ -14,8 +14,8 @@ together are long enough.
 Which documents meet in which blocks follows from content-defined anchors (``anchors``): equal windows
 always meet, so factoring against the blocks that share an anchor is factoring against all of them.
 
-Nulls: a null text has no words; a null doc_id is the smallest id. Rows that repeat a doc_id are one
-document: nothing is removed because of the other row, and a span of one holds for both.
+Nulls: a null text has no words; a null doc_id is the smallest id. Rows that share a doc_id are not earlier
+than each other: nothing is removed because of the other row, and a span holds for its own text only.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airindex.llm.anchors import join_by_doc, repeated_spans
-from airindex.llm.common import ByteHash, plain_words, regroup, small_batches
+from airindex.llm.common import plain_words, regroup, small_batches
 
 WINDOW, GRAM = 50, 8
 
@@ -130,10 +130,11 @@ def duplicate_spans(block: ReferenceBlock, words: np.ndarray, window: int) -> tu
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def parse_block(doc: np.ndarray, start: np.ndarray, n: np.ndarray, texts: pa.Array):
+def parse_block(doc: np.ndarray, document: np.ndarray, start: np.ndarray, n: np.ndarray, texts: pa.Array):
     """Rows of one block to (row, first word, end word) of their duplicate spans."""
     data, starts, ends, bounds = plain_words(texts)
-    words = np.unique(ByteHash(data)(starts, ends), return_inverse=True)[1].astype(np.int64)
+    # Words are numbered by their bytes, not by a hash.
+    words = pa.array(data.tobytes().split(), pa.binary()).dictionary_encode().indices.to_numpy().astype(np.int64)
     size = np.diff(bounds)
     block = ReferenceBlock(words, bounds, doc, int(size.max(initial=1)))
     return duplicate_spans(block, size, WINDOW)
@@ -152,7 +153,7 @@ def removed_words(n: int, spans: list | None) -> np.ndarray:
 
 def substring_dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept (the words that stay, one space between): a row per row of docs."""
-    spans = repeated_spans(docs, WINDOW, GRAM, True, False, parse_block).select(F.col("doc_id").alias("_d"), "spans")
+    spans = repeated_spans(docs, WINDOW, GRAM, True, False, parse_block).select(F.col("doc_id").alias("_d"), F.col("tid").alias("_t"), "spans")
     small_batches(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -14,8 +14,8 @@ Suffixes with a common prefix of ``window`` bytes stand together; all but the ea
 Blocks follow from content-defined anchors (``anchors``), so that equal windows always meet. Windows whose
 hash is alone in the block cannot be repeated and are cut off before construction.
 
-Nulls: a null text is empty; a null doc_id is the smallest id. Rows that repeat a doc_id are one document
-(a place counts once), and a span of one holds for both, as far as the text reaches.
+Nulls: a null text is empty; a null doc_id is the smallest id. Rows that repeat a doc_id and a text are one
+document (a place counts once); rows that share a doc_id alone are not earlier than each other.
 """
 
 from __future__ import annotations
@@ -84,7 +84,7 @@ def collection_index(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> t
     return stretch, length, prefix
 
 
-def repeats(doc: np.ndarray, start: np.ndarray, first: np.ndarray, size: np.ndarray, data: np.ndarray,
+def repeats(doc: np.ndarray, document: np.ndarray, start: np.ndarray, first: np.ndarray, size: np.ndarray, data: np.ndarray,
             window: int) -> tuple[np.ndarray, np.ndarray]:
     """(stretch, offset) of every window that also starts earlier."""
     stretch, length, prefix = collection_index(data, first, size)
@@ -93,15 +93,19 @@ def repeats(doc: np.ndarray, start: np.ndarray, first: np.ndarray, size: np.ndar
     stretch, group = stretch[whole], group[whole]
     offset = size[stretch] - length[whole]
     place = start[stretch] + offset
-    order = np.lexsort((place, doc[stretch], group))
-    g, d, p = group[order], doc[stretch][order], place[order]
-    head = np.r_[True, g[1:] != g[:-1]] if len(g) else np.empty(0, bool)
-    lead = np.maximum.accumulate(np.where(head, np.arange(len(g)), 0)) if len(g) else np.empty(0, np.int64)
-    later = (d != d[lead]) | (p != p[lead])
+    order = np.lexsort((place, document[stretch], group))
+    g, d, m, p = group[order], doc[stretch][order], document[stretch][order], place[order]
+    if len(g) == 0:
+        return stretch, offset
+    index = np.arange(len(g))
+    head = np.r_[True, g[1:] != g[:-1]]
+    own = head | np.r_[True, m[1:] != m[:-1]]
+    lead, own_lead = np.maximum.accumulate(np.where(head, index, 0)), np.maximum.accumulate(np.where(own, index, 0))
+    later = (d != d[lead]) | (p != p[own_lead])
     return stretch[order][later], offset[order][later]
 
 
-def compare_block(doc: np.ndarray, start: np.ndarray, n: np.ndarray, texts: pa.Array):
+def compare_block(doc: np.ndarray, document: np.ndarray, start: np.ndarray, n: np.ndarray, texts: pa.Array):
     """Rows of one block to (row, first byte, end byte) of their repeated spans."""
     data, bounds = text_bytes(texts)
     row = np.repeat(np.arange(len(n)), n)
@@ -117,7 +121,7 @@ def compare_block(doc: np.ndarray, start: np.ndarray, n: np.ndarray, texts: pa.A
     new = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (offset[1:] != offset[:-1] + 1)])
     owner, low = row[new], offset[new]
     size = offset[np.append(new[1:], len(row)) - 1] + WINDOW - low
-    piece, inside = repeats(doc[owner], start[owner] + low, bounds[owner] + low, size, data, WINDOW)
+    piece, inside = repeats(doc[owner], document[owner], start[owner] + low, bounds[owner] + low, size, data, WINDOW)
     begin = low[piece] + inside
     # Overlapping windows of a row as one span.
     shift = owner[piece] * (int(np.diff(bounds).max()) + WINDOW + 1)
@@ -129,7 +133,7 @@ def compare_block(doc: np.ndarray, start: np.ndarray, n: np.ndarray, texts: pa.A
 
 def suffix_dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (binary: the bytes that stay): a row per row of docs."""
-    spans = repeated_spans(docs, WINDOW, GRAM, False, True, compare_block).select(F.col("doc_id").alias("_d"), "spans")
+    spans = repeated_spans(docs, WINDOW, GRAM, False, True, compare_block).select(F.col("doc_id").alias("_d"), F.col("tid").alias("_t"), "spans")
     small_batches(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

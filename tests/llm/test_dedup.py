@@ -98,11 +98,54 @@ def test_dedup_nulls_repeats_empty(spark):
     rows = [(None, text, "s"), (5, text, "s"), (5, text, "s"), (5, "short", "s"), (6, None, None)]
     docs = frame(spark, rows).withColumn("spans", F.lit("clash")).withColumn("anchor", F.lit(1))
     removed = Counter((r["doc_id"], r["n_words"], r["n_removed"]) for r in op1(docs).collect())
-    # The null id is the smallest, so the others are copies of it; the short text loses the span as far as it reaches.
-    assert removed == Counter({(None, 80, 0): 1, (5, 80, 80): 2, (5, 1, 1): 1, (6, 0, 0): 1})
+    # The null id is the smallest, so the others are copies of it; the short text shares an id and nothing else.
+    assert removed == Counter({(None, 80, 0): 1, (5, 80, 80): 2, (5, 1, 0): 1, (6, 0, 0): 1})
     n = len(text.encode())
     assert Counter((r["doc_id"], r["n_removed"], r["n_spans"]) for r in op8(docs).collect()) == Counter(
-        {(None, 0, 0): 1, (5, n, 1): 2, (5, 5, 1): 1, (6, 0, 0): 1})
+        {(None, 0, 0): 1, (5, n, 1): 2, (5, 0, 0): 1, (6, 0, 0): 1})
+
+
+def test_rows_that_share_an_id_keep_their_own_words(spark):
+    """A span holds for its own text: clean rows with the same (or no) doc_id lose nothing."""
+    a, z, own = prose(1, 60), " ".join(f"z{i}" for i in range(60)), prose(2, 130)
+    rows = [(1, a, "s"), (2, a, "s"), (2, z, "s"), (None, z + " end", "s"), (None, own, "s"), (3, own, "s"), (3, f"{own} {own}", "s"), (3, f"{own} {own}", "s")]
+    one = Counter((r["doc_id"], r["n_words"], r["n_removed"]) for r in op1(frame(spark, rows)).collect())
+    assert one == Counter({(1, 60, 0): 1, (2, 60, 60): 2, (None, 61, 0): 1, (None, 130, 0): 1, (3, 130, 130): 1, (3, 260, 260): 2})
+    alone = [(1, a, "s"), (2, a, "s"), (2, z, "s"), (4, f"{own} {own}", "s"), (4, f"{own} {own}", "s"), (4, own, "s")]
+    two = Counter((r["doc_id"], r["n_bytes"], r["n_removed"]) for r in op8(frame(spark, alone)).collect())
+    n = len(own)
+    assert two == Counter({(1, len(a), 0): 1, (2, len(a), len(a)): 1, (2, len(z), 0): 1, (4, 2 * n + 1, n): 2, (4, n, 0): 1})
+
+
+def morse(n, a="a", b="b"):
+    x = [a]
+    while len(x) < n:
+        x += [b if c == a else a for c in x]
+    return x
+
+
+def test_texts_built_to_collide_stay_apart(spark):
+    """Thue-Morse words and their complements: equal to any polynomial hash modulo a power of two."""
+    x, y = "".join(morse(1024)), "".join(morse(1024, "b", "a"))
+    rows = [(1, " ".join([x] + [f"w{i}" for i in range(49)]), "s"), (2, " ".join([y] + [f"w{i}" for i in range(49)]), "s")]
+    rows += [(3, f"{x} {x}", "s"), (4, f"{y} {y}", "s")]
+    got = by_id(op1(frame(spark, rows)))
+    assert {d: tuple(got[d])[1:] for d in got} == word_dedup(rows)
+    got = by_id(op8(frame(spark, rows)))
+    assert {d: tuple(got[d])[1:] for d in got} == byte_dedup(rows)
+    words_x, words_y = " ".join(morse(2048, "aa", "bb")), " ".join(morse(2048, "bb", "aa"))
+    rows = [(1, words_x, "s"), (2, words_y, "s"), (3, "q " + words_x, "s")]
+    got = by_id(op1(frame(spark, rows)))
+    assert {d: tuple(got[d])[1:] for d in got} == word_dedup(rows)
+
+
+def test_anchors_do_not_depend_on_the_batch():
+    rng = np.random.default_rng(3)
+    values = rng.integers(0, 1 << 62, 5000).astype(np.uint64)
+    values[rng.integers(0, 5000, 800)] = np.uint64(7)  # ties
+    for width in (1, 2, 43, 69):
+        want = [i + int(np.argmin(values[i:i + width])) for i in range(len(values) - width + 1)]
+        assert anchors.sliding_least(values, width).tolist() == want
 
 
 def test_collection_index_orders_all_suffixes():
