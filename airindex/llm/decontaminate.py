@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airindex.llm.common import ByteHash, materialize, merge_spans, packed, regroup, runs, small_batches, text_bytes, unpacked
+from airindex.llm.common import BASES, PrimeHash, materialize, merge_spans, packed, regroup, runs, small_batches, text_bytes, unpacked
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
@@ -34,20 +34,36 @@ _IN_WORD[0x30:0x3A] = _IN_WORD[0x61:0x7B] = _IN_WORD[0x80:] = True
 SAMPLE = 16
 
 
-def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, start and end byte of every word, and the first word of each text (and their number)."""
+def words(texts: pa.Array, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lower-cased bytes; hash, start and end byte of every word; the first word of each text (and their number)."""
     data, offsets = text_bytes(texts)
     data = _LOWER[data]
     starts, ends = runs(_IN_WORD[data], offsets)
-    return ByteHash(data)(starts, ends), starts, ends, np.searchsorted(starts, offsets)
+    return data, PrimeHash(data, base)(starts, ends), starts, ends, np.searchsorted(starts, offsets)
+
+
+def same_bytes(a: np.ndarray, a_at: np.ndarray, b: np.ndarray, b_at: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Whether a[a_at : a_at + length] equals b[b_at : b_at + length], pair by pair (lengths of 1 and more)."""
+    if len(lengths) == 0:
+        return np.empty(0, bool)
+    first = np.cumsum(lengths) - lengths
+    inside = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
+    return np.logical_and.reduceat(a[np.repeat(a_at, lengths) + inside] == b[np.repeat(b_at, lengths) + inside], first)
 
 
 class Phrases:
     """The distinct test phrases of some items as rows of vocabulary symbols (1, 2, ...)."""
 
     def __init__(self, ids: list, texts: list, window: int) -> None:
-        hashes, _, _, bounds = words(pa.array(texts, pa.string()))
-        self.vocabulary = np.unique(hashes)
+        for self.base in BASES:
+            data, hashes, starts, ends, bounds = words(pa.array(texts, pa.string()), self.base)
+            self.vocabulary, one, of = np.unique(hashes, return_index=True, return_inverse=True)
+            # The words' own bytes, for the comparison; another base if two words have one hash.
+            self.data, self.at, self.size = data, starts[one], (ends - starts)[one]
+            if (self.size[of] == ends - starts).all() and same_bytes(data, starts, data, self.at[of], ends - starts).all():
+                break
+        else:
+            raise ValueError("words of the benchmark collide under every base")
         symbols = np.searchsorted(self.vocabulary, hashes) + 1
         found: dict[tuple, set] = {}
         for item, a, b in zip(ids, bounds[:-1], bounds[1:], strict=True):
@@ -71,13 +87,15 @@ class Phrases:
         self.__dict__.update(parts)
         return self
 
-    def symbols(self, hashes: np.ndarray) -> np.ndarray:
-        """Vocabulary symbols of word hashes; 0 for words that no item has."""
+    def symbols(self, data: np.ndarray, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Vocabulary symbols of words, compared byte by byte; 0 for words that no item has."""
         out = np.zeros(len(hashes), np.int64)
         if len(self.vocabulary):
             maybe = np.flatnonzero(self.slot[hashes >> np.uint64(64 - self.bits)])
             at = np.minimum(np.searchsorted(self.vocabulary, hashes[maybe]), len(self.vocabulary) - 1)
-            same = self.vocabulary[at] == hashes[maybe]
+            same = (self.vocabulary[at] == hashes[maybe]) & (self.size[at] == (ends - starts)[maybe])
+            maybe, at = maybe[same], at[same]
+            same = same_bytes(data, starts[maybe], self.data, self.at[at], self.size[at])
             out[maybe[same]] = at[same] + 1
         return out
 
@@ -111,7 +129,8 @@ class FmIndex:
         self.before = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=top + 1))])
         # Positions are sampled regularly and after each separator, which no walk crosses.
         self.sampled = (order % SAMPLE == 0) | (self.bwt == 0)
-        self.position = order
+        self.position = order[self.sampled]
+        self.sample = np.cumsum(self.sampled) - 1  # rank among the sampled entries
         self.levels = []
         row = self.bwt
         zero_at = np.zeros(top + 1, np.int64)
@@ -158,18 +177,18 @@ class FmIndex:
             at[walking] = self.before[symbol] + self.rank(symbol, at[walking])
             steps[walking] += 1
             walking = walking[~self.sampled[at[walking]]]
-        return which, self.position[at] + steps
+        return which, self.position[self.sample[at]] + steps
 
 
 def find(texts: pa.Array, phrases: Phrases) -> dict:
     """Hits of a shard's texts: words per text, merged hit spans (words and bytes), items per text."""
-    hashes, starts, ends, bounds = words(texts)
+    data, hashes, starts, ends, bounds = words(texts, phrases.base)
     n = len(texts)
     empty = {"n_words": np.diff(bounds), "text": np.empty(0, np.int64), "first": np.empty(0, np.int64),
              "last": np.empty(0, np.int64), "starts": starts, "ends": ends, "bounds": bounds, "items": [()] * n}
     if len(phrases.rows) == 0 or len(hashes) == 0:
         return empty
-    symbols = phrases.symbols(hashes)
+    symbols = phrases.symbols(data, hashes, starts, ends)
     a, b = runs(symbols > 0, bounds)
     long_enough = b - a >= phrases.lengths.min()
     a, b = a[long_enough], b[long_enough]

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airindex.llm.common import ByteHash, materialize, mix, packed, plain_words, regroup, small_batches, text_id
+from airindex.llm.common import PrimeHash, materialize, mix, packed, plain_words, regroup, small_batches, text_id
 
 SHINGLE, BANDS, ROWS = 5, 32, 5
 SIMILARITY = (4, 5)  # 0.8 as a fraction: counted in whole numbers
@@ -48,7 +48,7 @@ def shingles(texts: pa.Array, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray,
     count = np.maximum(words - k_of + 1, 0) * (words > 0)
     of = np.repeat(np.arange(n), count)
     first = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count) + np.repeat(bounds[:-1], count)
-    hashes = ByteHash(data)(starts[first], ends[first + k_of[of] - 1]) if len(first) else np.empty(0, np.uint64)
+    hashes = PrimeHash(data)(starts[first], ends[first + k_of[of] - 1]) if len(first) else np.empty(0, np.uint64)
     digests = [b""] * n
     whole = data.tobytes()
     for t, a, b in zip(has.tolist(), starts[bounds[:-1][has]].tolist(), ends[bounds[1:][has] - 1].tolist(), strict=True):

@@ -242,6 +242,13 @@ def test_near_dup_classes_against_brute_force(spark, make):
     assert all(r["is_first"] == (r["doc_id"] == r["class_id"]) for r in got.values())
 
 
+def test_shingles_built_to_collide_are_different(spark):
+    x, y = "".join(morse(1024)), "".join(morse(1024, "b", "a"))
+    rows = [(1, f"{x} one two three four", "s"), (2, f"{y} one two three four", "s"), (3, f"{x} one two three  four", "s")]
+    got = by_id(op10(frame(spark, rows)))
+    assert {d: got[d]["class_id"] for d in got} == classes(rows) == {1: 1, 2: 2, 3: 1}
+
+
 def test_one_of_each_stays(spark):
     text = prose(1, 40)
     rows = [(None, text, "s"), (3, text, "t"), (4, "own words here", "s"), (4, "own words here", "s"), (5, None, None), (6, "", "s")]

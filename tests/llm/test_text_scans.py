@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -34,6 +35,25 @@ def test_equal_pairs_merge_from_the_left():
         assert merger.text_counts([text]) == [len(library.encode(text, add_special_tokens=False).ids)]
 
 
+def test_long_pre_tokens_match_the_library():
+    """A pre-token of a megabyte takes seconds, and counts as the library counts it."""
+    from tokenizers import Tokenizer
+    library = Tokenizer.from_file(TOKENIZER)
+    merger = RankMerger(TOKENIZER)
+    rng = random.Random(7)
+    word = prose("long", 90_000, 2000)
+    texts = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5000)), "a" * 4001, "abab" * 900 + "a", "=" * 3000,
+             re.sub(r"[^a-z]", "", word.replace("w", "the ing")) * 1, "é" * 1500, " " * 2000, "0123456789" * 300]
+    texts.append("".join(rng.choice(["the", "and", "q", "zz", "ing", "o"]) for _ in range(400_000)))
+    assert len(texts[-1]) > 800_000
+    began = time.time()
+    assert merger.text_counts(texts) == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert time.time() - began < 60
+    for _ in range(40):
+        text = "".join(rng.choice(["a", "aa", "b", "ab", "in", "th", "e"]) for _ in range(rng.randrange(1, 60)))
+        assert merger.long_count(text.encode()) == int(merger.counts([text.encode()])[0])
+
+
 def test_token_counts_edges(spark):
     docs = frame(spark, [(None, "a", "s"), (1, None, "s"), (1, None, "s")]).withColumn("n_tokens", F.lit(0))
     assert sorted((r["n_bytes"], r["n_tokens"]) for r in op5(docs).collect()) == [(0, 0), (0, 0), (1, 1)]
@@ -172,3 +192,24 @@ def test_risk_separates_positives_from_a_mixture():
     network = PuNetwork(3)
     network.fit(positive, mixture, 0.6, epochs=40)
     assert (network.scores(mixture[:1200]) > 0.5).mean() > 0.95 and (network.scores(mixture[1200:]) < 0.5).mean() > 0.95
+
+
+def morse(n, a="a", b="b"):
+    x = [a]
+    while len(x) < n:
+        x += [b if c == a else a for c in x]
+    return "".join(x[:n])
+
+
+def test_words_built_to_collide_are_no_matches(spark):
+    """Thue-Morse words have one hash under any polynomial modulo a power of two; their bytes differ."""
+    x, y = morse(1024), morse(1024, "b", "a")
+    rows = [(1, f"see {x} there", "s"), (2, f"see {y} there", "s"), (3, f"{x} {y}", "s")]
+    items = [(1, x), (2, f"{y} again")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = by_id(dc.op4(frame(spark, rows), bench))
+    want = contamination(rows, items)
+    assert {d: got[d]["n_hit"] for d in got} == {d: w[1] for d, w in want.items()}
+    assert [got[d]["contaminated"] for d in (1, 2, 3)] == [True, False, True]
+    phrases = dc.Phrases([1, 2], [x, y], 10)
+    assert len(phrases.vocabulary) == 2
