@@ -220,23 +220,33 @@ def _prime_table(n: int, base: int, inverse: bool) -> np.ndarray:
 class PrimeHash:
     """Hashes of any byte ranges of ``data``: a prefix polynomial modulo the prime 2**61 - 1, then ``mix``.
 
-    Dearer than ``ByteHash``, but no texts are known to collide by their shape alone.
+    Dearer than ``ByteHash``, but no texts are known to collide by their shape alone. Computed in short
+    pieces, so that what is held besides the prefix stays small.
     """
 
+    PIECE = 1 << 17
+
     def __init__(self, data: np.ndarray, base: int = BASES[0]) -> None:
-        symbol, power = data.astype(np.uint64) + np.uint64(1), _prime_table(len(data), base, False)
-        low = np.uint64((1 << 32) - 1)
-        high = symbol * (power >> np.uint64(32))  # times 2**32, modulo the prime
-        term = _folded((high >> np.uint64(29)) + ((high & np.uint64((1 << 29) - 1)) << np.uint64(32)) + _folded(symbol * (power & low)))
-        # Sums of 31-bit halves stay below 2**64 for any text.
-        top, rest = _folded(np.cumsum(term >> np.uint64(31))), np.cumsum(term & np.uint64((1 << 31) - 1))
         self.prefix = np.zeros(len(data) + 1, np.uint64)
-        self.prefix[1:] = _folded((top >> np.uint64(30)) + ((top & np.uint64((1 << 30) - 1)) << np.uint64(31)) + _folded(rest))
         self.inverse = _prime_table(len(data) + 1, base, True)
+        powers = _prime_table(len(data), base, False)
+        for a in range(0, len(data), self.PIECE):
+            symbol, power = data[a: a + self.PIECE].astype(np.uint64) + np.uint64(1), powers[a: a + self.PIECE]
+            high = symbol * (power >> np.uint64(32))  # times 2**32, modulo the prime
+            term = _folded((high >> np.uint64(29)) + ((high & np.uint64((1 << 29) - 1)) << np.uint64(32))
+                           + _folded(symbol * (power & np.uint64((1 << 32) - 1))))
+            # Sums of a piece's 31-bit halves stay far below 2**64.
+            top, rest = np.cumsum(term >> np.uint64(31)), np.cumsum(term & np.uint64((1 << 31) - 1))
+            self.prefix[a + 1: a + 1 + len(term)] = _folded(
+                (top >> np.uint64(30)) + ((top & np.uint64((1 << 30) - 1)) << np.uint64(31)) + _folded(rest) + self.prefix[a])
 
     def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        part = _times(_folded(self.prefix[ends] + (_MERSENNE - self.prefix[starts])), self.inverse[starts])
-        return mix(part + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        out = np.empty(len(starts), np.uint64)
+        for a in range(0, len(starts), self.PIECE):
+            s, e = starts[a: a + self.PIECE], ends[a: a + self.PIECE]
+            part = _times(_folded(self.prefix[e] + (_MERSENNE - self.prefix[s])), self.inverse[s])
+            out[a: a + self.PIECE] = mix(part + (e - s).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        return out
 
 
 def merge_spans(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

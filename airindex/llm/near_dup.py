@@ -231,7 +231,8 @@ def close_pairs(texts: DataFrame, members: DataFrame) -> DataFrame:
     # A pair meets at the first token that both have among their first ones, and only there.
     meet = F.get(F.array_intersect("firsts", "other_firsts"), F.lit(0)) == hopeful["token"]
     same = (hopeful["token"] == others["token"]) & (hopeful["other_class"] == others["other_class"])
-    return (hopeful.join(others, same & enough("left", "n", "other_left", "other_n") & alike("sketch", "other_sketch") & meet)
+    # The sketches come last: they are compared for each pair once, and make garbage.
+    return (hopeful.join(others, same & enough("left", "n", "other_left", "other_n") & meet & alike("sketch", "other_sketch"))
             .select("node", "other"))
 
 
