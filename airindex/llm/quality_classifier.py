@@ -1,7 +1,7 @@
 """Quality classifier (operator 9): positive-unlabelled learning with a non-negative risk.
 
 Every whole text becomes a short vector of features (shares of byte classes, word and line shapes,
-repetition). Trusted positives are labelled rows of the training folds; all rows of those folds, whatever
+repetition, and which words it uses: the share of its words in each of ``BUCKETS`` hash buckets). Trusted positives are labelled rows of the training folds; all rows of those folds, whatever
 their label, are the unlabelled text: a mixture of positives, at an estimated class prior, and negatives
 (so a table with a label for every row is scored, too). A small network
 minimises the unbiased PU risk  prior * R+(P) + max(0, R-(U) - prior * R-(P)),  whose negative part is
@@ -9,16 +9,19 @@ kept from going below zero, as a flexible model could otherwise push it. The fit
 (``sample`` positives and ``sample`` unlabelled rows, those with the smallest hashes); features and
 scores cover all rows.
 
-The class prior is the share of positives among the labelled rows of the training folds (labels cover a
-random part of the documents), with one positive and one negative added.
+The class prior is estimated from the positives and the unlabelled text alone, negatives' labels are not
+used anywhere: a network is taught to tell one half of the positives from one half of the unlabelled rows,
+and where the scores of the other halves are high, unlabelled rows are as rare among positives as positives
+are in the mixture. The prior is the least such ratio, at the threshold where it is surest (best bin).
 
-Nulls: a null or empty text is a vector of zeros and is scored like any other; labels that are null or
-neither 0 nor 1 are ignored; without positives every score is the prior. doc_id passes through, null
+Nulls: a null or empty text is a vector of zeros and is scored like any other; labels that are not 1 are
+ignored; without positives every score is one half. doc_id passes through, null
 or repeated (the fold of a null id is that of the empty string).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -75,11 +78,16 @@ def features(texts: pa.Array) -> np.ndarray:
     mean = length * per_word
     out = [shares * per_byte[:, None], np.log1p(size), np.log1p(words), mean, np.sqrt(np.maximum(square * per_word - mean ** 2, 0)),
            capital * per_word, marked * per_word, _distinct(hashes, of_word, n) * per_word,
-           _distinct(pair, pair_of, n) / np.maximum(words - 1, 1), same_word * per_word, np.log1p(lines), np.log1p(words / np.maximum(lines, 1))]
+           _distinct(pair, pair_of, n) / np.maximum(words - 1, 1), same_word * per_word, np.log1p(lines), np.log1p(words / np.maximum(lines, 1)),
+           np.sqrt(np.bincount(of_word * BUCKETS + (hashes % np.uint64(BUCKETS)).astype(np.int64), minlength=n * BUCKETS).reshape(n, BUCKETS)
+                   * per_word[:, None])]
     return np.column_stack(out).astype(np.float32)
 
 
-N_FEATURES = CLASSES + 11
+BUCKETS = 64
+SHAPES = CLASSES + 11
+N_FEATURES = SHAPES + BUCKETS
+WORD_WEIGHT = 0.2  # of the many word buckets beside the few shapes
 
 
 def feature_rows(docs: DataFrame) -> DataFrame:
@@ -120,14 +128,15 @@ class PuNetwork:
         back = slope[:, None] @ self.w[2].T * (1 - h ** 2)
         return [x.T @ back, back.sum(0), h.T @ slope[:, None], np.array([slope.sum()])]
 
-    def fit(self, positive: np.ndarray, unlabelled: np.ndarray, prior: float, epochs: int = 60,
+    def fit(self, positive: np.ndarray, unlabelled: np.ndarray, prior: float | None, epochs: int = 200,
             batch: int = 512, rate: float = 5e-3, decay: float = 1e-4, seed: int = 12) -> None:
+        """``prior`` None: an ordinary classifier of positive against unlabelled rows."""
         both = np.vstack([positive, unlabelled])
         self.mean, self.scale = both.mean(0), both.std(0) + 1e-6
         positive, unlabelled = self._scaled(positive), self._scaled(unlabelled)
         rng = np.random.default_rng(seed)
         first, second = [np.zeros_like(w) for w in self.w], [np.zeros_like(w) for w in self.w]
-        steps = max(1, min(len(unlabelled), 8192) // batch)
+        steps = max(4, min(len(unlabelled), 8192) // batch)
         t = 0
         for epoch in range(epochs):
             lr = rate * (1 - epoch / epochs) + 1e-5
@@ -137,9 +146,10 @@ class PuNetwork:
                 hp, gp = self._forward(p)
                 hu, gu = self._forward(u)
                 sp, su = 1 / (1 + np.exp(-gp)), 1 / (1 + np.exp(-gu))
-                negative = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
                 # d/dg of log(1 + e^-g) is s - 1, of log(1 + e^g) is s.
-                if negative >= 0:
+                if prior is None:
+                    slope_p, slope_u = (sp - 1) / batch, su / batch
+                elif np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean() >= 0:
                     slope_p, slope_u = prior * ((sp - 1) - sp) / batch, su / batch
                 else:  # step back: undo what made the negative part of the risk negative
                     slope_p, slope_u = prior * sp / batch, -su / batch
@@ -152,19 +162,34 @@ class PuNetwork:
                     self.w[i] -= lr * (first[i] / (1 - 0.9 ** t)) / (np.sqrt(second[i] / (1 - 0.999 ** t)) + 1e-8)
 
     def _scaled(self, x: np.ndarray) -> np.ndarray:
-        return np.clip((x - self.mean) / self.scale, -8, 8)
+        out = np.clip((x - self.mean) / self.scale, -8, 8)
+        out[:, SHAPES:] *= WORD_WEIGHT
+        return out
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self._forward(self._scaled(x))[1], -40, 40)))
 
 
+def estimated_prior(positive: np.ndarray, unlabelled: np.ndarray, gamma: float = 0.01, delta: float = 0.1) -> float:
+    """The share of positives in the unlabelled rows, between 0.01 and 0.99."""
+    if len(positive) < 4 or len(unlabelled) < 4:
+        return 0.5
+    network = PuNetwork(positive.shape[1])
+    network.fit(positive[::2], unlabelled[::2], None, epochs=60, decay=1e-2)
+    p, u = np.sort(network.scores(positive[1::2])), np.sort(network.scores(unlabelled[1::2]))
+    # Shares of both halves with a score of at least each score of a positive.
+    at = np.unique(p)
+    share_p = 1 - np.searchsorted(p, at) / len(p)
+    share_u = 1 - np.searchsorted(u, at) / len(u)
+    doubt = math.sqrt(math.log(4 / delta) / (2 * len(u))) + math.sqrt(math.log(4 / delta) / (2 * len(p)))
+    best = np.argmin((share_u + (1 + gamma) * doubt) / share_p)
+    return float(np.clip(share_u[best] / share_p[best], 0.01, 0.99))
+
+
 def fit_classifier(rows: DataFrame, labels: DataFrame, sample: int = 20_000) -> tuple[PuNetwork | None, float]:
     """The network and the class prior, from the training folds alone."""
-    known = (labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
-             .groupBy("doc_id").agg(F.max("quality").alias("quality")))
+    known = (labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id", "quality").distinct())
     train = rows.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).join(known, "doc_id", "left")
-    counts = train.agg(F.count("quality").alias("n"), F.sum("quality").alias("p")).first()
-    prior = ((counts["p"] or 0) + 1) / (counts["n"] + 2)
 
     def draw(some: DataFrame) -> np.ndarray:
         picked = some.orderBy(F.xxhash64(F.lit(5), "doc_id", "tid"), "doc_id").limit(sample).select("x")
@@ -175,9 +200,10 @@ def fit_classifier(rows: DataFrame, labels: DataFrame, sample: int = 20_000) ->
     # The risk's mixture is of all documents, so labelled ones are in it too, their label left out.
     unlabelled = draw(train)
     if len(positive) == 0:
-        return None, prior
+        return None, 0.5
+    prior = estimated_prior(positive, unlabelled)
     network = PuNetwork(N_FEATURES)
-    network.fit(positive, unlabelled, min(prior, 0.99))
+    network.fit(positive, unlabelled, prior)
     return network, prior
 
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from airindex.llm import decontaminate as dc
-from airindex.llm.quality_classifier import PuNetwork, op9
+from airindex.llm.quality_classifier import PuNetwork, estimated_prior, op9
 from airindex.llm.token_counts import RankMerger, op5
 from tests.llm.helpers import by_id, corpus, frame, prose, sha, words
 
@@ -185,6 +185,28 @@ def test_classifier_edges(spark):
     assert op9(docs, odd).count() == 3
 
 
+def test_classifier_needs_positives_alone(spark):
+    """Without any negative label the scores are the same; the prior comes from the mixture."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    both = by_id(op9(docs, labels))
+    alone = by_id(op9(docs, labels.filter("quality = 1")))
+    assert {d: r["score"] for d, r in both.items()} == {d: r["score"] for d, r in alone.items()}
+    quality = {r["doc_id"]: r["quality"] for r in labels.collect()}
+    test = [(alone[d]["score"], q) for d, q in quality.items() if alone[d]["held_out"]]
+    good, bad = [s for s, q in test if q == 1], [s for s, q in test if q == 0]
+    assert np.mean([g > b for g in good for b in bad]) > 0.97 and np.mean([b >= 0.3 for b in bad]) < 0.3
+
+
+@pytest.mark.parametrize("share", [0.15, 0.5, 0.85])
+def test_prior_is_estimated_from_positives_and_a_mixture(share):
+    rng = np.random.default_rng(4)
+    positive = rng.normal(2.5, 1, (3000, 3))
+    mixture = np.where(rng.random((6000, 1)) < share, rng.normal(2.5, 1, (6000, 3)), rng.normal(-1, 1, (6000, 3)))
+    assert estimated_prior(positive, mixture) == pytest.approx(share, abs=0.06)
+    assert estimated_prior(positive[:2], mixture) == 0.5
+
+
 def test_risk_separates_positives_from_a_mixture():
     rng = np.random.default_rng(4)
     positive = rng.normal(1.5, 1, (800, 3))
