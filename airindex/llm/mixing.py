@@ -74,8 +74,21 @@ def sainte_lague(cells: DataFrame, votes: str, house: Column, by: list[str], key
     return (c.groupBy(*by, *key).agg(*first, (F.first("_s") + F.signum(F.first("_e")).cast("long") * F.sum("_hit")).alias(out)))
 
 
-def mix_to_weights(docs: DataFrame, weights=WEIGHTS, total_share: float = 1.5, max_epochs: int = 2,
-                   seed: int = 7, docs_per_shard: int = 2048, blocks_per_shard: int = 64) -> DataFrame:
+def shard_quotas(cells: DataFrame, per_group: int) -> DataFrame:
+    """Adds ``quota``: each shard's integer share of its source's blocks (``source_blocks``).
+
+    Apportioned in two steps, to groups of ``per_group`` shards and then inside each, so that no window holds all
+    shards of a source.
+    """
+    cells = cells.withColumn("_group", F.floor(F.col("shard") / per_group))
+    groups = cells.groupBy("skey", "_group").agg(F.sum("shard_size").alias("group_size"), F.first("source_blocks").alias("source_blocks"))
+    groups = sainte_lague(groups, "group_size", F.col("source_blocks"), ["skey"], ["_group"], "group_blocks")
+    held = cells.join(groups.select("skey", "_group", "group_blocks"), ["skey", "_group"])
+    return sainte_lague(held, "shard_size", F.col("group_blocks"), ["skey", "_group"], ["shard"], "quota").drop("_group", "group_blocks")
+
+
+def mix_to_weights(docs: DataFrame, weights=WEIGHTS, total_share: float = 1.5, max_epochs: int = 2, seed: int = 7,
+                   docs_per_shard: int = 2048, blocks_per_shard: int = 64, shards_per_group: int = 1024) -> DataFrame:
     """doc_id, source, size, source_size, target, taken: a row per row of docs.
 
     The block is a ``blocks_per_shard``-th of an average shard of the smallest source, so the
@@ -95,7 +108,7 @@ def mix_to_weights(docs: DataFrame, weights=WEIGHTS, total_share: float = 1.5, m
     everything = F.round(F.sum("target").over(Window.partitionBy()) / F.col("block"))
     s = sainte_lague(s.withColumn("_all", everything), "target", F.col("_all"), [], ["skey"], "source_blocks")
     s = s.select("skey", "source_size", "target", "block", "source_blocks")
-    quotas = sainte_lague(cells.drop("source").join(s, "skey"), "shard_size", F.col("source_blocks"), ["skey"], ["shard"], "quota")
+    quotas = shard_quotas(cells.drop("source").join(s, "skey"), shards_per_group)
     # The shard's own equal blocks, and its quota in them.
     n = F.greatest(F.lit(1), F.round(F.col("shard_size") / F.col("block"))).cast("long")
     quotas = quotas.withColumn("n", n).withColumn("picked", F.least(

@@ -5,8 +5,9 @@ hashed, and the distinct documents that hold a line are counted per host (``sour
 one text are one document). Lines above the host's limit are boilerplate and removed; a document
 that keeps too few of its words without them is depleted and rejected.
 
-The limit: a line found in at least ``min_docs`` distinct documents of a host and in more than
-``max_share`` of them. Depleted: less than ``min_left`` of the words remain.
+The limit: a line found in at least ``min_docs`` distinct documents of a host and in at least the square
+root of their number, so that it rises with the host far slower than the host itself. Depleted: less than
+``min_left`` of the words remain.
 
 Nulls: a null text has no words (and so fails); a null source is a host of its own; a null doc_id
 is an id like any other; a repeated row gets its verdict each time.
@@ -68,15 +69,15 @@ def base_statistics(docs: DataFrame) -> DataFrame:
                         | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
-def frequent_lines(lines: DataFrame, hosts: DataFrame, min_docs: int, max_share: float) -> DataFrame:
+def frequent_lines(lines: DataFrame, hosts: DataFrame, min_docs: int) -> DataFrame:
     """host, h of the lines above their host's limit."""
     held = lines.select("host", "h", "tid").distinct()
     counts = held.groupBy("host", "h").agg(F.count("*").alias("n")).filter(F.col("n") >= min_docs)
-    return (counts.join(hosts, "host").filter(F.col("n") > max_share * F.col("host_docs"))
+    return (counts.join(hosts, "host").filter(F.col("n") >= F.sqrt("host_docs"))
             .select("host", "h"))
 
 
-def removed_lines(docs: DataFrame, min_docs: int, max_share: float) -> DataFrame:
+def removed_lines(docs: DataFrame, min_docs: int) -> DataFrame:
     """KEYS, pos, w (words) of the lines above the limit."""
     own = docs.select("doc_id", _host().alias("host"), text_id(F.col("text")).alias("tid"), "text")
     hosts = own.select("host", "tid").distinct().groupBy("host").agg(F.count("*").alias("host_docs"))
@@ -84,7 +85,7 @@ def removed_lines(docs: DataFrame, min_docs: int, max_share: float) -> DataFrame
         own.select(*KEYS, F.posexplode(lines_of(F.col("text"))).alias("pos", "line"))
         .select(*KEYS, "pos", n_words(F.col("line")).alias("w"), line_key(F.col("line")).alias("key"))
         .filter("w > 0").select(*KEYS, "pos", "w", F.xxhash64("key").alias("h")), "rule-lines")
-    above = frequent_lines(lines, hosts, min_docs, max_share)
+    above = frequent_lines(lines, hosts, min_docs)
     # Rows that repeat a document (same id, host and text) hold the same lines: one of each counts.
     return lines.join(above, ["host", "h"], "left_semi").groupBy(*KEYS, "pos").agg(F.max("w").alias("w"))
 
@@ -100,16 +101,15 @@ def verdicts(docs: DataFrame, removed: DataFrame, min_left: float) -> DataFrame:
     return out.withColumn("kept", ~F.col("base_failed") & ~depleted).drop("lost")
 
 
-def quality_rules(docs: DataFrame, min_docs: int = 10, max_share: float = 0.1,
-                  min_left: float = 0.3) -> DataFrame:
+def quality_rules(docs: DataFrame, min_docs: int = 10, min_left: float = 0.3) -> DataFrame:
     """One row per row of docs: doc_id, tid, the statistics, n_left_words, base_failed, kept."""
-    return verdicts(docs, removed_lines(docs.select("doc_id", "source", "text"), min_docs, max_share), min_left)
+    return verdicts(docs, removed_lines(docs.select("doc_id", "source", "text"), min_docs), min_left)
 
 
-def keep_good(docs: DataFrame, min_docs: int = 10, max_share: float = 0.1, min_left: float = 0.3) -> DataFrame:
+def keep_good(docs: DataFrame, min_docs: int = 10, min_left: float = 0.3) -> DataFrame:
     """The rows of docs whose verdict is kept, their texts without the lines above the limit."""
     own = docs.select("doc_id", "text", "source")
-    removed = materialize(removed_lines(own, min_docs, max_share), "rule-removed")
+    removed = materialize(removed_lines(own, min_docs), "rule-removed")
     bad = verdicts(own, removed, min_left).filter(~F.col("kept")).select(*KEYS, F.lit(True).alias("bad"), F.lit(None).alias("keep"))
     some = bitmaps_of(removed, *KEYS).select(*KEYS, F.lit(False).alias("bad"), "keep")
     # One row per document that goes or changes, so that the texts are joined once.
@@ -143,7 +143,7 @@ k AS (SELECT doc_id, host, text, translate(trim(line, ' ' || chr(9) || chr(10) |
       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key,
       len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS w FROM l),
 f AS (SELECT k.host, key FROM k JOIN hd USING (host) WHERE w > 0 GROUP BY k.host, key
-      HAVING count(DISTINCT text) >= 10 AND count(DISTINCT text) > 0.1 * any_value(host_docs)),
+      HAVING count(DISTINCT text) >= 10 AND count(DISTINCT text) >= sqrt(any_value(host_docs))),
 lost AS (SELECT doc_id, sum(w) AS lost FROM k JOIN f USING (host, key) GROUP BY doc_id),
 o AS (SELECT doc_id, len(ws)::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
       (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words,
