@@ -120,7 +120,7 @@ def signed(docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in regroup(batches, "text", 2 << 20):
+        for batch in regroup(batches, "text", 1 << 20):
             of, hashes, digests, _ = shingles(batch.column("text"))
             of, hashes, counts = multiset(of, hashes)
             signature = bag_minhash(of, hashes, counts, batch.num_rows, BANDS * ROWS)
@@ -192,8 +192,8 @@ def token_rows(texts: DataFrame) -> DataFrame:
 
 
 def close_pairs(texts: DataFrame, members: DataFrame) -> DataFrame:
-    """(node, other) of different classes that may be links, of members (node, class, sketch): every link
-    between members whose sketches are alike is among the pairs.
+    """(node, other) of different classes that may be links, of members (node, class): every link between
+    members of different classes is among the pairs.
 
     Tokens are put in one order, rare ones first. Two sets that overlap by 0.8 share a token among the
     first n - ceil(0.8 n) + 1 of each, and from the place of the first token that they share on, enough
@@ -206,12 +206,11 @@ def close_pairs(texts: DataFrame, members: DataFrame) -> DataFrame:
     ordered = tokens.join(held, "token").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared"))
     # A token that nobody else has comes first and meets nobody: only the number of them counts.
     prefix = F.expr(f"n - (n * {SIMILARITY[0]} + {SIMILARITY[1] - 1}) div {SIMILARITY[1]} + 1 - (n - size(shared))")
-    firsts = ordered.filter(prefix > 0).select(
+    firsts = materialize(ordered.filter(prefix > 0).select(
         "node", "n", (F.col("n") - F.size("shared")).alias("own"),
-        F.transform(F.slice("shared", F.lit(1), prefix.cast("int")), lambda t: t["token"]).alias("firsts"))
-    firsts = materialize(firsts.join(members.select("node", "sketch"), "node"), "firsts")
+        F.transform(F.slice("shared", F.lit(1), prefix.cast("int")), lambda t: t["token"]).alias("firsts")), "firsts")
     heads = firsts.select("node", "n", "own", F.posexplode("firsts").alias("at", "token"))
-    heads = materialize(heads.join(members.select("node", "class"), "node").select(
+    heads = materialize(heads.join(members, "node").select(
         "node", "class", "n", "token", (F.col("n") - F.col("own") - F.col("at")).alias("left")), "heads")
 
     def enough(left_a: str, n_a: str, left_b: str, n_b: str):
@@ -224,15 +223,14 @@ def close_pairs(texts: DataFrame, members: DataFrame) -> DataFrame:
         .select("token", "other_class", "node", "n", "left"), "hopeful")
     others = (heads.withColumnRenamed("class", "other_class")
               .join(hopeful.select("token", "other_class").distinct(), ["token", "other_class"], "left_semi")
-              .join(firsts.select("node", F.col("firsts").alias("other_firsts"), F.col("sketch").alias("other_sketch")), "node")
+              .join(firsts.select("node", F.col("firsts").alias("other_firsts")), "node")
               .select("token", "other_class", F.col("node").alias("other"), F.col("n").alias("other_n"),
-                      F.col("left").alias("other_left"), "other_firsts", "other_sketch"))
-    hopeful = hopeful.join(firsts.select("node", "firsts", "sketch"), "node")
+                      F.col("left").alias("other_left"), "other_firsts"))
+    hopeful = hopeful.join(firsts.select("node", "firsts"), "node")
     # A pair meets at the first token that both have among their first ones, and only there.
     meet = F.get(F.array_intersect("firsts", "other_firsts"), F.lit(0)) == hopeful["token"]
     same = (hopeful["token"] == others["token"]) & (hopeful["other_class"] == others["other_class"])
-    # The sketches come last: they are compared for each pair once, and make garbage.
-    return (hopeful.join(others, same & enough("left", "n", "other_left", "other_n") & meet & alike("sketch", "other_sketch"))
+    return (hopeful.join(others, same & enough("left", "n", "other_left", "other_n") & meet)
             .select("node", "other"))
 
 
@@ -304,12 +302,11 @@ def near_dup_classes(docs: DataFrame) -> DataFrame:
 
     for last in (False, True):
         if last:
-            members = materialize(mixed().select("node", "class").distinct().join(sketches, "node"), "mixed")
-            some = close_pairs(texts, members)
+            some = close_pairs(texts, materialize(mixed().select("node", "class").distinct(), "mixed"))
         else:
             some = mixed().filter(F.col("drawn.class") != F.col("class")).select("node", F.col("drawn.node").alias("other"))
         pairs = some.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-        found = linked(pairs if last else likely(pairs, sketches))
+        found = linked(likely(pairs, sketches))
         if not found.isEmpty():
             # Links between classes: only what they join changes.
             of_a = classes.select(F.col("node").alias("a"), F.col("class").alias("class_a"))
