@@ -243,3 +243,17 @@ def near_vectors(embeddings: DataFrame) -> DataFrame:
 
 def op12(embeddings: DataFrame) -> DataFrame:
     return near_vectors(embeddings).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
+SQL = """
+WITH RECURSIVE e AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v, row_number() OVER () AS r FROM embeddings),
+good AS (SELECT * FROM e WHERE label IS NOT NULL AND len(v) > 0 AND NOT list_bool_or(list_transform(v, lambda x: x IS NULL OR NOT isfinite(x)))
+         AND list_bool_or(list_transform(v, lambda x: x <> 0))),
+links AS (SELECT a.r AS x, b.r AS y FROM good a JOIN good b ON a.label = b.label AND a.r <> b.r AND len(a.v) = len(b.v)
+          WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reach(x, y) AS (SELECT r, r FROM e UNION SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y),
+least AS (SELECT reach.x AS r, min(e.vec_id) AS component_id FROM reach JOIN e ON e.r = reach.y GROUP BY 1),
+counts AS (SELECT x AS r, count(*) AS n FROM links GROUP BY 1)
+SELECT e.vec_id, coalesce(c.n, 0) AS n_links, l.component_id, e.vec_id IS NOT DISTINCT FROM l.component_id AS kept
+FROM e JOIN least l USING (r) LEFT JOIN counts c USING (r)
+"""

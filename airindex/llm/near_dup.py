@@ -337,3 +337,16 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
 
 def op10(docs: DataFrame) -> DataFrame:
     return near_dup_classes(docs.select("doc_id", "text")).select("doc_id", "class_id", "is_first")
+
+
+SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+bags AS (SELECT doc_id, array_to_string(ws[p:p + 4], ' ') AS s, count(*) AS c
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS p FROM w WHERE len(ws) > 0) GROUP BY 1, 2),
+sizes AS (SELECT doc_id, sum(c) AS n FROM bags GROUP BY 1),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, sum(least(a.c, b.c)) AS shared FROM bags a JOIN bags b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT x, y FROM pairs JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 5 * shared >= 4 * (p.n + q.n - shared)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(x, y) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.x, edges.y FROM reach JOIN edges ON edges.x = reach.y)
+SELECT x AS doc_id, min(y) AS class_id, x = min(y) AS is_first FROM reach GROUP BY x
+"""

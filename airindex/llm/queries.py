@@ -36,6 +36,9 @@ ORACLE = {
     "op4_decontaminate": decontaminate.SQL,
     "op6_quality_rules": quality_rules.SQL,
     "op7_chat_format": chat_format.SQL,
+    "op8_suffix_dedup": suffix_dedup.SQL,
+    "op10_near_dup": near_dup.SQL,
     "op11_conversation_trie": conversation_trie.SQL,
+    "op12_embedding_near_dup": embedding_dedup.SQL,
     "op13_merkle_manifest": merkle_manifest.SQL,
 }

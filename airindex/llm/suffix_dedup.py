@@ -166,3 +166,19 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
 def op8(docs: DataFrame) -> DataFrame:
     return suffix_dedup(docs.select("doc_id", "text")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(hex(encode(coalesce(text, ''))), '..') AS bs FROM documents),
+g AS (SELECT doc_id, p, md5(array_to_string(bs[p:p + 99], '')) AS h FROM
+    (SELECT doc_id, bs, unnest(range(1, len(bs) - 98)) AS p FROM d WHERE len(bs) >= 100)),
+later AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY h ORDER BY doc_id, p) AS r FROM g) WHERE r > 1),
+marked AS (SELECT doc_id, p, (p > lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 100)::INT AS apart FROM later),
+numbered AS (SELECT doc_id, p, sum(coalesce(apart, 0)) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM marked),
+spans AS (SELECT doc_id, min(p) AS a, max(p) + 99 AS b FROM numbered GROUP BY doc_id, run),
+lists AS (SELECT doc_id, list(a ORDER BY a) AS aa, list(b ORDER BY a) AS bb, count(*) AS n, sum(b - a + 1)::BIGINT AS gone FROM spans GROUP BY doc_id)
+SELECT doc_id, len(bs)::BIGINT AS n_bytes, coalesce(gone, 0) AS n_removed, coalesce(n, 0) AS n_spans,
+  sha256(unhex(CASE WHEN n IS NULL THEN array_to_string(bs, '') ELSE array_to_string(flatten(list_transform(range(n + 1),
+    lambda i: bs[(CASE WHEN i = 0 THEN 1 ELSE bb[i] + 1 END):(CASE WHEN i = n THEN len(bs) ELSE aa[i + 1] - 1 END)])), '') END)) AS kept_sha256
+FROM d LEFT JOIN lists USING (doc_id)
+"""
