@@ -306,13 +306,11 @@ def vietnamese_calendar(series: DataFrame, horizon: int = 30) -> DataFrame:
     """(ds, holiday): Vietnam's public holidays, lunar ones included, over the series' span and horizon."""
     def days(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            rows = [row for year in frame["year"] for row in holiday_rules.vietnamese_holidays(dt.date(year, 1, 1), dt.date(year, 12, 31))]
+            rows = [row for first, last, year in frame.itertuples(index=False)
+                    for row in holiday_rules.vietnamese_holidays(max(first, dt.date(year, 1, 1)), min(last, dt.date(year, 12, 31)))]
             yield pd.DataFrame(rows, columns=["ds", "holiday"])
 
-    span = _years(series, horizon)
-    inside = span.select("first", "last").distinct()
-    all_days = span.select("year").mapInPandas(days, "ds date, holiday string")
-    return all_days.join(inside, F.col("ds").between(F.col("first"), F.col("last"))).select("ds", "holiday")
+    return _years(series, horizon).mapInPandas(days, "ds date, holiday string")
 
 
 def solar_calendar(series: DataFrame, horizon: int = 30) -> DataFrame:
