@@ -22,6 +22,8 @@ BLANKS = " \t\n\x0b\f\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Rows of an Arrow batch handed to Python: long texts must not pile up in one batch.
 BATCH_ROWS = 256
+#: Narrow rows (a few numbers each) of a scratch file, where their number is known.
+ROWS_PER_FILE = 4000
 _ODD = 0x9E3779B97F4A7C15  # odd multiplier of the polynomial hash modulo 2**64
 _MASK = (1 << 64) - 1
 
@@ -37,12 +39,16 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it back.
 
-    Cuts lineage with files every executor can reach, so a lost executor costs a reread.
+    Cuts lineage with files every executor can reach, so a lost executor costs a reread. ``rows``: at
+    most so many narrow rows; a small table is written in a few files, not one per shuffle partition.
     """
     path = scratch_path(df.sparkSession, name)
+    if rows is not None:
+        parts = rows // ROWS_PER_FILE + 1
+        df = df.coalesce(parts) if parts < int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

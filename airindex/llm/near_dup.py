@@ -241,25 +241,26 @@ def classes_of(links: DataFrame) -> DataFrame:
     between the ends are what the next round has: at least half of the nodes left go in each.
     """
     links = materialize(links.filter("a <> b").select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).distinct(), "links")
+    rows = 2 * links.count()  # of any table below
     labels = None
     while not links.isEmpty():
         # A node without a smaller neighbour points to itself.
         points = materialize(
             links.select(F.col("high").alias("node"), F.col("low").alias("to")).union(links.select("low", "low"))
-            .groupBy("node").agg(F.min("to").alias("to")), "pointers")
+            .groupBy("node").agg(F.min("to").alias("to")), "pointers", rows)
         while True:
             jump = points.select(F.col("node").alias("to"), F.col("to").alias("far"))
-            points = materialize(points.join(jump, "to").select("node", F.col("far").alias("to"), (F.col("far") != F.col("to")).alias("moved")), "pointers")
+            points = materialize(points.join(jump, "to").select("node", F.col("far").alias("to"), (F.col("far") != F.col("to")).alias("moved")), "pointers", rows)
             if points.filter("moved").isEmpty():
                 break
         ends = points.select("node", F.col("to").alias("class"))
         labels = ends if labels is None else materialize(
             labels.withColumnRenamed("class", "was").join(ends.withColumnRenamed("node", "was"), "was", "left")
-            .select("node", F.coalesce("class", "was").alias("class")), "classes")
+            .select("node", F.coalesce("class", "was").alias("class")), "classes", rows)
         links = materialize(
             links.join(ends.select(F.col("node").alias("low"), F.col("class").alias("low_end")), "low")
             .join(ends.select(F.col("node").alias("high"), F.col("class").alias("high_end")), "high").filter("low_end <> high_end")
-            .select(F.least("low_end", "high_end").alias("low"), F.greatest("low_end", "high_end").alias("high")).distinct(), "links")
+            .select(F.least("low_end", "high_end").alias("low"), F.greatest("low_end", "high_end").alias("high")).distinct(), "links", rows)
     return labels if labels is not None else links.select(F.col("low").alias("node"), F.col("high").alias("class"))
 
 
@@ -313,10 +314,11 @@ def near_dup_classes(docs: DataFrame) -> DataFrame:
             of_b = classes.select(F.col("node").alias("b"), F.col("class").alias("class_b"))
             between = found.join(of_a, "a", "left").join(of_b, "b", "left").select(
                 F.coalesce("class_a", "a").alias("a"), F.coalesce("class_b", "b").alias("b"))
-            wider = materialize(classes_of(between), "classes")
+            known_rows = classes.count() + 2 * found.count()
+            wider = materialize(classes_of(between), "classes", known_rows)
             known = classes.withColumnRenamed("class", "was").join(
                 wider.select(F.col("node").alias("was"), "class"), "was", "left").select("node", F.coalesce("class", "was").alias("class"))
-            classes = materialize(known.unionByName(wider.join(classes, "node", "left_anti")), "classes")
+            classes = materialize(known.unionByName(wider.join(classes, "node", "left_anti")), "classes", known_rows)
 
     grouped = nodes.select("digest", "node", "doc_id", "tid").join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
     firsts = grouped.groupBy("class").agg(F.min(F.struct("doc_id", "tid", "digest")).alias("first"))
