@@ -34,9 +34,10 @@ def dim_date(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
 
 
 def dim_date_spanning(df: DataFrame, day: str = "measure_date") -> DataFrame:
-    """Calendar covering the span of ``df[day]`` (one aggregate of ``df``, one row of it)."""
-    span = df.agg(F.min(day).alias("first"), F.max(day).alias("last"))
-    return _calendar(span.select(F.explode(F.sequence("first", "last")).alias("measure_date")))
+    """Calendar covering the span of ``df[day]`` (one scalar subquery for both ends)."""
+    span = df.agg(F.struct(F.min(day).alias("first"), F.max(day).alias("last")).alias("span")).scalar()
+    days = df.sparkSession.range(1).select(F.explode(F.sequence(span["first"], span["last"])).alias("measure_date"))
+    return _calendar(days)
 
 
 def star_join(fact: DataFrame, dims) -> DataFrame:
