@@ -64,12 +64,16 @@ class Symbols:
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     """Index of the smallest value in every stretch of ``width`` values; ties: the leftmost."""
-    best, index, size = values, np.arange(len(values)), 1
+    bits = np.uint64(max(1, int(len(values)).bit_length()))
+    low = (np.uint64(1) << bits) - np.uint64(1)
+    least, packed, size = values, (values & ~low) | np.arange(len(values), dtype=np.uint64), 1
     while size < width:
         step = min(size, width - size)
-        right = best[step:] < best[:-step]
-        best, index = np.where(right, best[step:], best[:-step]), np.where(right, index[step:], index[:-step])
-        size += step
+        least, packed, size = np.minimum(least[:-step], least[step:]), np.minimum(packed[:-step], packed[step:]), size + step
+    index = (packed & low).astype(np.int64)
+    # The index displaces the low bits: where these decide, the window is searched itself.
+    for i in np.flatnonzero(values[index] != least).tolist():
+        index[i] = i + int(np.argmin(values[i: i + width]))
     return index
 
 
