@@ -82,7 +82,7 @@ def test_entry_contract(spark):
     assert set(o) <= set(q)
     assert len(q) >= 60
     from airindex.plans.catalog import ORACLE, QUERIES
-    assert set(QUERIES) <= set(q) and set(QUERIES) - set(ORACLE) == {"forecast_fourier"}
+    assert set(QUERIES) <= set(q) and set(QUERIES) - set(ORACLE) == {"forecast_fourier", "forecast_changepoints"}
     assert F is not None
 
 
