@@ -63,18 +63,14 @@ class Symbols:
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
-    """Index of the smallest value in every stretch of ``width`` values; ties: the leftmost."""
-    bits = np.uint64(max(1, int(len(values)).bit_length()))
-    low = (np.uint64(1) << bits) - np.uint64(1)
-    least, packed, size = values, (values & ~low) | np.arange(len(values), dtype=np.uint64), 1
+    """Index of the smallest value in every stretch of ``width`` values, by all but its lowest 31 bits; ties:
+    the leftmost. How many bits count never depends on the batch, so equal windows choose alike in any."""
+    low = np.uint64((1 << 31) - 1)  # the place takes the lowest bits
+    best, size = (values & ~low) | np.arange(len(values), dtype=np.uint64), 1
     while size < width:
         step = min(size, width - size)
-        least, packed, size = np.minimum(least[:-step], least[step:]), np.minimum(packed[:-step], packed[step:]), size + step
-    index = (packed & low).astype(np.int64)
-    # The index displaces the low bits: where these decide, the window is searched itself.
-    for i in np.flatnonzero(values[index] != least).tolist():
-        index[i] = i + int(np.argmin(values[i: i + width]))
-    return index
+        best, size = np.minimum(best[:-step], best[step:]), size + step
+    return (best & low).astype(np.int64)
 
 
 def window_runs(s: Symbols, window: int, gram: int) -> tuple[np.ndarray, ...]:
@@ -254,12 +250,12 @@ def crowded_spans(docs: DataFrame, runs: DataFrame, window: int, by_word: bool,
     firsts = (windows.groupBy("h").agg(F.min(F.struct("doc_id")).alias("first"), F.count("*").alias("c"))
               .filter("c > 1").drop("c"))
     later = ~F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
-    found = windows.join(firsts, "h").filter(later).select("doc_id", "tid", "start")
+    found = windows.join(firsts, "h")
     if same_doc:
         # Repeats inside one document: all places of a window but its first.
-        own = windows.groupBy("h", "doc_id", "tid").agg(F.collect_set("start").alias("starts")).filter(F.size("starts") > 1)
-        found = found.union(own.select("doc_id", "tid", F.explode(F.filter("starts", lambda x: x > F.array_min("starts")))))
-    return found.select("doc_id", "tid", "start", (F.col("start") + window).alias("end"))
+        found = found.withColumn("own_first", F.min("start").over(Window.partitionBy("h", "doc_id", "tid")))
+        later = later | (F.col("start") > F.col("own_first"))
+    return found.filter(later).select("doc_id", "tid", "start", (F.col("start") + window).alias("end"))
 
 
 def repeated_spans(docs: DataFrame, window: int, gram: int, by_word: bool, same_doc: bool, block: Callable) -> DataFrame:

@@ -144,8 +144,11 @@ def test_anchors_do_not_depend_on_the_batch():
     values = rng.integers(0, 1 << 62, 5000).astype(np.uint64)
     values[rng.integers(0, 5000, 800)] = np.uint64(7)  # ties
     for width in (1, 2, 43, 69):
-        want = [i + int(np.argmin(values[i:i + width])) for i in range(len(values) - width + 1)]
-        assert anchors.sliding_least(values, width).tolist() == want
+        want = [i + int(np.argmin(values[i:i + width] >> np.uint64(31))) for i in range(len(values) - width + 1)]
+        got = anchors.sliding_least(values, width)
+        assert got.tolist() == want
+        some = anchors.sliding_least(values[1000:1000 + 3 * width], width)
+        assert (some + 1000 == got[1000:1000 + len(some)]).all()
 
 
 def test_collection_index_orders_all_suffixes():
