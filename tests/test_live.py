@@ -7,8 +7,9 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
+from airindex.plans import queries_stream
 from airindex.streaming.landing import sliding_mean
-from airindex.streaming.rolling import DAY_US, passed, rolling_rows_stream, run_counting_late
+from airindex.streaming.rolling import DAY_US, KEYS_PER_BUCKET, buckets_for, packed, passed, rolling_rows_stream, run_counting_late, unpacked
 
 HOUR = 3_600_000_000
 SCHEMA = "location_id int, measured_at timestamp, o3 double"
@@ -78,3 +79,57 @@ def test_closed_windows_only(spark, tmp_dir):
     run_counting_late(stream, table, os.path.join(tmp_dir, "ckpt"))
     batch = sliding_mean(spark.createDataFrame(rows, SCHEMA)).filter(F.col("window_end") <= F.lit(at(26.5)))
     assert sorted(map(tuple, spark.read.parquet(table).collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_keys_share_state_rows(spark, tmp_dir):
+    source, table, checkpoint = (os.path.join(tmp_dir, x) for x in ("in", "out", "ckpt"))
+    keys = [None, *(f"place {k}" for k in range(2 * KEYS_PER_BUCKET))]
+    assert [buckets_for(n) for n in (0, 1, KEYS_PER_BUCKET, KEYS_PER_BUCKET + 1)] == [1, 1, 1, 2]
+    schema, rng, rows = "place string, measured_at timestamp, o3 double", random.Random(2), []
+    os.makedirs(source)
+    stream = rolling_rows_stream(spark.readStream.schema(schema).parquet(source), "5 hours", key="place", buckets=buckets_for(len(keys) - 1))
+    for hours in ((0, 1, 2, 5, 30), (3, 29, 31, 60), (59, 200)):
+        part = [(k, at(h), None if rng.random() < 0.2 else round(rng.random() * 90, 2)) for h in hours for k in keys if h == 200 or rng.random() < 0.7]
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(source)
+        run_counting_late(stream, table, checkpoint)
+        mark = max(h for h in hours) - 5
+        rows += part
+    want = []
+    # Rows behind the watermark of the runs before are late: hour 3 after 25, none else.
+    rows = [(k, t, v) for k, t, v in rows if t != at(3)]
+    for k in keys:
+        mine = [(int((t - dt.datetime(1970, 1, 1)).total_seconds() * 1e6), v) for j, t, v in rows if j == k]
+        want += [(k, dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=t), v, m, n) for t, v, m, n in brute(mine)
+                 if t <= int((at(mark) - dt.datetime(1970, 1, 1)).total_seconds() * 1e6)]
+    got = spark.read.parquet(table).select("place", "measured_at", "o3", "rolling_o3", "count_o3").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    # Two buckets and that of the rows without a key, however many keys there are.
+    state = spark.read.format("statestore").load(checkpoint)
+    assert state.count() <= 3 and sum(len(r["value"]["groupState"]["keys"]) for r in state.collect()) == len(keys)
+
+
+def test_state_row_round_trip():
+    groups = {"a": (np.array([3, 5]), np.array([1.5, np.nan]), np.array([1]), np.array([0.5])),
+              None: (np.empty(0, np.int64), np.empty(0), np.array([7, 8]), np.array([2.0, 4.0]))}
+    back = unpacked(packed(groups))
+    assert list(back) == list(groups)
+    for key, arrays in groups.items():
+        for one, other in zip(arrays, back[key], strict=True):
+            np.testing.assert_array_equal(one, other)
+
+
+def test_arrivals_are_made_from_the_events_once(spark, tmp_dir, monkeypatch):
+    rows = [(i, at(7 * i), i % 60, ("error", "view")[i % 2], float(i % 50)) for i in range(100)]
+    spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double").selectExpr(
+        "*", "'{}' AS props").write.parquet(f"{tmp_dir}/events.parquet")
+    spark.createDataFrame([(k, f"N{k}", 0) for k in range(25)], "n_nationkey int, n_name string, n_regionkey int").write.parquet(f"{tmp_dir}/nation.parquet")
+    landed, append_raw = [], queries_stream.append_raw
+
+    def spied(payload, root):
+        landed.append((payload.inputFiles(), payload.selectExpr("sum(size(list))").first()[0] or 0))
+        append_raw(payload, root)
+
+    monkeypatch.setattr(queries_stream, "append_raw", spied)
+    n = queries_stream.q_stream_late_rows(spark, tmp_dir).first()
+    assert sum(k for _, k in landed) == n["in_time"] + n["late"] == queries_stream.readings(spark, tmp_dir).count()
+    assert not [f for files, _ in landed for f in files if "events.parquet" in f]
